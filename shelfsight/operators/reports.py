@@ -171,8 +171,9 @@ def review_summary(
     df: DataFrame, order: Sequence[str | Column], models: Sequence[str] = ()
 ) -> DataFrame:
     """One row of summary metrics for the steps that follow."""
+    placed = F.array_sort(F.collect_list(F.struct("place", "issue")))
     issues = first_issues(df, order).agg(
-        F.array_sort(F.collect_list(F.struct("place", "issue"))).alias("issues")
+        F.transform(placed, lambda x: x["issue"]).alias("issues")
     ).scalar()
     return df.agg(
         F.count("*").alias("total_reviews"),
@@ -181,7 +182,7 @@ def review_summary(
     ).withColumns({
         "ai_powered": F.lit(bool(models)),
         "models_used": F.array(*[F.lit(m) for m in models]).cast("array<string>"),
-        "top_issues": F.transform(issues, lambda x: x["issue"]),
+        "top_issues": issues,
     })
 
 

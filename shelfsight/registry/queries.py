@@ -34,7 +34,7 @@ from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sources import snapshot as S
 from shelfsight.sources.discovery import discover_by_keyword, url_source
 from shelfsight.sources.tables import load_best_source, scan_csv_latest
-from shelfsight.staging import scratch_path, stage
+from shelfsight.staging import scratch_path
 from shelfsight.streaming.alerts import current_windows, negative_windows, write_updates
 from shelfsight.streaming.ingest import incremental_ingest
 
@@ -509,12 +509,21 @@ def best_source(spark, sf_dir):
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as price observations of a product."""
-    log = _reviews(spark, sf_dir).select(
+    return _reviews(spark, sf_dir).select(
         "asin", "scraped_at", F.col("l_extendedprice").alias("best_price"), "rating", "sentiment"
     )
+
+
+@query
+def price_history(spark, sf_dir):
+    """Two runs appended to a log; the second sees other prices and misses some products."""
     path = scratch_path(spark, "price-log")
-    L.append_log(log, path)
-    return spark.read.parquet(path)
+    df = _products(spark, sf_dir).select("asin", "p_partkey", "best_price", "rating")
+    L.append_log(stamp(df, RUN_TS), path)
+    later = df.where(F.col("p_partkey") % 5 != 0).withColumn("best_price", F.col("best_price") * 0.5)
+    L.append_log(stamp(later, RUN_TS.replace(day=12)), path)
+    changes = L.price_changes(spark.read.parquet(path))
+    return _text_time(_rounded(changes, "best_price", "previous_price", "price_change"), "scraped_at")
 
 
 @query
@@ -538,8 +547,8 @@ def price_weekly(spark, sf_dir):
 
 # Snapshots
 
-def _payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents as a newline-delimited feed with error records, bad lines and blank lines."""
+def _payloads(spark: SparkSession, sf_dir: str) -> str:
+    """A newline-delimited feed of the documents with error records, bad lines and blank lines."""
     record = F.to_json(F.struct("doc_id", F.col("text").alias("review_text"), F.col("source").alias("asin")))
     failed = F.concat(F.lit('{"error":null,"doc_id":'), F.col("doc_id").cast("string"), F.lit("}"))
     line = (
@@ -569,13 +578,14 @@ def snapshot_json(spark, sf_dir):
 
 @query
 def snapshot_array(spark, sf_dir):
-    """The parts as JSON array documents, one for each brand and size, read whole."""
+    """The parts as JSON array documents of 500 records each, read whole."""
     path = scratch_path(spark, "arrays")
     record = F.to_json(F.struct(F.col("p_partkey"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand")))
-    documents = table(spark, sf_dir, "part").groupBy("p_brand", "p_size").agg(
+    page = F.floor(F.col("p_partkey") / 500)
+    documents = table(spark, sf_dir, "part").groupBy(page.alias("page")).agg(
         F.concat(F.lit("[\n"), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")).alias("value")
     )
-    documents.select("value").repartition("value").write.option("maxRecordsPerFile", 1).text(path)
+    documents.select("value").write.option("maxRecordsPerFile", 1).text(path)
     schema = T.StructType([T.StructField("p_partkey", T.LongType()), *RAW_PRODUCT.fields[:2]])
     return S.to_columns(S.scan_snapshot(spark, path), schema).select("p_partkey", "title", "brand")
 
