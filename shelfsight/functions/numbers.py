@@ -58,6 +58,25 @@ def round_half_even(col: Column, digits: int = 1) -> Column:
     return F.rint(col * scale) / scale
 
 
+def round_exact(col: Column, digits: int) -> Column:
+    """Round the exact binary value, ties to even, as decimal formatting does in most languages.
+
+    The product with the scale is rounded itself, so what looks like a tie may lie above or below one.
+    The sign of that rounding error decides; splitting the factor in two halves makes it exact.
+    """
+    scale = float(10 ** digits)
+    product = col * scale
+    wide = col * 134217729.0  # 2 ** 27 + 1
+    high = wide - (wide - col)
+    error = (high * scale - product) + (col - high) * scale
+    tie = product - F.floor(product) == 0.5
+    whole = (
+        F.when(tie & (error > 0), F.ceil(product)).when(tie & (error < 0), F.floor(product))
+        .otherwise(F.rint(product))
+    )
+    return F.when(F.abs(product) >= 2.0 ** 52, col).otherwise(whole / scale)
+
+
 def discount_percent(initial: Column, final: Column) -> Column:
     """Discount in percent of the initial price; unknown is 0 and a zero price gives an infinity."""
     amount = initial - final

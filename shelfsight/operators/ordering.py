@@ -13,6 +13,9 @@ from shelfsight.staging import stage
 _ROW_BITS = 33
 _BROADCAST_ROWS = 100_000
 
+# For groupings that have a handful of keys, each of them large.
+FEW_KEYS = 64
+
 
 def broadcast_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Mark ``df`` for broadcast only if its known row bound is small; else Spark decides by size."""
@@ -58,30 +61,31 @@ def cap_per_group(
     key: str | None,
     n: int,
     order: Sequence[str | Column],
-    spread: int = 64,
+    spread: int | None = None,
 ) -> DataFrame:
     """Keep the first ``n`` rows of every key in ``order``; rows without a key are dropped.
 
-    ``n <= 0`` or no key means no cap. Each map task passes on at most ``n`` rows of a key. A key that
-    appears in very many map tasks is still too much for one reducer, so a first round ranks within
-    ``(key, group of map tasks)`` and a second round ranks the survivors. The group only spreads the
-    work: the result depends on ``order`` alone.
+    ``n <= 0`` or no key means no cap. Each map task passes on at most ``n`` rows of a key, so a key
+    that holds a large share of all rows reaches its reducer as ``n`` rows for each map task and no more.
+
+    With ``spread > 1`` a first round ranks within ``(key, group of map tasks)`` and a second round ranks
+    what is left, which divides that reducer's work by ``spread``. It pays if there are few keys, or if
+    ``n`` is large; with very many keys it shuffles most rows twice. The default is to spread only if
+    ``n`` is above 50. The group does not influence the result, which depends on ``order`` alone.
     """
     if key is None or n <= 0:
         return df
+    spread = spread or (64 if n > 50 else 1)
     keyed = df.where(F.col(key).isNotNull())
     if spread > 1:
         keyed = keyed.withColumn("_spread", F.spark_partition_id() % spread)
-        first = Window.partitionBy(key, "_spread").orderBy(*order)
-        keyed = (
-            keyed.withColumn("_rank", F.row_number().over(first))
-            .where(F.col("_rank") <= n)
-            .drop("_rank", "_spread")
-        )
-    final = Window.partitionBy(key).orderBy(*order)
-    return (
-        keyed.withColumn("_rank", F.row_number().over(final)).where(F.col("_rank") <= n).drop("_rank")
-    )
+        keyed = _first_rows(keyed, [key, "_spread"], n, order).drop("_spread")
+    return _first_rows(keyed, [key], n, order)
+
+
+def _first_rows(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str | Column]) -> DataFrame:
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
 def top_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from shelfsight.functions import numbers as N
 from shelfsight.functions import reviews as R
 from shelfsight.functions import text as X
-from shelfsight.operators.ordering import cap_per_group, top_rows
+from shelfsight.operators.ordering import FEW_KEYS, cap_per_group, top_rows
 from shelfsight.operators.reviews import scraped_within, with_summary
 from shelfsight.schema import (
     PRODUCT_CONTEXT, REVIEW_CONTEXT, REVIEW_DISPLAY, VERIFIED, resolve, select_existing,
@@ -251,7 +251,7 @@ def summaries_by_sentiment(
     shown = (R.NEGATIVE, R.NEUTRAL, R.POSITIVE)
     rows = with_summary(df).where(F.col("sentiment").isin(*shown))
     sizes = rows.groupBy("sentiment").agg(F.count("*").alias("group_size"))
-    first = cap_per_group(rows, "sentiment", per_sentiment, order)
+    first = cap_per_group(rows, "sentiment", per_sentiment, order, FEW_KEYS)
     line = X.summary_line(F.col("rating"), F.col("ai_summary"), list_column(df, "issues"))
     # One row per sentiment: at most three.
     return first.withColumn("line", line).join(F.broadcast(sizes), "sentiment")

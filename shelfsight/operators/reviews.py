@@ -20,9 +20,11 @@ def reviews_for(reviews: DataFrame, urls: DataFrame, max_urls: int, key: str = "
     return reviews.join(broadcast_bounded(wanted, max_urls), key, "left_semi")
 
 
-def cap_reviews(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
+def cap_reviews(
+    df: DataFrame, n: int, order: Sequence[str | Column], spread: int | None = None
+) -> DataFrame:
     """At most ``n`` reviews for each product, by the first key column that exists."""
-    return cap_per_group(df, resolve(df, REVIEW_KEY), n, order)
+    return cap_per_group(df, resolve(df, REVIEW_KEY), n, order, spread)
 
 
 def with_default_analysis(df: DataFrame) -> DataFrame:

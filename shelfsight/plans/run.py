@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shelfsight.operators import quality as Q
 from shelfsight.operators.batches import enrich_batches
+from shelfsight.operators.ordering import FEW_KEYS
 from shelfsight.operators.products import enrich_products
 from shelfsight.operators.reviews import cap_reviews, reviews_for, with_recency
 from shelfsight.schema import REVIEW_KEY, order_columns, resolve
@@ -67,7 +68,8 @@ def _export(report: RunReport, df: DataFrame, name: str, key: str | None, params
 def collect_reviews(reviews: DataFrame, urls: DataFrame, params: Params) -> DataFrame:
     """Reviews of the chosen products, at most so many for each."""
     max_urls = max(params.top_n_products, len(params.product_urls))
-    return cap_reviews(reviews_for(reviews, urls, max_urls), params.reviews_per_product, params.review_order)
+    chosen = reviews_for(reviews, urls, max_urls)
+    return cap_reviews(chosen, params.reviews_per_product, params.review_order, FEW_KEYS)
 
 
 def run_pipeline(

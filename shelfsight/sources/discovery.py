@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.functions.numbers import number
-from shelfsight.operators.ordering import cap_per_group
+from shelfsight.operators.ordering import FEW_KEYS, cap_per_group
 from shelfsight.operators.products import top_n_products
 
 
@@ -30,7 +30,7 @@ def discover_by_keyword(
         hits.append(F.when(matches, F.lit(keyword)))
     found = catalog.withColumn("_keyword", F.explode(F.array_compact(F.array(*hits))))
     order = [number(catalog, "reviews_count").desc_nulls_last(), F.col("asin")]
-    best = cap_per_group(found, "_keyword", limit_per_keyword, order)
+    best = cap_per_group(found, "_keyword", limit_per_keyword, order, FEW_KEYS)
     return best.withColumn(
         "discovery_input", F.struct(F.col("_keyword").alias("keyword"))
     ).drop("_keyword")

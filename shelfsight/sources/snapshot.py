@@ -2,42 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfsight.functions.text import single_json_value
+from shelfsight.functions.text import single_json_value, strip
 
 _DOCUMENT_BYTES = 64 * 1024 * 1024
 
 
-def _values(text_column: str):
-    """The JSON texts in one piece of text: the elements of an array, or the value itself."""
-    value = single_json_value(F.col(text_column))
-    return F.when(value.startswith("["), F.from_json(value, "array<string>")).when(
-        value.isNotNull(), F.array(value)
-    )
+def _values(text: Column) -> Column:
+    """The JSON texts in one piece of text: the elements of an array, or the value itself; null if bad."""
+    value = single_json_value(text)
+    return F.get(F.transform(F.array(value), lambda v: F.when(
+        v.startswith("["), F.from_json(v, "array<string>")
+    ).when(v.isNotNull(), F.array(v))), 0)
 
 
-def _lines(text_column: str):
-    """Every line of a text, each read as JSON of its own; bad lines give nothing."""
-    lines = F.transform(F.split(text_column, "\n"), lambda line: F.trim(F.regexp_replace(line, r"^\s+|\s+$", "")))
-    return F.filter(F.transform(lines, single_json_value), lambda v: v.isNotNull())
+def _line_values(text: Column) -> Column:
+    """The JSON texts of all lines, each line read on its own; bad and blank lines give nothing."""
+    values = F.transform(F.split(text, "\n"), lambda line: _values(strip(line)))
+    return F.flatten(F.filter(values, lambda v: v.isNotNull()))
 
 
 def _objects(df: DataFrame) -> DataFrame:
     """Records are JSON objects; keep them with their place in the file."""
-    return df.where(F.json_object_keys("raw").isNotNull())
+    return df.where(F.json_object_keys("raw").isNotNull()).select("file", "seq", "pos", "raw")
 
 
 def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Files that are one payload each: a JSON document, or else one record per good line."""
-    files = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    trimmed = files.withColumn("value", F.regexp_replace("value", r"^\s+|\s+$", ""))
-    records = F.coalesce(_values("value"), _lines("value"))
-    return _objects(trimmed.select("file", F.posexplode(records).alias("seq", "raw")).select(
-        "file", F.col("seq").cast("bigint").alias("seq"), "raw"
-    ))
+    """Files that are one payload each: a JSON document, or else the records of all good lines."""
+    files = spark.read.text(paths, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), strip(F.col("value")).alias("value")
+    )
+    records = F.coalesce(_values(F.col("value")), _line_values(F.col("value")))
+    return _objects(
+        files.select("file", F.posexplode(records).alias("pos", "raw")).withColumn("seq", F.lit(0).cast("bigint"))
+    )
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -48,15 +49,18 @@ def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     lines = spark.read.text(paths).select(
         F.col("_metadata.file_path").alias("file"),
         F.monotonically_increasing_id().alias("seq"),
-        F.regexp_replace("value", r"^\s+|\s+$", "").alias("value"),
+        strip(F.col("value")).alias("value"),
     )
     return _objects(
-        lines.where(F.col("value") != "").select("file", "seq", F.explode(_values("value")).alias("raw"))
+        lines.where(F.col("value") != "")
+        .select("file", "seq", F.posexplode(_values(F.col("value"))).alias("pos", "raw"))
     )
 
 
 def scan_snapshot(spark: SparkSession, path: str, document_bytes: int = _DOCUMENT_BYTES) -> DataFrame:
-    """Records of a snapshot folder as ``(file, seq, raw)``, where ``raw`` is the JSON text of one object.
+    """Records of a snapshot folder as ``(file, seq, pos, raw)``.
+
+    ``raw`` is the JSON text of one object; ``seq`` and ``pos`` give its place in the file.
 
     A payload may be one JSON document over many lines, which cannot be split, or one record per line.
     Files up to ``document_bytes`` are read whole and follow the exact rule; larger ones are read by line.
@@ -103,4 +107,4 @@ def to_columns(df: DataFrame, schema: T.StructType, extra: bool = False) -> Data
     if extra:
         fields += [T.StructField(n, T.StringType()) for n in record_fields(df) if n not in schema.names]
     parsed = F.from_json("raw", T.StructType(fields)).alias("record")
-    return df.select("file", "seq", parsed).select("file", "seq", "record.*")
+    return df.select("file", "seq", "pos", parsed).select("file", "seq", "pos", "record.*")

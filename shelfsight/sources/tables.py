@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfsight.schema import classify_schema
 from shelfsight.sinks.keyed_table import KeyedTable
@@ -41,12 +42,11 @@ def scan_jdbc(
     return reader.load()
 
 
-def scan_csv(spark: SparkSession, path: str) -> DataFrame:
-    """One CSV backup; fields may hold line breaks and quotes."""
-    return (
-        spark.read.option("header", True).option("inferSchema", True)
-        .option("multiLine", True).option("escape", '"').csv(path)
-    )
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+    """One CSV backup; fields may hold line breaks and quotes. Without a schema, types cost a second scan."""
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
+    return reader.csv(path)
 
 
 def _listing(spark: SparkSession, folder: str) -> list[str]:
