@@ -26,14 +26,15 @@ POPULARITY_LABELS = (
 
 def nan_to_null(col: Column) -> Column:
     """NaN means "missing" in the source data; Spark aggregates only skip null."""
-    return F.when(~F.isnan(col), col)
+    return F.nanvl(col, F.lit(None).cast("double"))
 
 
 def to_number(col: Column) -> Column:
     """Text to double; anything unparseable, and NaN, becomes null."""
     text = F.trim(col.cast("string"))
     # A trailing type letter ("1d", "2f") parses in the JVM but is not a number in the data.
-    suffixed = text.rlike("(?i)[df]$") & ~text.rlike("(?i)inf$")
+    tail = F.lower(F.substring(text, -3, 3))
+    suffixed = (tail.endswith("d") | tail.endswith("f")) & (tail != "inf")
     return nan_to_null(F.when(~suffixed, text.try_cast("double")))
 
 

@@ -33,7 +33,8 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_i
     A window without partitions would sort the table in one task. Here the table is range-partitioned
     and sorted in place, each row keeps its place within its partition, and the number of rows in
     earlier partitions is added. The sorted rows are staged, because partition bounds are sampled and
-    both passes must see the same ones. The offsets are one row per partition.
+    both passes must see the same ones. The offsets are one row per shuffle partition, whatever the size
+    of the table, so they are broadcast.
     """
     place = f"_{name}_place"
     ordered = (
@@ -50,7 +51,7 @@ def number_rows(df: DataFrame, order: Sequence[str | Column], name: str = "row_i
     )
     return (
         stored.withColumn("_part", part)
-        .join(offsets, "_part")
+        .join(F.broadcast(offsets), "_part")
         .withColumn(name, F.col("_offset") + row)
         .drop("_part", "_offset", place)
     )

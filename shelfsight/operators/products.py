@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from shelfsight.functions import numbers as N
 from shelfsight.functions.text import short_title
 from shelfsight.operators.ordering import top_rows
-from shelfsight.schema import PRODUCT_DISPLAY, select_existing
+from shelfsight.schema import PRODUCT_DISPLAY, is_numeric, select_existing
 
 
 def with_search_keyword(df: DataFrame) -> DataFrame:
@@ -86,9 +86,12 @@ def filter_products(
     """Report filters; the rating filter always applies, so unrated products always drop."""
     df = equals_or_all(df, "search_keyword", keyword)
     df = equals_or_all(df, "price_tier", tier)
-    if "rating" in df.columns:
-        df = df.where(N.number(df, "rating") >= min_rating)
-    return df
+    if "rating" not in df.columns:
+        return df
+    if is_numeric(df, "rating"):
+        # Written on the bare column, so that the scan can skip row groups.
+        return df.where((F.col("rating") >= min_rating) & ~F.isnan("rating"))
+    return df.where(N.number(df, "rating") >= min_rating)
 
 
 def top_n_products(

@@ -10,7 +10,7 @@ from shelfsight.operators import reports as P
 from shelfsight.operators.describe import describe_all
 from shelfsight.operators.ordering import top_rows
 from shelfsight.operators.products import equals_or_all, filter_products
-from shelfsight.schema import PRODUCT_CONTEXT
+from shelfsight.schema import PRODUCT_CONTEXT, is_numeric
 
 
 def filtered(
@@ -37,7 +37,8 @@ def data_context(
     bundle: dict[str, DataFrame] = {}
     if products is not None:
         named = [c for c in PRODUCT_CONTEXT if c in products.columns]
-        bundle["product_statistics"] = describe_all(products, named or None)
+        numbers = [c for c in products.columns if is_numeric(products, c)]
+        bundle["product_statistics"] = describe_all(products, named or numbers or None)
         sample = top_rows(products, 20, product_order)
         bundle["product_sample"] = sample.select(*named) if named else sample
     if reviews is not None:

@@ -1,4 +1,4 @@
-"""CSV backups, JDBC writes, and an export that survives a failing primary sink."""
+"""CSV backups, and an export that survives a failing primary sink."""
 
 from __future__ import annotations
 
@@ -28,14 +28,6 @@ def csv_backup(df: DataFrame, output_dir: str, table: str, run_ts: datetime) ->
     return path
 
 
-def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", batchsize: int = 10_000, **options: str) -> None:
-    """Append to or overwrite a database table, one connection for each partition."""
-    (
-        encode_nested(df).write.format("jdbc").mode(mode)
-        .options(url=url, dbtable=table, batchsize=str(batchsize), **options).save()
-    )
-
-
 def export(
     df: DataFrame,
     table: str,

@@ -19,6 +19,7 @@ from pyspark.errors import AnalysisException
 _BUCKET = "key_bucket"
 _NO_KEY = -1
 _MANIFEST = "version bigint, bucket int, path string, replaces string, schema string"
+_ENTRIES = f"array<struct<{_MANIFEST}>>"
 
 
 def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -98,11 +99,12 @@ class KeyedTable:
         return sorted(row[_BUCKET] for row in written)
 
     def _commit(self, version: int, entries: list[tuple], schema: T.StructType) -> None:
-        rows = [(version, bucket, path, replaces, schema.json()) for bucket, path, replaces in entries]
-        (
-            self.spark.createDataFrame(rows, _MANIFEST).coalesce(1)
-            .write.mode("append").json(f"{self.path}/manifest")
-        )
+        rows = [
+            {"version": version, "bucket": bucket, "path": path, "replaces": replaces, "schema": schema.json()}
+            for bucket, path, replaces in entries
+        ]
+        listed = F.inline(F.from_json(F.lit(json.dumps(rows)), _ENTRIES))
+        self.spark.range(1, numPartitions=1).select(listed).write.mode("append").json(f"{self.path}/manifest")
 
     def upsert(self, batch: DataFrame) -> None:
         """Replace all rows of the keys in ``batch`` by the rows of ``batch``.

@@ -83,3 +83,18 @@ def test_top_k_plans_do_not_sort_the_whole_table(spark):
     )
     plan = P.top_n_products(df)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.createDataFrame(
+        [("k", "t", 4.0, "x"), ("k", "t", float("nan"), "y")],
+        "search_keyword string, price_tier string, rating double, other string",
+    ).write.parquet(path)
+    df = P.filter_products(spark.read.parquet(path), "k", "t", 1.0).select("rating")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    assert "GreaterThanOrEqual(rating,1.0)" in plan and "EqualTo(search_keyword,k)" in plan
+    assert "other" not in plan
+    assert [r[0] for r in df.collect()] == [4.0]

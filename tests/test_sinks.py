@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfsight.sinks import price_log as L
-from shelfsight.sinks.backup import csv_backup, export, write_jdbc
+from shelfsight.sinks.backup import csv_backup, export
 from shelfsight.sinks.encode import encode_nested, stamp
+from shelfsight.sinks.jdbc import upsert_jdbc, upsert_statements
 from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sources.tables import load_best_source, scan_csv_latest, scan_table
 
@@ -103,7 +104,7 @@ def test_export_falls_back_to_the_backup(spark, tmp_path):
     df = spark.createDataFrame([("a", ["x"], 'say "hi"\nthere', 1.0)], "asin string, l array<string>, t string, best_price double")
 
     def broken(_):
-        write_jdbc(df, "jdbc:nothing://nowhere", "t")
+        upsert_jdbc(df, "jdbc:nothing://nowhere", "t", "asin")
 
     report = export(df, "products", TS, broken, out)
     assert report.primary_error and report.backup_path.endswith("products_20240110_120000.csv")
@@ -147,3 +148,10 @@ def test_price_log(spark, tmp_path):
     weekly = L.weekly_trend(log).orderBy("week").collect()
     assert [(r["observations"], r["avg_price"], r["previous_avg_price"]) for r in weekly] == [(2, 3.5, None), (1, 6.0, 3.5)]
     assert "negative_pct" not in weekly[0].asDict()
+
+
+def test_jdbc_upsert_statements():
+    assert upsert_statements("t", "t_staging", "asin", ["asin", "v"]) == [
+        'DELETE FROM t WHERE "asin" IN (SELECT "asin" FROM t_staging WHERE "asin" IS NOT NULL)',
+        'INSERT INTO t ("asin", "v") SELECT "asin", "v" FROM t_staging',
+    ]
