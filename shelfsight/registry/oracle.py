@@ -294,6 +294,10 @@ SELECT row_number() OVER (ORDER BY seq, pos) AS place, issue FROM {first} ORDER
     sql["review_recency"] = _r(f"""
 SELECT {_RID}, strftime(scraped_at, {_DAY}) AS review_date, review_age_days, review_age_days <= 30 AS is_recent
 FROM reviews""")
+    sql["parse_dates"] = _r(f"""
+SELECT {_RID}, CASE WHEN l_linenumber <= 5 THEN strftime(scraped_at, {_DAY}) END AS review_date,
+  CASE WHEN l_linenumber <= 5 THEN review_age_days END AS review_age_days,
+  l_linenumber <= 5 AND review_age_days <= 30 AS is_recent FROM reviews""")
     sql["recent_counts"] = _r("""
 SELECT count(*) FILTER (WHERE review_age_days <= 30) AS recent,
   count(*) FILTER (WHERE review_age_days <= 30 AND sentiment = 'Negative') AS recent_negative FROM reviews""")
@@ -409,6 +413,12 @@ SELECT doc_id, md5(text) AS digest, lang, source, n_chars, '["' || lang || '","'
 FROM documents"""
     sql["best_source"] = _r(
         "SELECT sentiment, count(*) AS count, 'Tables' AS source_label FROM reviews GROUP BY sentiment")
+    sql["scan_table"] = _p("""
+SELECT asin, rating, price_tier,
+  CASE WHEN rating > 2.5 THEN '2024-01-11 00:00:00' ELSE '2024-01-10 00:00:00' END AS scraped_at FROM products""")
+    sql["backup_after_failure"] = _p("""
+SELECT price_tier, count(*) AS count, 'CSV Files' AS source_label, 'ConnectionError: no database' AS primary_error
+FROM products WHERE price_tier IS NOT NULL GROUP BY price_tier""")
     sql["price_history"] = _p(f"""
 SELECT asin, strftime(scraped_at, {_DAY}) AS scraped_at, round(best_price, 4) AS best_price,
   round(lag(best_price) OVER w, 4) AS previous_price,

@@ -28,12 +28,12 @@ from shelfsight.registry.projections import (
 )
 from shelfsight.schema import PRODUCT_CONTEXT, RAW_PRODUCT, order_columns
 from shelfsight.sinks import price_log as L
-from shelfsight.sinks.backup import csv_backup
+from shelfsight.sinks.backup import csv_backup, export
 from shelfsight.sinks.encode import encode_nested, stamp
 from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sources import snapshot as S
 from shelfsight.sources.discovery import discover_by_keyword, url_source
-from shelfsight.sources.tables import load_best_source, scan_csv_latest
+from shelfsight.sources.tables import load_best_source, newest_first, scan_csv_latest, scan_table
 from shelfsight.staging import scratch_path
 from shelfsight.streaming.alerts import current_windows, negative_windows, write_updates
 from shelfsight.streaming.ingest import incremental_ingest
@@ -271,6 +271,18 @@ def review_recency(spark, sf_dir):
     return _text_time(df, "review_date").select(*_REVIEW_ID, "review_date", "review_age_days", "is_recent")
 
 
+@query
+def parse_dates(spark, sf_dir):
+    """Dates as text, in another notation for each line number."""
+    day = F.col("date")
+    notation = {1: "yyyy-MM-dd", 2: "MMMM d, yyyy", 3: "M/d/yyyy", 4: "yyyy-MM-dd'T'HH:mm:ss'Z'", 5: "d MMMM yyyy"}
+    text = F.when(F.col("l_linenumber") == 6, "some day")
+    for line, pattern in notation.items():
+        text = text.when(F.col("l_linenumber") == line, F.date_format(day, pattern))
+    df = V.with_recency(raw_reviews(spark, sf_dir).withColumn("date", text), AS_OF)
+    return _text_time(df, "review_date").select(*_REVIEW_ID, "review_date", "review_age_days", "is_recent")
+
+
 @query
 def recent_counts(spark, sf_dir):
     return R.recent_counts(V.with_recency(_reviews(spark, sf_dir), AS_OF))
@@ -507,6 +519,37 @@ def best_source(spark, sf_dir):
     return R.sentiment_distribution(found).select("sentiment", "count", F.lit(label).alias("source_label"))
 
 
+@query
+def scan_table_query(spark, sf_dir):
+    """Stored products after two runs, newest first."""
+    df = encode_nested(_products(spark, sf_dir))
+    target = KeyedTable(spark, scratch_path(spark, "stored"), "asin", buckets=16)
+    target.upsert(stamp(df, RUN_TS))
+    target.upsert(stamp(df.where(F.col("rating") > 2.5), RUN_TS.replace(day=11)))
+    found = newest_first(scan_table(target))
+    return _text_time(found, "scraped_at").select("asin", "rating", "price_tier", "scraped_at")
+
+
+_REGISTRY["scan_table"] = _REGISTRY.pop("scan_table_query")
+
+
+@query
+def backup_after_failure(spark, sf_dir):
+    """The primary sink fails, the backup is written, and the reports read the backup."""
+    folder = scratch_path(spark, "degraded")
+
+    def broken(df: DataFrame) -> None:
+        raise ConnectionError("no database")
+
+    report = export(_products(spark, sf_dir), "products", RUN_TS, broken, f"{folder}/csv")
+    products, _, label = load_best_source(
+        spark, KeyedTable(spark, f"{folder}/products", "asin"), KeyedTable(spark, f"{folder}/reviews", "asin"),
+        f"{folder}/csv",
+    )
+    counts = R.price_tier_counts(products)
+    return counts.withColumns({"source_label": F.lit(label), "primary_error": F.lit(report.primary_error)})
+
+
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as price observations of a product."""
     return _reviews(spark, sf_dir).select(
