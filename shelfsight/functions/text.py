@@ -103,9 +103,10 @@ def parse_response(col: Column) -> Column:
 
 def issue_suffix(issues: Column) -> Column:
     """`` | Issues: a, b`` for a non-empty list, else an empty text."""
-    return F.when(
-        F.size(issues) > 0, F.concat(F.lit(" | Issues: "), F.array_join(issues, ", "))
-    ).otherwise(F.lit(""))
+    listed = _let(issues, lambda i: F.when(
+        F.size(i) > 0, F.concat(F.lit(" | Issues: "), F.array_join(i, ", "))
+    ))
+    return F.coalesce(listed, F.lit(""))
 
 
 def summary_line(rating: Column, summary: Column, issues: Column) -> Column:

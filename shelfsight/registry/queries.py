@@ -43,9 +43,12 @@ RUN_TS = datetime(2024, 1, 10, tzinfo=timezone.utc)
 _REGISTRY: dict[str, Query] = {}
 
 
-def query(function: Query) -> Query:
-    _REGISTRY[function.__name__] = function
-    return function
+def query(function: Query | None = None, *, name: str | None = None):
+    """Register a query under its own name, or under ``name`` where an operator is already called that."""
+    def register(f: Query) -> Query:
+        _REGISTRY[name or f.__name__] = f
+        return f
+    return register(function) if function else register
 
 
 def all_queries() -> dict[str, Query]:
@@ -197,14 +200,12 @@ def reviews_for_top_products(spark, sf_dir):
     return V.reviews_for(raw_reviews(spark, sf_dir), urls, 4).select("asin", "url", *_REVIEW_ID)
 
 
-@query
+@query(name="discover_by_keyword")
 def discover_by_keyword_query(spark, sf_dir):
     found = discover_by_keyword(raw_products(spark, sf_dir), ("ring", "Red Widget", "wid get"), 10)
     return found.select("asin", "title", F.col("discovery_input.keyword").alias("keyword"))
 
 
-_REGISTRY["discover_by_keyword"] = _REGISTRY.pop("discover_by_keyword_query")
-
 
 # Reviews
 
@@ -519,7 +520,7 @@ def best_source(spark, sf_dir):
     return R.sentiment_distribution(found).select("sentiment", "count", F.lit(label).alias("source_label"))
 
 
-@query
+@query(name="scan_table")
 def scan_table_query(spark, sf_dir):
     """Stored products after two runs, newest first."""
     df = encode_nested(_products(spark, sf_dir))
@@ -530,8 +531,6 @@ def scan_table_query(spark, sf_dir):
     return _text_time(found, "scraped_at").select("asin", "rating", "price_tier", "scraped_at")
 
 
-_REGISTRY["scan_table"] = _REGISTRY.pop("scan_table_query")
-
 
 @query
 def backup_after_failure(spark, sf_dir):
@@ -655,7 +654,7 @@ def negative_rate_stream(spark, sf_dir):
     return _text_time(_rounded(current, "negative_rate"), "window_start")
 
 
-@query
+@query(name="incremental_ingest")
 def incremental_ingest_query(spark, sf_dir):
     """Products arrive as files and are upserted by a stream; running it again finds nothing new."""
     folder = scratch_path(spark, "ingest")
@@ -669,8 +668,6 @@ def incremental_ingest_query(spark, sf_dir):
     return target.read().select("p_partkey", "p_name", "p_retailprice")
 
 
-_REGISTRY["incremental_ingest"] = _REGISTRY.pop("incremental_ingest_query")
-
 
 # A whole run
 
