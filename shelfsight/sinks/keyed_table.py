@@ -10,15 +10,17 @@ from __future__ import annotations
 
 import json
 import uuid
+from dataclasses import dataclass, field
+from itertools import groupby
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 _BUCKET = "key_bucket"
 _NO_KEY = -1
-_MANIFEST = "version bigint, bucket int, path string, replaces string, schema string"
+_MANIFEST = "version bigint, bucket int, path string, replaces string, schema string, buckets int, commit_id string"
 _ENTRIES = f"array<struct<{_MANIFEST}>>"
 
 
@@ -32,8 +34,41 @@ def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
     return T.StructType([*old.fields, *added])
 
 
+@dataclass
+class _State:
+    """What the manifest says about the table now."""
+
+    version: int = 0
+    folders: dict[int, list[str]] = field(default_factory=dict)
+    schema: T.StructType = field(default_factory=T.StructType)
+    buckets: int | None = None
+    commit_ids: set[str] = field(default_factory=set)
+
+    def apply(self, changes: list) -> None:
+        """Apply the manifest rows of one commit: first what it removes, then what it adds."""
+        if any(row["replaces"] == "table" for row in changes):
+            self.folders = {}
+        for row in changes:
+            if row["replaces"] == "bucket":
+                self.folders.pop(row["bucket"], None)
+        for row in changes:
+            if row["path"] is not None:
+                self.folders.setdefault(row["bucket"], []).append(row["path"])
+        latest = changes[-1]
+        self.version = latest["version"]
+        self.schema = T.StructType.fromJson(json.loads(latest["schema"]))
+        self.buckets = latest["buckets"]
+        self.commit_ids.add(latest["commit_id"])
+
+    def paths(self) -> list[str]:
+        return [path for paths in self.folders.values() for path in paths]
+
+
 class KeyedTable:
-    """A table below ``path``, replaced key by key. ``key=None`` means every write replaces it all."""
+    """A table below ``path``, replaced key by key. ``key=None`` means every write replaces it all.
+
+    ``buckets`` counts only when the table is created; an existing table keeps its number.
+    """
 
     def __init__(self, spark: SparkSession, path: str, key: str | None, buckets: int = 256):
         self.spark = spark
@@ -41,34 +76,19 @@ class KeyedTable:
         self.key = key
         self.buckets = buckets
 
-    def _manifest(self) -> list:
-        """Manifest rows; their number grows with commits and buckets, not with the data."""
+    def _state(self) -> _State:
+        """Read the manifest; its size grows with commits and buckets, not with the data."""
+        state = _State()
         try:
-            return self.spark.read.schema(_MANIFEST).json(f"{self.path}/manifest").collect()
+            rows = self.spark.read.schema(_MANIFEST).json(f"{self.path}/manifest").collect()
         except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
-
-    def _live(self) -> tuple[int, dict[int, list[str]], T.StructType]:
-        """Latest version, current folders by bucket, and the table schema."""
-        version, folders, schema = 0, {}, T.StructType()
-        rows = sorted(self._manifest(), key=lambda r: r["version"])
-        by_version: dict[int, list] = {}
-        for row in rows:
-            by_version.setdefault(row["version"], []).append(row)
-        for version, changes in by_version.items():
-            for row in changes:
-                if row["replaces"] == "table":
-                    folders = {}
-            for row in changes:
-                if row["replaces"] == "bucket":
-                    folders.pop(row["bucket"], None)
-            for row in changes:
-                if row["path"] is not None:
-                    folders.setdefault(row["bucket"], []).append(row["path"])
-                schema = T.StructType.fromJson(json.loads(row["schema"]))
-        return version, folders, schema
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return state
+        for _, changes in groupby(sorted(rows, key=lambda r: r["version"]), key=lambda r: r["version"]):
+            state.apply(list(changes))
+        self.buckets = state.buckets or self.buckets
+        return state
 
     def _load(self, paths: list[str], schema: T.StructType) -> DataFrame:
         if not paths:
@@ -77,12 +97,12 @@ class KeyedTable:
         return self.spark.read.schema(schema).parquet(*full)
 
     def exists(self) -> bool:
-        return bool(self._manifest())
+        return self._state().version > 0
 
     def read(self) -> DataFrame:
         """The current rows."""
-        _, folders, schema = self._live()
-        return self._load([p for paths in folders.values() for p in paths], schema)
+        state = self._state()
+        return self._load(state.paths(), state.schema)
 
     def _bucketed(self, df: DataFrame) -> DataFrame:
         if self.key is None:
@@ -98,43 +118,49 @@ class KeyedTable:
         written = self.spark.read.schema(f"{_BUCKET} int").parquet(path).distinct().collect()
         return sorted(row[_BUCKET] for row in written)
 
-    def _commit(self, version: int, entries: list[tuple], schema: T.StructType) -> None:
+    def _commit(
+        self, version: int, entries: list[tuple], schema: T.StructType, commit_id: str | None = None
+    ) -> None:
+        shared = {
+            "version": version, "schema": schema.json(), "buckets": self.buckets, "commit_id": commit_id,
+        }
         rows = [
-            {"version": version, "bucket": bucket, "path": path, "replaces": replaces, "schema": schema.json()}
+            {**shared, "bucket": bucket, "path": path, "replaces": replaces}
             for bucket, path, replaces in entries
         ]
         listed = F.inline(F.from_json(F.lit(json.dumps(rows)), _ENTRIES))
         self.spark.range(1, numPartitions=1).select(listed).write.mode("append").json(f"{self.path}/manifest")
 
-    def upsert(self, batch: DataFrame) -> None:
+    def upsert(self, batch: DataFrame, commit_id: str | None = None) -> None:
         """Replace all rows of the keys in ``batch`` by the rows of ``batch``.
 
         Duplicate keys within the batch are all kept. Rows without a key are appended and replace
-        nothing. New columns are null in older rows.
+        nothing. New columns are null in older rows. A batch whose ``commit_id`` is already in the
+        manifest is not written again.
         """
+        state = self._state()
+        if commit_id is not None and commit_id in state.commit_ids:
+            return
         if self.key is None or self.key not in batch.columns:
-            self.replace_all(batch)
+            self.replace_all(batch, commit_id)
             return
-        version, folders, old_schema = self._live()
-        schema = _merged(old_schema, batch.schema)
+        schema = _merged(state.schema, batch.schema)
         run = f"data/run-{uuid.uuid4().hex}"
-        touched = self._write(batch, f"{run}/new")
-        entries = [
-            (b, f"{run}/new/{_BUCKET}={b}", "nothing" if b == _NO_KEY else "bucket") for b in touched
-        ]
-        older = [p for b in touched if b != _NO_KEY for p in folders.get(b, [])]
+        new = {b: f"{run}/new/{_BUCKET}={b}" for b in self._write(batch, f"{run}/new")}
+        entries = [(b, path, "nothing" if b == _NO_KEY else "bucket") for b, path in new.items()]
+        older = [path for b in new if b != _NO_KEY for path in state.folders.get(b, [])]
         if older:
-            keyed = [f"{self.path}/{path}" for b, path, _ in entries if b != _NO_KEY]
-            keys = self.spark.read.schema(batch.schema).parquet(*keyed).select(self.key).distinct()
-            kept = self._load(older, old_schema).join(keys, self.key, "left_anti")
+            keyed = [path for b, path in new.items() if b != _NO_KEY]
+            keys = self._load(keyed, batch.schema).select(self.key).distinct()
+            kept = self._load(older, state.schema).join(keys, self.key, "left_anti")
             entries += [
                 (b, f"{run}/kept/{_BUCKET}={b}", "bucket") for b in self._write(kept, f"{run}/kept")
             ]
-        self._commit(version + 1, entries, schema)
+        self._commit(state.version + 1, entries, schema, commit_id)
 
-    def replace_all(self, df: DataFrame) -> None:
+    def replace_all(self, df: DataFrame, commit_id: str | None = None) -> None:
         """Replace the whole table."""
-        version, _, _ = self._live()
+        version = self._state().version
         run = f"data/run-{uuid.uuid4().hex}"
         entries = [(b, f"{run}/all/{_BUCKET}={b}", "table") for b in self._write(df, f"{run}/all")]
-        self._commit(version + 1, entries or [(_NO_KEY, None, "table")], df.schema)
+        self._commit(version + 1, entries or [(_NO_KEY, None, "table")], df.schema, commit_id)

@@ -24,15 +24,15 @@ def incremental_ingest(
 ) -> StreamingQuery:
     """Upsert every new file of a folder once, then stop; later runs continue from the checkpoint.
 
-    The upsert of a batch is idempotent for rows that have a key, so a batch repeated after a failure
-    does no harm to them.
+    A batch is committed under the name of the checkpoint and its number, so one that is repeated after
+    a failure is written once.
     """
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
     if name_filter:
         reader = reader.option("pathGlobFilter", name_filter)
 
-    def write(batch: DataFrame, _: int) -> None:
-        table.upsert(transform(batch))
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.upsert(transform(batch), commit_id=f"{checkpoint_dir}#{batch_id}")
 
     return (
         reader.format(source_format).load(source_dir)

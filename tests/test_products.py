@@ -15,7 +15,7 @@ def frame(spark, *rows):
 def test_enrich_products(spark):
     df = frame(
         spark,
-        dict(title="BESIGN LS03 Aluminum Laptop Stand", asin="A", initial_price="19.99", final_price="16.99",
+        dict(title="Aluminum Laptop Stand 15 inch", asin="A", initial_price="19.99", final_price="16.99",
              rating="4.8", reviews_count="22776", categories=["Office Products", "Supplies"],
              discovery_input=("laptop stand",), availability="Only 3 left IN STOCK"),
         dict(title="b", asin="B", initial_price="x", categories=[]),

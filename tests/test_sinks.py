@@ -66,12 +66,21 @@ def test_random_upserts_equal_a_dictionary(spark, tmp_path):
     assert content(t) == sorted(((k, v) for k, vs in expected.items() for v in vs), key=str)
 
 
+def test_a_commit_id_is_written_once(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for _ in range(2):
+        t.upsert(batch(spark, ("a", 1), (None, 2)), commit_id="stream#0")
+    assert content(t) == [("a", 1), (None, 2)]
+    t.upsert(batch(spark, (None, 3)), commit_id="stream#1")
+    assert content(t) == [("a", 1), (None, 2), (None, 3)]
+
+
 def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     t = table(spark, tmp_path, buckets=64)
     t.upsert(batch(spark, *[(f"k{i}", i) for i in range(200)]))
-    _, before, _ = t._live()
-    t.upsert(batch(spark, ("k1", -1)))
-    _, after, _ = t._live()
+    before = t._state().folders
+    KeyedTable(spark, t.path, "asin", buckets=7).upsert(batch(spark, ("k1", -1)))
+    after = t._state().folders
     assert sum(before[b] != after[b] for b in before) == 1
     assert t.read().count() == 200
 
