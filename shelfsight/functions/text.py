@@ -46,12 +46,13 @@ def single_json_value(text: Column) -> Column:
     """The text of a JSON value if ``text`` is exactly one, else null.
 
     The JSON functions ignore whatever follows a complete value. Text that is valid both as the only
-    element of an array and as the only field of an object has nothing behind its value.
+    element of an array and as the only field of an object has nothing behind its value. Text without a
+    closing bracket cannot have ended the array early, so one check is enough for it.
     """
     def value(t: Column) -> Column:
         element = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>", _STRICT)
         field = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "v string", _STRICT)["v"]
-        return F.when(field.isNotNull(), _only_element(element))
+        return F.when(~t.contains("]") | field.isNotNull(), _only_element(element))
     return _let(text, value)
 
 

@@ -290,7 +290,7 @@ SELECT item, count(*) AS count FROM (SELECT unnest(theme_list) AS item FROM revi
 GROUP BY item ORDER BY count DESC, item LIMIT 15""")
     first = """(SELECT seq, unnest(issue_list) AS issue, generate_subscripts(issue_list, 1) AS pos FROM reviews)"""
     sql["first_issues"] = _r(f"""
-SELECT row_number() OVER (ORDER BY seq, pos) AS place, issue FROM {first} ORDER BY seq, pos LIMIT 10""")
+SELECT CAST(row_number() OVER (ORDER BY seq, pos) AS INTEGER) AS place, issue FROM {first} ORDER BY seq, pos LIMIT 10""")
     sql["review_recency"] = _r(f"""
 SELECT {_RID}, strftime(scraped_at, {_DAY}) AS review_date, review_age_days, review_age_days <= 30 AS is_recent
 FROM reviews""")

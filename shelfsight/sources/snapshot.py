@@ -27,26 +27,30 @@ def _line_values(text: Column) -> Column:
 
 def _objects(df: DataFrame) -> DataFrame:
     """Records are JSON objects; keep them with their place in the file."""
-    return df.where(F.json_object_keys("raw").isNotNull()).select("file", "seq", "pos", "raw")
+    return df.where(F.col("raw").startswith("{")).select("file", "seq", "pos", "raw")
 
 
-def read_documents(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
     """Files that are one payload each: a JSON document, or else the records of all good lines."""
-    files = spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("file"), strip(F.col("value")).alias("value")
-    )
+    files = spark.read.text(path, wholetext=True)
+    if max_bytes is not None:
+        files = files.where(F.col("_metadata.file_size") <= max_bytes)
+    texts = files.select(F.col("_metadata.file_path").alias("file"), strip(F.col("value")).alias("value"))
     records = F.coalesce(_values(F.col("value")), _line_values(F.col("value")))
     return _objects(
-        files.select("file", F.posexplode(records).alias("pos", "raw")).withColumn("seq", F.lit(0).cast("bigint"))
+        texts.select("file", F.posexplode(records).alias("pos", "raw")).withColumn("seq", F.lit(0).cast("bigint"))
     )
 
 
-def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, path: str, above_bytes: int | None = None) -> DataFrame:
     """Newline-delimited JSON of any size; a file is split over many tasks.
 
     A line may also hold a whole array. Bad and blank lines are dropped. ``seq`` follows the file order.
     """
-    lines = spark.read.text(paths).select(
+    files = spark.read.text(path)
+    if above_bytes is not None:
+        files = files.where(F.col("_metadata.file_size") > above_bytes)
+    lines = files.select(
         F.col("_metadata.file_path").alias("file"),
         F.monotonically_increasing_id().alias("seq"),
         strip(F.col("value")).alias("value"),
@@ -64,21 +68,19 @@ def scan_snapshot(spark: SparkSession, path: str, document_bytes: int = _DOCUMEN
 
     A payload may be one JSON document over many lines, which cannot be split, or one record per line.
     Files up to ``document_bytes`` are read whole and follow the exact rule; larger ones are read by line.
-    Sizes come from the file listing, without reading any content.
+    The file listing alone decides, so each file is opened by one of the two readers only.
     """
-    listing = spark.read.format("binaryFile").load(path).select("path", "length")
-    sizes = {row["path"]: row["length"] for row in listing.collect()}
-    small = [p for p, size in sizes.items() if size <= document_bytes]
-    large = [p for p, size in sizes.items() if size > document_bytes]
-    if not large:
-        return read_documents(spark, small or path)
-    by_line = read_lines(spark, large)
-    return read_documents(spark, small).unionByName(by_line) if small else by_line
+    documents = read_documents(spark, path, document_bytes)
+    return documents.unionByName(read_lines(spark, path, document_bytes))
 
 
 def has_error(df: DataFrame) -> DataFrame:
-    """Flag records that have an ``error`` key, whatever its value."""
-    return df.withColumn("is_error", F.array_contains(F.json_object_keys("raw"), "error"))
+    """Flag records that have an ``error`` key, whatever its value.
+
+    Keys are only looked up where the text has such a name in it.
+    """
+    named = F.array_contains(F.json_object_keys("raw"), "error")
+    return df.withColumn("is_error", F.col("raw").contains('"error"') & named)
 
 
 def split_errors(df: DataFrame) -> DataFrame:

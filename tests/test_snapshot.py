@@ -45,6 +45,12 @@ def test_large_files_are_read_by_line(spark, tmp_path):
     assert raws(S.scan_snapshot(spark, only_large, document_bytes=0)) == raws(S.scan_snapshot(spark, only_large))
 
 
+def test_an_error_value_is_not_an_error_key(spark, tmp_path):
+    rows = [{"title": "error"}, {"a": {"error": 1}}, {"error": 1}, {"a": "\"error\": x"}]
+    path = write(tmp_path / "v", a="\n".join(map(json.dumps, rows)) + '\n{"\\u0065rror": 1}')
+    assert raws(S.split_errors(S.scan_snapshot(spark, path))) == [rows[0], rows[1], rows[3]]
+
+
 def test_columns(spark, tmp_path):
     record = {**A, "initial_price": 19.99, "final_price": "16.99", "discovery_input": {"keyword": "k"}, "new_field": 7}
     path = write(tmp_path / "c", a=json.dumps([record, B]))
@@ -62,3 +68,15 @@ def test_columns(spark, tmp_path):
 def test_empty_folder_listing_is_empty(spark, tmp_path):
     path = write(tmp_path / "z", a="")
     assert S.scan_snapshot(spark, path).count() == 0
+
+
+def test_each_file_is_opened_by_one_reader(spark, tmp_path):
+    path = write(tmp_path / "r", big="\n".join([json.dumps(A)] * 500), small=json.dumps([A]), tiny=json.dumps(B))
+    df = S.scan_snapshot(spark, path, document_bytes=1000)
+    assert df.count() == 502
+    leaves = df._jdf.queryExecution().executedPlan()
+    df.collect()
+    opened, scans = [], leaves.collectLeaves().iterator()
+    while scans.hasNext():
+        opened.append(scans.next().metrics().apply("numFiles").value())
+    assert sorted(opened) == [1, 2]
