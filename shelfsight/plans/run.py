@@ -13,7 +13,7 @@ from shelfsight.operators.batches import enrich_batches
 from shelfsight.operators.ordering import FEW_KEYS
 from shelfsight.operators.products import enrich_products
 from shelfsight.operators.reviews import cap_reviews, reviews_for, with_recency
-from shelfsight.schema import REVIEW_KEY, order_columns, resolve
+from shelfsight.schema import PLACE, PRODUCT_KEY, REVIEW_KEY, order_columns, resolve
 from shelfsight.sinks.backup import ExportReport, export
 from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sources.discovery import discover_by_keyword, url_source
@@ -34,7 +34,7 @@ class Params:
     filter_unavailable: bool = False
     ai_batch_size: int = 10
     product_urls: tuple[str, ...] = ()
-    review_order: tuple[str, ...] = ("seq",)
+    review_order: tuple[str, ...] = PLACE
     product_table: str = "products"
     review_table: str = "reviews"
     buckets: int = 256
@@ -69,7 +69,12 @@ def collect_reviews(reviews: DataFrame, urls: DataFrame, params: Params) -> Data
     """Reviews of the chosen products, at most so many for each."""
     max_urls = max(params.top_n_products, len(params.product_urls))
     chosen = reviews_for(reviews, urls, max_urls)
-    return cap_reviews(chosen, params.reviews_per_product, params.review_order, FEW_KEYS)
+    return cap_reviews(chosen, params.reviews_per_product, _arrival(chosen, params), FEW_KEYS)
+
+
+def _arrival(df: DataFrame, params: Params) -> list[str]:
+    """The columns of the review order that exist."""
+    return [c for c in params.review_order if c in df.columns]
 
 
 def run_pipeline(
@@ -82,21 +87,22 @@ def run_pipeline(
 ) -> RunReport:
     """Run both branches and return a report. A failing product gate stops the run."""
     report = RunReport()
-    found = order_columns(discover_by_keyword(catalog, params.keywords, params.limit_per_keyword))
-    found = stage(found, "discovered")
+    found = discover_by_keyword(catalog, params.keywords, params.limit_per_keyword)
+    found = stage(order_columns(found.drop(*PLACE)), "discovered")
     _check(report, "raw products", found, Q.raw_products)
 
     # Both branches read the enriched products, so they are computed once.
     enriched = stage(enrich_products(found, params.filter_unavailable), "enriched")
     _check(report, "enriched products", enriched, Q.enriched_products)
-    report.products = _export(report, enriched, params.product_table, resolve(enriched, ("asin",)), params)
+    report.products = _export(report, enriched, params.product_table, resolve(enriched, PRODUCT_KEY), params)
 
     try:
         urls = url_source(spark, enriched, params.product_urls, params.top_n_products, params.sort_by)
         collected = stage(collect_reviews(reviews, urls, params), "collected")
         _check(report, "raw reviews", collected, Q.raw_reviews)
-        analysed = enrich_batches(collected, params.review_order, scorer, responses, params.ai_batch_size)
-        analysed = stage(with_recency(analysed, params.run_ts), "analysed")
+        order = _arrival(collected, params)
+        analysed = enrich_batches(collected, order, scorer, responses, params.ai_batch_size)
+        analysed = stage(with_recency(analysed, params.run_ts).drop(*PLACE, "batch_id"), "analysed")
         _check(report, "analysed reviews", analysed, Q.analysed_reviews)
         report.reviews = _export(report, analysed, params.review_table, resolve(analysed, REVIEW_KEY), params)
     except Exception as failure:

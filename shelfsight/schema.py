@@ -10,6 +10,9 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+# Columns that say where in a snapshot a record came from.
+PLACE = ("file", "seq", "pos")
+
 # Alternative physical names, first present wins.
 REVIEW_KEY = ("asin", "product_asin", "url")
 PRODUCT_KEY = ("asin",)

@@ -56,7 +56,7 @@ class _State:
                 self.folders.setdefault(row["bucket"], []).append(row["path"])
         latest = changes[-1]
         self.version = latest["version"]
-        self.schema = T.StructType.fromJson(json.loads(latest["schema"]))
+        self.schema = next(T.StructType.fromJson(json.loads(r["schema"])) for r in changes if r["schema"])
         self.buckets = latest["buckets"]
         self.commit_ids.add(latest["commit_id"])
 
@@ -121,13 +121,13 @@ class KeyedTable:
     def _commit(
         self, version: int, entries: list[tuple], schema: T.StructType, commit_id: str | None = None
     ) -> None:
-        shared = {
-            "version": version, "schema": schema.json(), "buckets": self.buckets, "commit_id": commit_id,
-        }
+        shared = {"version": version, "buckets": self.buckets, "commit_id": commit_id}
         rows = [
             {**shared, "bucket": bucket, "path": path, "replaces": replaces}
             for bucket, path, replaces in entries
         ]
+        # The schema is long and the same for all rows of a commit, so one of them carries it.
+        rows[:1] = [{**row, "schema": schema.json()} for row in rows[:1]]
         listed = F.inline(F.from_json(F.lit(json.dumps(rows)), _ENTRIES))
         self.spark.range(1, numPartitions=1).select(listed).write.mode("append").json(f"{self.path}/manifest")
 

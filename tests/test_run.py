@@ -1,10 +1,13 @@
+import json
 from datetime import datetime, timezone
 
 import pytest
 
 from shelfsight.operators.quality import GateFailure
 from shelfsight.plans.run import Params, run_pipeline
+from shelfsight.schema import RAW_PRODUCT, RAW_REVIEW
 from shelfsight.sinks.keyed_table import KeyedTable
+from shelfsight.sources import snapshot
 from shelfsight.sources.discovery import discover_by_keyword, url_source
 
 CATALOG = "asin string, title string, url string, initial_price string, final_price string, rating string, reviews_count string"
@@ -54,6 +57,7 @@ def test_whole_run(spark, tmp_path):
         "raw products", "enriched products", "stored products", "raw reviews", "analysed reviews", "stored reviews"}
     assert stored(spark, tmp_path, "products").count() == 20
     kept = stored(spark, tmp_path, "reviews")
+    assert not {"seq", "batch_id"} & set(kept.columns)
     assert kept.count() == 100 and {r["review_age_days"] for r in kept.collect()} == {9}
     assert {r["count"] for r in kept.groupBy("asin").count().collect()} == {25}
     again = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path, run_ts=datetime(2024, 1, 11, tzinfo=timezone.utc)))
@@ -72,3 +76,40 @@ def test_a_failing_product_gate_stops_the_run(spark, tmp_path):
     with pytest.raises(GateFailure, match="negative_discounts"):
         run_pipeline(spark, catalog(spark, price="12"), reviews(spark), params(tmp_path))
     assert not KeyedTable(spark, str(tmp_path / "store" / "products"), "asin").exists()
+
+
+def test_run_from_snapshot_files(spark, tmp_path):
+    products = [
+        {"asin": f"A{i}", "title": f"laptop stand {i}", "url": f"u{i}", "initial_price": 20, "final_price": 15.5,
+         "rating": 4.5, "reviews_count": i, "categories": ["Office", "Desk"]}
+        for i in range(12)
+    ] + [{"error": "blocked", "asin": "E"}]
+    comments = [
+        {"asin": f"A{i % 12}", "url": f"u{i % 12}", "review_text": f"text {i}", "rating": i % 5 + 1, "date": "January 2, 2024"}
+        for i in range(600)
+    ]
+    (tmp_path / "p").mkdir()
+    (tmp_path / "r").mkdir()
+    (tmp_path / "p" / "a.json").write_text(json.dumps(products, indent=1))
+    (tmp_path / "r" / "a.json").write_text("\n".join(map(json.dumps, comments[:300])))
+    (tmp_path / "r" / "b.json").write_text(json.dumps(comments[300:]))
+
+    def load(name, schema):
+        return snapshot.to_columns(snapshot.split_errors(snapshot.scan_snapshot(spark, str(tmp_path / name))), schema)
+
+    def scorer(items):
+        return json.dumps([{"index": n, "sentiment": "Neutral", "themes": ["desk"]} for n in range(1, len(items) + 1)])
+
+    chosen = params(tmp_path, keywords=("laptop stand",), top_n_products=3, reviews_per_product=7, ai_batch_size=4)
+    report = run_pipeline(spark, load("p", RAW_PRODUCT), load("r", RAW_REVIEW), chosen, scorer=scorer)
+    assert report.review_error is None
+    kept = stored(spark, tmp_path, "reviews").collect()
+    # The first seven of the three most reviewed products, in the order of the files.
+    expected = [c["review_text"] for a in (11, 10, 9) for c in [c for c in comments if c["asin"] == f"A{a}"][:7]]
+    assert sorted(r["review_text"] for r in kept) == sorted(expected)
+    assert {(r["sentiment"], r["themes"][0], r["analysis_method"]) for r in kept} == {("Neutral", "desk", "response")}
+    found = stored(spark, tmp_path, "products")
+    assert found.count() == 10 and "seq" not in found.columns
+    assert {(r["main_category"], r["discount_percent"], r["price_tier"]) for r in found.collect()} == {
+        ("Office", 22.5, "Budget (<$25)")}
+    assert (tmp_path / "csv" / "reviews_20240110_000000.csv").exists()
