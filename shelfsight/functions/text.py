@@ -59,8 +59,11 @@ def single_json_value(text: Column) -> Column:
 def parse_list(col: Column) -> Column:
     """List text to an array: JSON first, then with quotes swapped, else empty.
 
-    Text that does not look like a list is not parsed: failing is the slowest thing a parser does.
+    Text that does not look like a list is not parsed: failing is the slowest thing a parser does. Nor is
+    an empty list, which is the most frequent one.
     """
+    empty = F.array().cast("array<string>")
+
     def attempt(text: Column) -> Column:
         bare = strip(text)
         wrapped = F.when(
@@ -69,7 +72,9 @@ def parse_list(col: Column) -> Column:
         return _only_element(F.from_json(wrapped, "array<array<string>>"))
 
     swapped = F.replace(col, F.lit("'"), F.lit('"'))
-    return F.coalesce(attempt(col), attempt(swapped), F.array().cast("array<string>"))
+    return F.when(col.isNull() | (col == "[]"), empty).otherwise(
+        F.coalesce(attempt(col), attempt(swapped), empty)
+    )
 
 
 def truncate_text(col: Column, length: int = 500) -> Column:

@@ -22,6 +22,8 @@ def with_search_keyword(df: DataFrame) -> DataFrame:
     if isinstance(kind, T.StructType):
         has_keyword = "keyword" in kind.fieldNames()
         keyword = F.col("discovery_input.keyword") if has_keyword else F.lit(None).cast("string")
+    elif isinstance(kind, T.MapType):
+        keyword = F.try_element_at("discovery_input", F.lit("keyword"))
     elif isinstance(kind, T.VariantType):
         keyword = F.try_variant_get("discovery_input", "$.keyword", "string")
     else:

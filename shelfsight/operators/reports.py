@@ -254,7 +254,9 @@ def summaries_by_sentiment(
     sizes = rows.groupBy("sentiment").agg(F.count("*").alias("group_size"))
     parts = [top_rows(rows.where(F.col("sentiment") == s), per_sentiment, order) for s in shown]
     first = reduce(DataFrame.unionByName, parts)
-    line = X.summary_line(F.col("rating"), F.col("ai_summary"), list_column(df, "issues"))
+    rating = F.col("rating") if "rating" in df.columns else F.lit(None).cast("double")
+    issues = list_column(df, "issues") if "issues" in df.columns else F.array().cast("array<string>")
+    line = X.summary_line(rating, F.col("ai_summary"), issues)
     # One row per sentiment: at most three.
     return first.withColumn("line", line).join(F.broadcast(sizes), "sentiment")
 

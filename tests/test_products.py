@@ -43,6 +43,18 @@ def test_empty_input_has_a_stable_schema(spark):
     assert P.enrich_products(frame(spark)).count() == 0
 
 
+def test_keyword_from_any_nested_form(spark):
+    text = spark.createDataFrame([('{"keyword":"k"}',), ("junk",)], "discovery_input string")
+    forms = [
+        text.limit(1).select(F.from_json("discovery_input", "keyword string").alias("discovery_input")),
+        text.limit(1).select(F.from_json("discovery_input", "map<string,string>").alias("discovery_input")),
+        text.limit(1).select(F.parse_json("discovery_input").alias("discovery_input")),
+        text,
+    ]
+    got = [[r["search_keyword"] for r in P.with_search_keyword(f).collect()] for f in forms]
+    assert got == [["k"], ["k"], ["k"], ["k", None]]
+
+
 def test_order_columns_and_resolve(spark):
     df = spark.createDataFrame([(1, 2, 3)], "zeta int, asin int, title int")
     assert order_columns(df).columns == ["title", "asin", "zeta"]

@@ -72,6 +72,8 @@ def test_summaries_by_sentiment(spark):
     assert sorted(r["seq"] for r in got) == list(range(10)) + [15]
     assert {(r["sentiment"], r["group_size"]) for r in got} == {("Negative", 12), ("Neutral", 1)}
     assert got[0]["line"] == "1.0/5 -- t | Issues: p"
+    bare = R.summaries_by_sentiment(df.drop("rating", "issues"), ["seq"])
+    assert {r["line"] for r in bare.collect()} == {"N/A/5 -- t"}
 
 
 def test_distinct_options(spark):
