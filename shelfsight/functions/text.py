@@ -124,7 +124,8 @@ def summary_line(rating: Column, summary: Column, issues: Column) -> Column:
 
 
 def _format(pattern: str, col: Column, digits: int) -> Column:
-    return F.when(col.isNotNull(), F.format_string(pattern, round_exact(col, digits)))
+    text = F.format_string(pattern, round_exact(col, digits))
+    return F.when(col.isNotNull(), F.replace(text, F.lit("Infinity"), F.lit("inf")))
 
 
 def format_price(col: Column) -> Column:

@@ -212,7 +212,9 @@ WHERE search_keyword = 'widget' AND price_tier = 'Budget (<$25)' AND rating >= 0
 SELECT *, printf('$%.2f', avg_price) AS avg_price_text, printf('%.1f / 5.0', avg_rating) AS avg_rating_text,
   printf('%.1f%%', avg_discount) AS avg_discount_text
 FROM (SELECT count(*) AS products, round(avg(best_price), 4) AS avg_price, round(avg(rating), 4) AS avg_rating,
-  round(avg(discount_percent), 4) AS avg_discount FROM products WHERE NOT isinf(discount_percent))""")
+  CASE WHEN count(*) FILTER (WHERE isinf(discount_percent)) > 0 THEN CAST('-inf' AS DOUBLE)
+    ELSE round(avg(CASE WHEN isinf(discount_percent) THEN NULL ELSE discount_percent END), 4) END AS avg_discount
+  FROM products)""")
     sql["price_stats"] = _p("""
 SELECT min(best_price) AS min_price, max(best_price) AS max_price, round(avg(best_price), 4) AS avg_price,
   round(avg(rating), 4) AS avg_rating FROM products""")
@@ -424,7 +426,7 @@ SELECT asin, strftime(scraped_at, {_DAY}) AS scraped_at, round(best_price, 4) AS
   round(lag(best_price) OVER w, 4) AS previous_price,
   round(best_price - lag(best_price) OVER w, 4) AS price_change
 FROM (SELECT asin, TIMESTAMP '2024-01-10' AS scraped_at, best_price FROM products
-  UNION ALL SELECT asin, TIMESTAMP '2024-01-12', best_price * 0.5 FROM products WHERE p_partkey % 5 <> 0)
+  UNION ALL SELECT asin, TIMESTAMP '2024-01-12', best_price * 0.5 FROM products WHERE rating > 1)
 WINDOW w AS (PARTITION BY asin ORDER BY scraped_at)""")
     sql["price_latest"] = _r(f"""
 SELECT asin, strftime(scraped_at, {_DAY}) AS scraped_at, l_extendedprice AS best_price, rating
@@ -470,7 +472,7 @@ found AS (
     FROM (
       SELECT *, 'ring' AS keyword FROM products WHERE contains(lower(title), 'ring')
       UNION ALL SELECT *, 'widget' FROM products WHERE contains(lower(title), 'widget'))
-    WHERE p_partkey % 97 <> 0)
+    WHERE initial_price > 0)
   WHERE place <= 10),
 chosen AS (
   SELECT url FROM (SELECT * FROM found ORDER BY reviews_count DESC NULLS LAST, asin LIMIT 4) WHERE url IS NOT NULL)"""

@@ -121,9 +121,8 @@ def filter_keyword_tier(spark, sf_dir):
 
 @query
 def product_kpis(spark, sf_dir):
-    # The average discount is infinite as soon as one product has a zero initial price.
-    df = _products(spark, sf_dir).where(F.col("discount_percent") > float("-inf"))
-    kpis = _rounded(R.product_kpis(df), "avg_price", "avg_rating", "avg_discount")
+    """The average discount is infinite as soon as one product has a zero initial price."""
+    kpis = _rounded(R.product_kpis(_products(spark, sf_dir)), "avg_price", "avg_rating", "avg_discount")
     return R.product_kpi_labels(kpis)
 
 
@@ -558,11 +557,11 @@ def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def price_history(spark, sf_dir):
-    """Two runs appended to a log; the second sees other prices and misses some products."""
+    """Two runs appended to a log; the second sees other prices and only the better rated products."""
     path = scratch_path(spark, "price-log")
-    df = _products(spark, sf_dir).select("asin", "p_partkey", "best_price", "rating")
+    df = _products(spark, sf_dir).select("asin", "best_price", "rating")
     L.append_log(stamp(df, RUN_TS), path)
-    later = df.where(F.col("p_partkey") % 5 != 0).withColumn("best_price", F.col("best_price") * 0.5)
+    later = df.where(F.col("rating") > 1).withColumn("best_price", F.col("best_price") * 0.5)
     L.append_log(stamp(later, RUN_TS.replace(day=12)), path)
     changes = L.price_changes(spark.read.parquet(path))
     return _text_time(_rounded(changes, "best_price", "previous_price", "price_change"), "scraped_at")
@@ -673,9 +672,13 @@ def incremental_ingest_query(spark, sf_dir):
 
 @query
 def daily_run(spark, sf_dir):
-    """Discover, enrich, collect, analyse and store; then the stored reviews with their products."""
+    """Discover, enrich, collect, analyse and store; then the stored reviews with their products.
+
+    A product without a positive price would not pass the gate.
+    """
     folder = scratch_path(spark, "run")
-    catalog = raw_products(spark, sf_dir).where(F.col("p_partkey") % 97 != 0)
+    catalog = raw_products(spark, sf_dir)
+    catalog = catalog.where(N.number(catalog, "initial_price") > 0)
     reviews = raw_reviews(spark, sf_dir).drop("issues", "themes", "ai_summary").withColumn(
         "review_text", F.concat_ws(" ", "asin", "l_orderkey")
     )

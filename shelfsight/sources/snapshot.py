@@ -45,7 +45,9 @@ def read_documents(spark: SparkSession, path: str, max_bytes: int | None = None)
 def read_lines(spark: SparkSession, path: str, above_bytes: int | None = None) -> DataFrame:
     """Newline-delimited JSON of any size; a file is split over many tasks.
 
-    A line may also hold a whole array. Bad and blank lines are dropped. ``seq`` follows the file order.
+    A line may also hold a whole array. Bad and blank lines are dropped, but a line that opens an array
+    and does not close it means a document over many lines: reading it by line would lose its records, so
+    the job fails. ``seq`` follows the file order.
     """
     files = spark.read.text(path)
     if above_bytes is not None:
@@ -55,9 +57,12 @@ def read_lines(spark: SparkSession, path: str, above_bytes: int | None = None) -
         F.monotonically_increasing_id().alias("seq"),
         strip(F.col("value")).alias("value"),
     )
+    opened = F.when(F.col("value").startswith("["), F.raise_error(F.concat(
+        F.lit("JSON document over many lines, to be read whole (see document_bytes): "), F.col("file")
+    )))
     return _objects(
         lines.where(F.col("value") != "")
-        .select("file", "seq", F.posexplode(_values(F.col("value"))).alias("pos", "raw"))
+        .select("file", "seq", F.posexplode(F.coalesce(_values(F.col("value")), opened)).alias("pos", "raw"))
     )
 
 

@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import types as T
 
 from shelfsight.schema import RAW_PRODUCT
@@ -51,6 +52,14 @@ def test_an_error_value_is_not_an_error_key(spark, tmp_path):
     assert raws(S.split_errors(S.scan_snapshot(spark, path))) == [rows[0], rows[1], rows[3]]
 
 
+def test_a_long_document_is_not_read_by_line(spark, tmp_path):
+    for name, text in (("i", json.dumps([A, B], indent=1)), ("j", "[" + json.dumps(A) + ",\n" + json.dumps(B) + "]")):
+        path = write(tmp_path / name, a=text)
+        assert raws(S.scan_snapshot(spark, path)) == [A, B]
+        with pytest.raises(Exception, match="document_bytes"):
+            S.scan_snapshot(spark, path, document_bytes=5).collect()
+
+
 def test_columns(spark, tmp_path):
     record = {**A, "initial_price": 19.99, "final_price": "16.99", "discovery_input": {"keyword": "k"}, "new_field": 7}
     path = write(tmp_path / "c", a=json.dumps([record, B]))

@@ -80,7 +80,7 @@ def test_summary_line(spark):
 def test_formats(column):
     assert column([3.14159, None], X.format_price(F.col("v")), "double") == ["$3.14", None]
     assert column([4.25], X.format_rating(F.col("v")), "double") == ["4.2 / 5.0"]
-    assert column([12.34], X.format_percent(F.col("v")), "double") == ["12.3%"]
+    assert column([12.34, float("-inf")], X.format_percent(F.col("v")), "double") == ["12.3%", "-inf%"]
 
 
 def test_formats_round_the_exact_value(column):
