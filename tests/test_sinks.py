@@ -101,6 +101,15 @@ def test_no_key_column_replaces_all(spark, tmp_path):
     assert content(t) == []
 
 
+def test_a_batch_without_the_key_replaces_all(spark, tmp_path):
+    t = table(spark, tmp_path)
+    t.upsert(batch(spark, ("a", 1)))
+    t.upsert(batch(spark, ("b", 2)).drop("asin"))
+    assert content(t) == [(2,)]
+    t.upsert(batch(spark, ("c", 3)))
+    assert sorted(r["v"] for r in t.read().collect()) == [2, 3]
+
+
 def test_encode_nested_and_stamp(spark):
     df = spark.createDataFrame([(["a"], {"k": None}, b"x", 1)], "l array<string>, m map<string,string>, b binary, n int")
     row = encode_nested(stamp(df, TS)).first()
