@@ -12,6 +12,7 @@ from shelfsight.staging import stage
 # monotonically_increasing_id keeps the partition above bit 33 and the row below it.
 _ROW_BITS = 33
 _BROADCAST_ROWS = 100_000
+_TOP_K_TASKS = 10_000
 
 # For groupings that have a handful of keys, each of them large.
 FEW_KEYS = 64
@@ -90,5 +91,8 @@ def _first_rows(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str
 
 
 def top_rows(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
-    """The first ``n`` rows in ``order``: a per-partition top-k and one merge of ``n`` rows each."""
-    return df.orderBy(*order).limit(n)
+    """The first ``n`` rows in ``order``: a top-k in each task and one merge of ``n`` rows from each.
+
+    Very many input splits share their tasks, without a shuffle, which bounds what the merge receives.
+    """
+    return df.coalesce(_TOP_K_TASKS).orderBy(*order).limit(n)

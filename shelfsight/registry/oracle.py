@@ -329,6 +329,10 @@ FROM reviews r JOIN products_raw p ON r.asin = p.asin
 WHERE r.scraped_at > TIMESTAMP '1998-06-01 12:00:00' - INTERVAL 7 DAY
 GROUP BY r.asin, p.title
 HAVING avg(CASE WHEN r.sentiment = 'Negative' THEN 1.0 ELSE 0 END) > 0.2""")
+    sql["negative_rate_sql"] = _r("""
+SELECT asin, round(avg(CASE WHEN sentiment = 'Negative' THEN 1.0 ELSE 0 END), 4) AS negative_rate FROM reviews
+WHERE scraped_at > TIMESTAMP '1998-06-01 12:00:00' - INTERVAL 7 DAY
+GROUP BY asin HAVING avg(CASE WHEN sentiment = 'Negative' THEN 1.0 ELSE 0 END) > 0.2""")
     sql["summaries_by_sentiment"] = _r(f"""
 SELECT sentiment, group_size, printf('%.1f', rating) || '/5 -- ' || ai_summary ||
   CASE WHEN len(issue_list) > 0 THEN ' | Issues: ' || array_to_string(issue_list, ', ') ELSE '' END AS line, {_RID}

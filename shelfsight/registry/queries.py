@@ -336,6 +336,21 @@ def negative_rate_7d(spark, sf_dir):
     )
 
 
+@query
+def negative_rate_sql(spark, sf_dir):
+    """The same rule as SQL, as a user of the stored tables would write it."""
+    return spark.sql(
+        """
+        SELECT asin, round(avg(CASE WHEN sentiment = 'Negative' THEN 1 ELSE 0 END), 4) AS negative_rate
+        FROM {reviews}
+        WHERE scraped_at > :as_of - INTERVAL 7 DAYS
+        GROUP BY asin
+        HAVING avg(CASE WHEN sentiment = 'Negative' THEN 1 ELSE 0 END) > 0.2
+        """,
+        args={"as_of": AS_OF.replace(tzinfo=timezone.utc)}, reviews=_reviews(spark, sf_dir),
+    )
+
+
 @query
 def summaries_by_sentiment(spark, sf_dir):
     df = R.summaries_by_sentiment(_reviews(spark, sf_dir), review_order())

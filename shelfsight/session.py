@@ -11,6 +11,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A batch of reviews holds whole texts, so its bytes and not its rows limit what a Python worker gets.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "64m",
     # Per-group caps above 1000 rows still get their map-side limit.
     "spark.sql.optimizer.windowGroupLimitThreshold": "100000",
     "spark.sql.streaming.stateStore.providerClass":
