@@ -73,11 +73,12 @@ def cap_per_group(
     With ``spread > 1`` a first round ranks within ``(key, group of map tasks)`` and a second round ranks
     what is left, which divides that reducer's work by ``spread``. It pays if there are few keys, or if
     ``n`` is large; with very many keys it shuffles most rows twice. The default is to spread only if
-    ``n`` is above 50. The group does not influence the result, which depends on ``order`` alone.
+    ``n`` is above 50, and widely if it is above 1000, where Spark by default has no map-side limit. The
+    group does not influence the result, which depends on ``order`` alone.
     """
     if key is None or n <= 0:
         return df
-    spread = spread or (64 if n > 50 else 1)
+    spread = spread or _spread_for(n)
     keyed = df.where(F.col(key).isNotNull())
     if spread > 1:
         keyed = keyed.withColumn("_spread", F.spark_partition_id() % spread)
@@ -85,6 +86,12 @@ def cap_per_group(
     return _first_rows(keyed, [key], n, order)
 
 
+def _spread_for(n: int) -> int:
+    if n <= 50:
+        return 1
+    return FEW_KEYS if n <= 1000 else 64 * FEW_KEYS
+
+
 def _first_rows(df: DataFrame, keys: Sequence[str], n: int, order: Sequence[str | Column]) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")

@@ -15,7 +15,9 @@ from shelfsight.operators.products import enrich_products
 from shelfsight.operators.reviews import cap_reviews, reviews_for, with_recency
 from shelfsight.schema import PLACE, PRODUCT_KEY, REVIEW_KEY, order_columns, resolve
 from shelfsight.sinks.backup import ExportReport, export
+from shelfsight.sinks.encode import stamp
 from shelfsight.sinks.keyed_table import KeyedTable
+from shelfsight.sinks.price_log import append_log
 from shelfsight.sources.discovery import discover_by_keyword, url_source
 from shelfsight.staging import stage
 
@@ -35,6 +37,7 @@ class Params:
     ai_batch_size: int = 10
     product_urls: tuple[str, ...] = ()
     review_order: tuple[str, ...] = PLACE
+    history_dir: str | None = None
     product_table: str = "products"
     review_table: str = "reviews"
     buckets: int = 256
@@ -95,6 +98,8 @@ def run_pipeline(
     enriched = stage(enrich_products(found, params.filter_unavailable), "enriched")
     _check(report, "enriched products", enriched, Q.enriched_products)
     report.products = _export(report, enriched, params.product_table, resolve(enriched, PRODUCT_KEY), params)
+    if params.history_dir and not report.products.skipped:
+        append_log(stamp(enriched, params.run_ts), params.history_dir)
 
     try:
         urls = url_source(spark, enriched, params.product_urls, params.top_n_products, params.sort_by)

@@ -74,6 +74,14 @@ def test_cap_with_a_hot_key_equals_brute_force(spark):
         assert {r["id"] for r in cap_per_group(df, "k", 7, ["o", "id"], spread).collect()} == expected
 
 
+def test_large_caps_are_spread(spark):
+    df = spark.range(0, 6000, 1, 12).select((F.col("id") % 3).alias("k"), "id")
+    for n in (60, 1500):
+        plan = cap_per_group(df, "k", n, ["id"])._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert {r["id"] for r in cap_per_group(df, "k", n, ["id"]).collect()} == set(range(3 * n))
+
+
 def test_cap_limits_each_map_task_before_the_shuffle(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), "id")
     for spread in (1, 8):

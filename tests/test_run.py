@@ -7,6 +7,7 @@ from shelfsight.operators.quality import GateFailure
 from shelfsight.plans.run import Params, run_pipeline
 from shelfsight.schema import RAW_PRODUCT, RAW_REVIEW
 from shelfsight.sinks.keyed_table import KeyedTable
+from shelfsight.sinks.price_log import price_changes
 from shelfsight.sources import snapshot
 from shelfsight.sources.discovery import discover_by_keyword, url_source
 
@@ -51,7 +52,8 @@ def test_url_source(spark):
 
 
 def test_whole_run(spark, tmp_path):
-    report = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path))
+    history = str(tmp_path / "history")
+    report = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path, history_dir=history))
     assert report.review_error is None and report.products.primary_error is None
     assert set(report.gates) == {
         "raw products", "enriched products", "stored products", "raw reviews", "analysed reviews", "stored reviews"}
@@ -60,8 +62,11 @@ def test_whole_run(spark, tmp_path):
     assert not {"seq", "batch_id"} & set(kept.columns)
     assert kept.count() == 100 and {r["review_age_days"] for r in kept.collect()} == {9}
     assert {r["count"] for r in kept.groupBy("asin").count().collect()} == {25}
-    again = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path, run_ts=datetime(2024, 1, 11, tzinfo=timezone.utc)))
+    later = params(tmp_path, history_dir=history, run_ts=datetime(2024, 1, 11, tzinfo=timezone.utc))
+    again = run_pipeline(spark, catalog(spark, "9"), reviews(spark), later)
     assert again.review_error is None
+    changes = price_changes(spark.read.parquet(history)).where("price_change IS NOT NULL").collect()
+    assert [r["price_change"] for r in changes] == [-0.5] * 20
     assert stored(spark, tmp_path, "products").count() == 20 and stored(spark, tmp_path, "reviews").count() == 100
 
 
