@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,9 +22,12 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError(f"set {_CONF} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="shelfsight-")
-    spark.conf.set(_CONF, folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="shelfsight-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
