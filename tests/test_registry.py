@@ -5,6 +5,8 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as entry_module
+from shelfsight.registry.oracle import all_sql
+from shelfsight.registry.queries import all_queries
 
 duckdb = pytest.importorskip("duckdb")
 DATA = Path("/root/testdata/sf0.001")
@@ -20,10 +22,11 @@ def sql():
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(all_queries()) == set(all_sql())
+    assert set(all_queries()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_module.queries()))
+@pytest.mark.parametrize("name", sorted(all_queries()))
 def test_query_equals_sql(spark, sql, name):
     df = entry_module.queries()[name](spark, str(DATA))
     columns = sorted(df.columns)
