@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from shelfsight.llm.common import documents
 from shelfsight.llm.decontaminate import decontaminate
 from shelfsight.llm.exact_dedup import exact_groups
 from shelfsight.llm.mixing import mix
+from shelfsight.llm.secrets import scan_secrets
+from shelfsight.llm.simhash import simhash_groups
+from shelfsight.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +39,32 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("_digest")).alias("text_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix_sources, op2_decontaminate, op3_exact_dedup)}
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of every document and the smallest id linked to it."""
+    return simhash_groups(documents(spark, sf_dir).select("doc_id", "text"))
+
+
+def op9_token_counts(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
+    """Bytes and tokens of every document; ``model`` is a file of the public tokenizers."""
+    import public_tokenizers
+
+    counted = token_counts(documents(spark, sf_dir).select("doc_id", "text"), Path(public_tokenizers.path(model)).read_bytes())
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    found = scan_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    digest = F.sha2("base_spans", 256).alias("base_sha256")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "n_pair")
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (
+        op1_mix_sources, op2_decontaminate, op3_exact_dedup, op6_simhash_dedup, op9_token_counts, op10_secret_scan,
+    )
+}
 
 SQL: dict[str, str] = {
     "op1_mix_sources": r"""
