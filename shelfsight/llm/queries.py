@@ -5,13 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfsight.llm.common import documents
 from shelfsight.llm.decontaminate import decontaminate
 from shelfsight.llm.exact_dedup import exact_groups
+from shelfsight.llm.language_id import fit, held_out, identify
+from shelfsight.llm.line_dedup import line_dedup
 from shelfsight.llm.mixing import mix
+from shelfsight.llm.quality import quality_scores
 from shelfsight.llm.secrets import scan_secrets
 from shelfsight.llm.simhash import simhash_groups
 from shelfsight.llm.token_counts import token_counts
@@ -19,6 +22,11 @@ from shelfsight.llm.token_counts import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def good_label() -> Column:
+    """Labelled documents of good quality that are not toxic."""
+    return (F.col("quality") == 1) & (F.coalesce(F.col("toxic"), F.lit(0)) == 0)
+
+
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words of each document the mix takes."""
     docs = documents(spark, sf_dir).select("doc_id", "text", "source")
@@ -39,11 +47,32 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("_digest")).alias("text_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang").withColumn("held_out", held_out("doc_id"))
+    model = fit(docs.where(~F.col("held_out")))
+    return identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of every document and the smallest id linked to it."""
     return simhash_groups(documents(spark, sf_dir).select("doc_id", "text"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The importance of every document and whether it is resampled."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality_scores(docs, labels, good_label())
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that ten sources or more share."""
+    kept = line_dedup(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("kept_chars"), digest)
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str, model: str = "piece_bpe_32k.model") -> DataFrame:
     """Bytes and tokens of every document; ``model`` is a file of the public tokenizers."""
     import public_tokenizers
@@ -62,7 +91,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_mix_sources, op2_decontaminate, op3_exact_dedup, op6_simhash_dedup, op9_token_counts, op10_secret_scan,
+        op1_mix_sources, op2_decontaminate, op3_exact_dedup, op4_language_id, op6_simhash_dedup, op7_quality,
+        op8_line_dedup, op9_token_counts, op10_secret_scan,
     )
 }
 
@@ -148,6 +178,22 @@ WINDOW o AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
 """,
 }
 
+SQL["op8_line_dedup"] = r"""
+WITH lines AS (
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
+    FROM documents WHERE length(text) > 0
+), bare AS (SELECT *, trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM lines),
+gone AS (SELECT body FROM bare WHERE body <> '' GROUP BY body HAVING count(DISTINCT source) >= 10),
+kept AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE g.body IS NOT NULL) AS n_removed,
+        coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE g.body IS NULL), '') AS text
+    FROM bare LEFT JOIN gone g USING (body) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed,
+    length(coalesce(k.text, ''))::BIGINT AS kept_chars, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
 
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
