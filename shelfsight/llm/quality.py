@@ -9,6 +9,7 @@ the ``k`` largest stay, ``k`` being the number of documents whose weight is that
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,9 @@ from shelfsight.llm.common import text_values
 from shelfsight.operators.ordering import number_rows
 from shelfsight.staging import stage
 
-BUCKETS = 1 << 17
+#: Buckets of each of two tables. An n-gram has a bucket in both, and the milder of their two ratios counts, so
+#: sharing one bucket with a bad n-gram does no harm.
+BUCKETS = 1 << 16
 #: Labelled documents of either kind that are used, by the smallest digests of their ids.
 LABELLED = 20_000
 #: Occurrences that both models are taken to have seen of every n-gram, in the raw model's ratio.
@@ -31,7 +34,14 @@ NOISE = 0.5
 #: What log weights are multiplied by before the Gumbel numbers, of deviation 1.3, are added.
 SHARPNESS = 20.0
 _CACHE, _CACHED_LENGTH, _CHUNK = 500_000, 48, 1 << 18
-_PAIR = np.uint64(0x9E3779B97F4A7C15)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+_SHAPE = bytes(
+    0x41 if 0x41 <= c <= 0x5A else 0x61 if 0x61 <= c <= 0x7A or c >= 0x80 else 0x30 if 0x30 <= c <= 0x39 else c
+    for c in range(256)
+)
+_RUN = re.compile(rb"([Aa0])\1+")
+_THRICE = np.uint64(3)
+_SHIFT = np.uint64(64 - (BUCKETS.bit_length() - 1))
 
 
 class _Hashes(dict):
@@ -47,23 +57,31 @@ class _Hashes(dict):
 
 
 def ngram_buckets(text: bytes, hashes: dict) -> np.ndarray:
-    """Distinct buckets of the words and of the pairs of neighbouring words of a text."""
+    """``(2, n)`` buckets of the distinct n-grams of a text, one row for each table.
+
+    They are its words, its pairs of neighbouring words, the shapes of its words (runs of letters of one case and of
+    digits being one sign each), and one for a word that comes three times in a row.
+    """
     words = text.lower().split()
-    shift = np.uint64(64 - (BUCKETS.bit_length() - 1))
-    found = np.zeros(0, dtype=np.int64)
+    shapes = set(_RUN.sub(rb"\1", text.translate(_SHAPE)).split())
+    found = np.array([xxhash.xxh64_intdigest(s, 1) for s in shapes], dtype=np.uint64)
     for start in range(0, len(words), _CHUNK):
-        part = words[start:start + _CHUNK + 1]
+        part = words[start:start + _CHUNK + 2]
         ids = np.fromiter(map(hashes.__getitem__, part), dtype=np.uint64, count=len(part))
-        pairs = (ids[:-1] * _PAIR ^ (ids[1:] >> np.uint64(7))) * _PAIR
-        found = np.unique(np.concatenate([found, (ids[:_CHUNK] >> shift).astype(np.int64), (pairs >> shift).astype(np.int64)]))
-    return found
+        pairs = (ids[:-1] * _MIX ^ (ids[1:] >> np.uint64(7))) * _MIX
+        if ((ids[:-2] == ids[1:-1]) & (ids[1:-1] == ids[2:])).any():
+            found = np.append(found, _THRICE)
+        found = np.unique(np.concatenate([found, ids[:_CHUNK], pairs]))
+    first = (found >> _SHIFT).astype(np.int64)
+    second = ((found ^ (found >> np.uint64(29))) * _MIX >> _SHIFT).astype(np.int64)
+    return np.stack([first, second + BUCKETS])
 
 
 class _Tally:
     """Counts of buckets, added up a million at a time."""
 
     def __init__(self) -> None:
-        self.counts, self._waiting, self._size = np.zeros(BUCKETS, dtype=np.int64), [], 0
+        self.counts, self._waiting, self._size = np.zeros(2 * BUCKETS, dtype=np.int64), [], 0
 
     def add(self, buckets: np.ndarray) -> None:
         self._waiting.append(buckets)
@@ -73,20 +91,20 @@ class _Tally:
 
     def total(self) -> np.ndarray:
         if self._waiting:
-            self.counts += np.bincount(np.concatenate(self._waiting), minlength=BUCKETS)
+            self.counts += np.bincount(np.concatenate(self._waiting), minlength=2 * BUCKETS)
             self._waiting, self._size = [], 0
         return self.counts
 
 
 def _counts(df: DataFrame, text: str, target: Column) -> np.ndarray:
-    """``(2, BUCKETS)`` rows that have an n-gram, of all and of the target rows. Each task hands over what it has counted."""
+    """``(2, 2 * BUCKETS)`` rows that have an n-gram, of all and of the target rows. Each task hands over what it has counted."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good, hashes = _Tally(), _Tally(), _Hashes()
         for batch in batches:
             flags = batch.column(1).to_pylist()
             for value, is_target in zip(text_values(batch.column(0)), flags, strict=True):
-                buckets = ngram_buckets(value, hashes)
+                buckets = ngram_buckets(value, hashes).ravel()
                 raw.add(buckets)
                 if is_target:
                     good.add(buckets)
@@ -97,7 +115,7 @@ def _counts(df: DataFrame, text: str, target: Column) -> np.ndarray:
     sums = texts.mapInArrow(count, "bucket bigint, raw bigint, good bigint").groupBy("bucket").agg(
         F.sum("raw").alias("raw"), F.sum("good").alias("good")
     )
-    counts = np.zeros((2, BUCKETS))
+    counts = np.zeros((2, 2 * BUCKETS))
     for bucket, raw, good in sums.collect():
         counts[:, bucket] = raw, good
     return counts
@@ -112,7 +130,7 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     raw, good = counts
     used = np.flatnonzero((raw > 0) & (good > 0))
     if not len(used):
-        return np.zeros(BUCKETS)
+        return np.zeros(2 * BUCKETS)
     ratio = good[used] / raw[used]
     order = np.argsort(ratio)
     weight = np.cumsum(raw[used][order])
@@ -121,6 +139,11 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
     return np.where(np.abs(logs) < NOISE, 0.0, logs)
 
 
+def log_weight(ratios: np.ndarray, buckets: np.ndarray) -> float:
+    one, two = ratios[buckets]
+    return float(np.where(one * two > 0, np.where(np.abs(one) < np.abs(two), one, two), 0.0).sum())
+
+
 def _labelled(labels: DataFrame, key: str, good: Column, limit: int) -> DataFrame:
     """``_id, _good`` of about ``limit`` labelled rows of either kind, those with the smallest digests."""
     ids = labels.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_id")).agg(F.min(F.coalesce(good, F.lit(False))).alias("_good"))
@@ -142,7 +165,7 @@ def log_weights(df: DataFrame, ratios: np.ndarray, text: str = "text") -> DataFr
             rows = []
             for value in text_values(texts):
                 buckets = ngram_buckets(value, hashes)
-                rows.append({"n_grams": len(buckets), "log_weight": float(table[buckets].sum())})
+                rows.append({"n_grams": buckets.shape[1], "log_weight": log_weight(table, buckets)})
             yield pa.array(rows, kind)
 
     return df.withColumn("_weight", weigh(F.col(text).cast("binary"))).withColumns(

@@ -17,6 +17,7 @@ from shelfsight.llm.mixing import mix
 from shelfsight.llm.quality import quality_scores
 from shelfsight.llm.secrets import scan_secrets
 from shelfsight.llm.simhash import simhash_groups
+from shelfsight.llm.substring_dedup import substring_dedup
 from shelfsight.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +55,12 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score", "rejected")
 
 
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without passages of twenty words that an earlier place has."""
+    kept = substring_dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fingerprint of every document and the smallest id linked to it."""
     return simhash_groups(documents(spark, sf_dir).select("doc_id", "text"))
@@ -91,8 +98,8 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
-        op1_mix_sources, op2_decontaminate, op3_exact_dedup, op4_language_id, op6_simhash_dedup, op7_quality,
-        op8_line_dedup, op9_token_counts, op10_secret_scan,
+        op1_mix_sources, op2_decontaminate, op3_exact_dedup, op4_language_id, op5_substring_dedup,
+        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan,
     )
 }
 
