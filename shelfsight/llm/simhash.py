@@ -9,7 +9,8 @@ the fingerprint itself. So no bucket is ever paired off, and no link is lost.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -25,6 +26,10 @@ RADIUS, SEGMENTS, WIDTH = 3, 4, 16
 #: Fingerprints of one chain that are compared directly; a longer list has its chain lengthened instead.
 CHAIN_LIMIT = 32
 _CHUNK = 1 << 18
+#: Signatures have this many 64-bit words, cut into segments of this many bits.
+LANES, SHORT = 15, 24
+#: Words of a shingle and similarity of near copies.
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def shingle_hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -48,6 +53,34 @@ def fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
 
 
+_LANE = np.random.default_rng(6).integers(0, 1 << 63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def signature(text: bytes, size: int) -> list[int]:
+    """SimHash of ``LANES`` words of 64 bits, each from its own mix of the shingles' hashes; no words, all 0."""
+    counts, total = np.zeros((LANES, 64), dtype=np.int64), 0
+    for hashes in shingle_hashes(text.lower().split(), size):
+        for lane, factor in enumerate(_LANE):
+            mixed = (hashes ^ (hashes >> np.uint64(32))) * factor
+            mixed ^= mixed >> np.uint64(29)
+            for start in range(0, len(mixed), 1 << 14):
+                part = mixed[start:start + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
+                counts[lane] += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        total += len(hashes)
+    return np.packbits(2 * counts > total, axis=1, bitorder="little").view("<i8").ravel().tolist()
+
+
+def signatures(size: int):
+    """An Arrow function from texts in UTF-8 to signatures."""
+
+    @F.arrow_udf("array<bigint>")
+    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array([signature(t, size) for t in text_values(texts)], pa.list_(pa.int64()))
+
+    return compute
+
+
 def fingerprints(size: int):
     """An Arrow function from texts in UTF-8 to fingerprints."""
 
@@ -147,9 +180,12 @@ def components(pairs: DataFrame) -> DataFrame:
             return labels
 
 
-def near_groups(rows: DataFrame, key: str = "doc_id") -> DataFrame:
+def near_groups(rows: DataFrame, key: str = "doc_id", link: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Add ``component_id, keep_row`` to stored rows that have ``_row`` and a fingerprint ``fp``.
 
+    ``link`` gives the stored pairs ``a < b`` of the stored groups' fingerprints ``fp`` that belong together; by
+    default those within three bits. The groups have ``first``, the row of smallest id.
+
     ``component_id`` is the smallest id of the rows reachable by links, ``keep_row`` the row that has it (null
     ids last, then the first row). Answers go from each fingerprint to its groups of rows in one input partition,
     and from there to the rows, so a fingerprint that very many rows share is dealt to many tasks.
@@ -158,7 +194,7 @@ def near_groups(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     dealt = rows.withColumn("_run", F.shiftright("_row", 33))
     runs = dealt.groupBy("_run", "fp").agg(best.alias("first"))
     groups = stage(runs.groupBy("fp").agg(F.min("first").alias("first")), "fingerprints")
-    found = components(links(groups.select("fp")))
+    found = components((link or links)(groups))
     labelled = groups.join(found, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     smallest = labelled.groupBy("label").agg(F.min("first").alias("smallest"))
     answers = labelled.select("fp", "label").join(smallest, "label").select("fp", "smallest")
@@ -177,3 +213,79 @@ def simhash_groups(df: DataFrame, text: str = "text", key: str = "doc_id", shing
     rows = stage_rows(df.select(key, fingerprints(shingle)(F.col(text).cast("binary")).alias("fp")), "simhash-rows")
     hexadecimal = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return near_groups(rows, key).select(key, hexadecimal, "component_id")
+
+
+def differing_bits(similarity: float) -> int:
+    """Bits in which signatures differ at most if the shingle sets of two equally long texts have this Jaccard similarity."""
+    return round(math.acos(2 * similarity / (1 + similarity)) / math.pi * 64 * LANES)
+
+
+def _segments() -> Column:
+    """``(start, key, next)`` for each segment of a signature: its bits, and those of the two segments after it."""
+    def bits(segment: Column) -> Column:
+        at = segment * SHORT
+        lane, shift = (F.floor(at / 64)).cast("int"), (at % 64).cast("int")
+        low = _shift_right(F.get("signature", lane), shift)
+        high = F.when(shift == 0, F.lit(0).cast("long")).otherwise(_shift_left(F.get("signature", F.least(lane + 1, F.lit(LANES - 1))), 64 - shift))
+        return low.bitwiseOR(high).bitwiseAND((1 << SHORT) - 1)
+
+    count = 64 * LANES // SHORT
+    return F.transform(F.sequence(F.lit(0), F.lit(count - 1)), lambda i: F.struct(
+        i.alias("start"), bits(i).alias("key"),
+        bits((i + 1) % count).bitwiseOR(F.shiftleft(bits((i + 2) % count), SHORT)).alias("next"),
+    ))
+
+
+def similar_links(signed: DataFrame, similarity: float) -> DataFrame:
+    """Stored pairs ``a < b`` of the fingerprints of stored ``(fp, signature)`` whose signatures are similar.
+
+    Candidates share a segment of 24 bits, and the chain of the next two segments keeps within twice and three
+    times the part of the allowed bits that falls on a segment; then all bits are compared. Of a segment that
+    more than ``CHAIN_LIMIT`` signatures share, those are candidates that share the next segment too, and so on.
+    """
+    most = differing_bits(similarity)
+    count = 64 * LANES // SHORT
+    chain = signed.select("fp", F.inline(_segments())).withColumn("key", F.struct("start", "key"))
+    found, low = [], (1 << SHORT) - 1
+    for length in range(1, count):
+        keyed = stage(chain.select("fp", "key", "next"), "segments") if length > 1 else chain
+        crowded = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHAIN_LIMIT).select("key"), "crowded-segments")
+        last = crowded.isEmpty()
+        met = keyed if last else keyed.join(crowded, "key", "left_anti")
+        other = met.select("key", F.col("fp").alias("b"), F.col("next").alias("beyond"))
+        differ = F.col("next").bitwiseXOR(F.col("beyond"))
+        near = (F.bit_count(differ.bitwiseAND(low)) <= 2 * most // count) & (F.bit_count(differ) <= 3 * most // count)
+        found.append(met.join(other, "key").where((F.col("fp") < F.col("b")) & near).select(F.col("fp").alias("a"), "b"))
+        if last:
+            break
+        following = signed.select(F.col("fp"), F.inline(_segments())).select("fp", "start", F.col("key").alias("more"))
+        longer = keyed.join(crowded, "key", "left_semi").withColumn("start", (F.col("key.start") + length) % count)
+        chain = longer.join(following, ["fp", "start"]).select(
+            "fp", F.struct(F.col("key.start").alias("start"), F.xxhash64("key", "more").alias("key")).alias("key"), "next"
+        )
+    union = found[0]
+    for more in found[1:]:
+        union = union.unionByName(more)
+    pairs = union.distinct()
+    one, two = signed.select(F.col("fp").alias("a"), F.col("signature").alias("s")), signed.select(F.col("fp").alias("b"), F.col("signature").alias("t"))
+    differing = F.aggregate(F.zip_with("s", "t", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, d: n + d)
+    return stage(pairs.join(one, "a").join(two, "b").where(differing <= most).select("a", "b"), "similar-links")
+
+
+def near_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+    """The rows of ``df`` that stay: of each group of near copies, the one of smallest id.
+
+    Near copies have a Jaccard similarity of about ``similarity`` or more over shingles of ``shingle`` words, as
+    estimated by signatures of 960 bits; groups are what links reach. Null and empty texts are copies of each
+    other. Null ids come last, of rows that share an id the first stored one stays. An empty table gives no rows.
+    """
+    rows = stage_rows(df, "near-rows")
+    signed = rows.select("_row", key, signatures(shingle)(F.col(text).cast("binary")).alias("signature"))
+    signed = stage(signed.withColumn("fp", F.xxhash64("signature")), "signatures")
+
+    def link(groups: DataFrame) -> DataFrame:
+        one_each = groups.select("fp", F.col("first.row").alias("_row")).join(signed.select("_row", "signature"), "_row")
+        return similar_links(stage(one_each.select("fp", "signature"), "distinct-signatures"), similarity)
+
+    kept = near_groups(signed.select("_row", key, "fp"), key, link).where(F.col("keep_row") == F.col("_row")).select("_row")
+    return rows.join(kept, "_row", "left_semi").select(*df.columns)
