@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfsight.llm.common import BROADCAST_ROWS
 from shelfsight.operators.ordering import cap_per_group
 from shelfsight.staging import stage
 
@@ -136,12 +137,15 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_i
     idf = np.log((1 + counts[-1]) / (1 + counts[:-1])) + 1
     ids = usable.select(F.col(lang).alias("lang"), F.col(key).alias("id"))
     chosen = stage(cap_per_group(ids, "lang", sample, [F.xxhash64(F.col("id").cast("string")), F.col("id")]), "language-sample")
-    texts = usable.select(F.col(key).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    few = F.broadcast(chosen) if chosen.count() <= BROADCAST_ROWS else chosen
+    named = usable.select(F.col(key).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
+    texts = named.join(few, ["id", "lang"], "left_semi")
 
     def of_language(rows: pd.DataFrame) -> pd.DataFrame:
         texts = [t for t in rows.sort_values("id")["text"] if has_letter(t)][:sample]
         if not texts:
-            return pd.DataFrame({"lang": [], "centroid": [], "limit": []})
+            none = pd.DataFrame({"lang": [], "centroid": [], "limit": []}, dtype=object)
+            return none.astype({"limit": float})
         matrix, limits = cluster(vectorise(texts, idf), centroids)
         return pd.DataFrame({"lang": rows["lang"].iloc[0], "centroid": list(matrix), "limit": limits})
 

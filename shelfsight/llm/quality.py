@@ -153,8 +153,8 @@ def _labelled(labels: DataFrame, key: str, good: Column, limit: int) -> DataFram
     return stage(ids.where(place < share), "labelled")
 
 
-def log_weights(df: DataFrame, ratios: np.ndarray, text: str = "text") -> DataFrame:
-    """Add ``n_grams`` and ``log_weight``; a null or empty text has none and weight 0."""
+def weigher(df: DataFrame, ratios: np.ndarray, text: str = "text") -> Column:
+    """``n_grams`` and ``log_weight`` of each text; a null or empty text has none and weight 0."""
     sent = df.sparkSession.sparkContext.broadcast(ratios)
     kind = pa.struct([("n_grams", pa.int64()), ("log_weight", pa.float64())])
 
@@ -168,15 +168,13 @@ def log_weights(df: DataFrame, ratios: np.ndarray, text: str = "text") -> DataFr
                 rows.append({"n_grams": buckets.shape[1], "log_weight": log_weight(table, buckets)})
             yield pa.array(rows, kind)
 
-    return df.withColumn("_weight", weigh(F.col(text).cast("binary"))).withColumns(
-        {c: F.col(f"_weight.{c}") for c in ("n_grams", "log_weight")}
-    ).drop("_weight")
+    return weigh(F.col(text).cast("binary"))
 
 
-def _score(key: str, sharpness: float, seed: int) -> Column:
+def _score(weight: str, key: str, seed: int) -> Column:
     """The log weight, sharpened, with the Gumbel number of the row's id."""
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key).cast("string")), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
-    return F.col("log_weight") * sharpness - F.log(-F.log(uniform))
+    return F.col(weight) * SHARPNESS - F.log(-F.log(uniform))
 
 
 def least_good_weight(weights: DataFrame) -> float:
@@ -199,11 +197,11 @@ def fit_and_choose(df: DataFrame, labels: DataFrame, good: Column, text: str, ke
     marked = _labelled(labels, key, good, labelled)
     with_label = df.join(F.broadcast(marked), F.col(key) == F.col("_id"), "left")
     ratios = log_ratios(_counts(with_label, text, F.coalesce(F.col("_good"), F.lit(False))))
-    weighed = log_weights(with_label.select(key, text, "_good"), ratios, text)
-    stored = stage(weighed.select(key, "n_grams", "log_weight", "_good"), "log-weights")
+    weighed = with_label.select(key, "_good", weigher(df, ratios, text).alias("_weight"))
+    stored = stage(weighed.select(key, "_good", "_weight.*"), "log-weights")
     cut = least_good_weight(stored.where(F.col("_good").isNotNull()))
     k = stored.where(F.col("log_weight") >= cut).count()
-    scored = stored.withColumn("score", _score(key, SHARPNESS, seed))
+    scored = stored.withColumn("score", _score("log_weight", key, seed))
     ranked = number_rows(scored.select(F.col("score").alias("_score")), [F.col("_score").desc()], "_rank")
     last = ranked.where(F.col("_rank") == k - 1).first() if k else None
     return ratios, last[0] if last else float("inf"), scored
@@ -227,4 +225,5 @@ def resample(df: DataFrame, labels: DataFrame, good: Column, text: str = "text",
              labelled: int = LABELLED, seed: int = 5) -> DataFrame:
     """The rows of ``df`` that are kept, with their columns; see :func:`quality_scores`."""
     ratios, last, _ = fit_and_choose(df.select(key, text), labels, good, text, key, labelled, seed)
-    return log_weights(df, ratios, text).where(_score(key, SHARPNESS, seed) >= last).select(*df.columns)
+    weighed = df.withColumn("_weight", weigher(df, ratios, text))
+    return weighed.where(_score("_weight.log_weight", key, seed) >= last).select(*df.columns)

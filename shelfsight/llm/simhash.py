@@ -27,7 +27,7 @@ RADIUS, SEGMENTS, WIDTH = 3, 4, 16
 CHAIN_LIMIT = 32
 _CHUNK = 1 << 18
 #: Signatures have this many 64-bit words, cut into segments of this many bits.
-LANES, SHORT = 15, 24
+LANES, SHORT = 24, 24
 #: Words of a shingle and similarity of near copies.
 SHINGLE, SIMILARITY = 5, 0.8
 
@@ -43,12 +43,20 @@ def shingle_hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
         yield np.array([xxhash.xxh64_intdigest(b" ".join(s), 42) for s in shingles], dtype=np.uint64)
 
 
+def _bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How many rows of ``(n, lanes)`` hashes have each bit; 255 rows at a time can be added in one byte."""
+    counts = np.zeros(64 * hashes.shape[1], dtype=np.int64)
+    for start in range(0, len(hashes), 255):
+        block = np.ascontiguousarray(hashes[start:start + 255], dtype="<u8").view(np.uint8)
+        counts += np.add.reduce(np.unpackbits(block, axis=1, bitorder="little"), axis=0, dtype=np.uint8)
+    return counts
+
+
 def fingerprint(text: bytes, size: int) -> int:
     """Signed 64-bit SimHash of the shingles of a text in lower case; 0 if it has no words."""
     counts, total = np.zeros(64, dtype=np.int64), 0
     for hashes in shingle_hashes(text.lower().split(), size):
-        bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
+        counts += _bit_counts(hashes[:, None])
         total += len(hashes)
     return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
 
@@ -58,16 +66,14 @@ _LANE = np.random.default_rng(6).integers(0, 1 << 63, LANES, dtype=np.uint64) *
 
 def signature(text: bytes, size: int) -> list[int]:
     """SimHash of ``LANES`` words of 64 bits, each from its own mix of the shingles' hashes; no words, all 0."""
-    counts, total = np.zeros((LANES, 64), dtype=np.int64), 0
+    counts, total = np.zeros(64 * LANES, dtype=np.int64), 0
     for hashes in shingle_hashes(text.lower().split(), size):
-        for lane, factor in enumerate(_LANE):
-            mixed = (hashes ^ (hashes >> np.uint64(32))) * factor
-            mixed ^= mixed >> np.uint64(29)
-            for start in range(0, len(mixed), 1 << 14):
-                part = mixed[start:start + (1 << 14)].astype("<u8").view(np.uint8).reshape(-1, 8)
-                counts[lane] += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        for start in range(0, len(hashes), 255):
+            part = hashes[start:start + 255]
+            lanes = (part ^ (part >> np.uint64(32)))[:, None] * _LANE
+            counts += _bit_counts(lanes ^ (lanes >> np.uint64(29)))
         total += len(hashes)
-    return np.packbits(2 * counts > total, axis=1, bitorder="little").view("<i8").ravel().tolist()
+    return np.packbits(2 * counts > total, bitorder="little").view("<i8").tolist()
 
 
 def signatures(size: int):
@@ -236,33 +242,38 @@ def _segments() -> Column:
     ))
 
 
+def _with_start(key: Column) -> Column:
+    return F.shiftleft(F.col("start").cast("long"), SHORT).bitwiseOR(key)
+
+
 def similar_links(signed: DataFrame, similarity: float) -> DataFrame:
     """Stored pairs ``a < b`` of the fingerprints of stored ``(fp, signature)`` whose signatures are similar.
 
     Candidates share a segment of 24 bits, and the chain of the next two segments keeps within twice and three
     times the part of the allowed bits that falls on a segment; then all bits are compared. Of a segment that
-    more than ``CHAIN_LIMIT`` signatures share, those are candidates that share the next segment too, and so on.
+    far more signatures share than chance would bring there, those are candidates that share the next segment
+    too, and so on.
     """
-    most = differing_bits(similarity)
+    most, low = differing_bits(similarity), (1 << SHORT) - 1
     count = 64 * LANES // SHORT
-    chain = signed.select("fp", F.inline(_segments())).withColumn("key", F.struct("start", "key"))
-    found, low = [], (1 << SHORT) - 1
+    # Unlike texts meet in a segment as often as there are texts for each of its values.
+    limit = CHAIN_LIMIT + 4 * signed.count() // (1 << SHORT)
+    segments = signed.select("fp", F.inline(_segments()))
+    chain, found = segments.withColumn("key", _with_start(F.col("key"))), []
     for length in range(1, count):
-        keyed = stage(chain.select("fp", "key", "next"), "segments") if length > 1 else chain
-        crowded = stage(keyed.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CHAIN_LIMIT).select("key"), "crowded-segments")
+        sizes = chain.groupBy("key").agg(F.count("*").alias("n"))
+        crowded = stage(sizes.where(F.col("n") > limit).select("key"), "crowded-segments")
         last = crowded.isEmpty()
-        met = keyed if last else keyed.join(crowded, "key", "left_anti")
+        met = (chain if last else chain.join(crowded, "key", "left_anti")).select("fp", "key", "next")
         other = met.select("key", F.col("fp").alias("b"), F.col("next").alias("beyond"))
         differ = F.col("next").bitwiseXOR(F.col("beyond"))
         near = (F.bit_count(differ.bitwiseAND(low)) <= 2 * most // count) & (F.bit_count(differ) <= 3 * most // count)
         found.append(met.join(other, "key").where((F.col("fp") < F.col("b")) & near).select(F.col("fp").alias("a"), "b"))
         if last:
             break
-        following = signed.select(F.col("fp"), F.inline(_segments())).select("fp", "start", F.col("key").alias("more"))
-        longer = keyed.join(crowded, "key", "left_semi").withColumn("start", (F.col("key.start") + length) % count)
-        chain = longer.join(following, ["fp", "start"]).select(
-            "fp", F.struct(F.col("key.start").alias("start"), F.xxhash64("key", "more").alias("key")).alias("key"), "next"
-        )
+        following = segments.select("fp", ((F.col("start") - length + count) % count).alias("start"), F.col("key").alias("more"))
+        longer = chain.join(crowded, "key", "left_semi").join(following, ["fp", "start"])
+        chain = stage(longer.select("fp", "start", F.xxhash64("key", "more").alias("key"), "next"), "longer-chains")
     union = found[0]
     for more in found[1:]:
         union = union.unionByName(more)
@@ -276,7 +287,7 @@ def near_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", shingle:
     """The rows of ``df`` that stay: of each group of near copies, the one of smallest id.
 
     Near copies have a Jaccard similarity of about ``similarity`` or more over shingles of ``shingle`` words, as
-    estimated by signatures of 960 bits; groups are what links reach. Null and empty texts are copies of each
+    estimated by signatures of 1536 bits; groups are what links reach. Null and empty texts are copies of each
     other. Null ids come last, of rows that share an id the first stored one stays. An empty table gives no rows.
     """
     rows = stage_rows(df, "near-rows")
