@@ -66,9 +66,13 @@ def _targets(answers: Column, size: Column) -> Column:
 def match_responses(batched: DataFrame, responses: DataFrame) -> DataFrame:
     """Give every review the last answer aimed at it.
 
-    ``responses`` has one ``response`` text per ``batch_id``. A batch without a usable response falls
-    back to the rating rule; in an answered batch a review without an answer stays ``Unknown``.
+    ``responses`` has one ``response`` text per ``batch_id``, and may have an ``error``. A batch without a usable
+    response falls back to the rating rule, and ``analysis_error`` then has the error if there is such a column; in
+    an answered batch a review without an answer stays ``Unknown``.
     """
+    errors = ["error"] if "error" in responses.columns else []
+    responses = responses.select("batch_id", "response", *[F.col(e).alias("_error") for e in errors])
+    errors = ["_error" for _ in errors]
     kept = [c for c in batched.columns if c not in ("batch_id", *ANALYSIS)]
     if "rating" in kept:
         batched = batched.withColumn("rating", N.number(batched, "rating"))
@@ -76,7 +80,7 @@ def match_responses(batched: DataFrame, responses: DataFrame) -> DataFrame:
         F.collect_list(F.struct(*kept)).alias("_reviews")
     )
     answered = (
-        grouped.join(responses.select("batch_id", "response"), "batch_id", "left")
+        grouped.join(responses, "batch_id", "left")
         .withColumn("_answers", X.parse_response(F.col("response")))
         .withColumn("_answers", _targets(F.col("_answers"), F.size("_reviews")))
         .drop("response")
@@ -88,9 +92,9 @@ def match_responses(batched: DataFrame, responses: DataFrame) -> DataFrame:
 
     rows = answered.select(
         "batch_id",
-        F.col("_answers").isNotNull().alias("_answered"),
+        F.col("_answers").isNotNull().alias("_answered"), *errors,
         F.explode(F.transform("_reviews", pair)).alias("_pair"),
-    ).select("batch_id", "_answered", "_pair.review.*", F.col("_pair.answer").alias("_answer"))
+    ).select("batch_id", "_answered", *errors, "_pair.review.*", F.col("_pair.answer").alias("_answer"))
 
     empty = F.array().cast("array<string>")
     by_rating = R.rating_sentiment(F.col("rating")) if "rating" in kept else F.lit(R.UNKNOWN)
@@ -107,13 +111,15 @@ def match_responses(batched: DataFrame, responses: DataFrame) -> DataFrame:
         F.coalesce("_answer.themes", empty).alias("themes"),
         F.coalesce("_answer.ai_summary", F.lit("")).alias("ai_summary"),
         method.alias("analysis_method"),
+        *[F.col(e).alias("analysis_error") for e in errors],
     )
 
 
 def score_batches(batched: DataFrame, scorer: Callable[[list[dict]], str]) -> DataFrame:
     """Call ``scorer`` once per batch with ``[{"text", "rating"}, ...]`` and keep its response text.
 
-    A scorer that raises gives a null response, which leads to the rating rule for that batch.
+    A scorer that raises gives a null response, which leads to the rating rule for that batch, and the error's
+    text in ``error``.
     """
     text = resolve(batched, REVIEW_TEXT)
     rating = N.number(batched, "rating") if "rating" in batched.columns else F.lit(None).cast("double")
@@ -125,22 +131,24 @@ def score_batches(batched: DataFrame, scorer: Callable[[list[dict]], str]) -> Da
     def run(frames: Iterator) -> Iterator:
         import pandas as pd
 
-        def answer(items) -> str | None:
+        def answer(items) -> tuple[str | None, str | None]:
             try:
                 return scorer([
                     {"text": i["text"], "rating": None if pd.isna(i["rating"]) else i["rating"]}
                     for i in items
-                ])
-            except Exception:
-                return None
+                ]), None
+            except Exception as failure:
+                return None, f"{type(failure).__name__}: {failure}"
 
         for frame in frames:
+            answers = [answer(i) for i in frame["items"]]
             yield pd.DataFrame({
                 "batch_id": frame["batch_id"],
-                "response": pd.Series([answer(i) for i in frame["items"]], dtype=object),
+                "response": pd.Series([a for a, _ in answers], dtype=object),
+                "error": pd.Series([e for _, e in answers], dtype=object),
             })
 
-    return batches.mapInPandas(run, "batch_id bigint, response string")
+    return batches.mapInPandas(run, "batch_id bigint, response string, error string")
 
 
 def rating_scorer() -> Callable[[list[dict]], str]:

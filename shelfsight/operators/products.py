@@ -104,14 +104,22 @@ def top_n_products(
 ) -> DataFrame:
     """The ``n`` first products by ``sort_by`` descending, and of those the ones with a url.
 
-    If the column is missing the tie-break order alone decides.
+    Numbers that are stored as text are ordered as numbers. If the column is missing the tie-break order alone
+    decides.
     """
     order: list[Column] = [F.col(c).asc_nulls_last() for c in tie_break if c in df.columns]
     if sort_by in df.columns:
-        order.insert(0, F.col(sort_by).desc_nulls_last())
+        order[:0] = _descending(df, sort_by)
     return top_rows(df, n, order).dropna(subset=["url"])
 
 
+def _descending(df: DataFrame, name: str) -> list[Column]:
+    """By the number a column holds, then, among what is no number, by its text."""
+    if is_numeric(df, name) or not isinstance(df.schema[name].dataType, T.StringType):
+        return [F.col(name).desc_nulls_last()]
+    return [N.number(df, name).desc_nulls_last(), F.col(name).desc_nulls_last()]
+
+
 def top3_by_rating(df: DataFrame) -> DataFrame:
     return top_rows(
         df, 3,
@@ -150,7 +158,7 @@ def product_table(df: DataFrame) -> DataFrame:
     shown = [c for c in PRODUCT_DISPLAY if c in df.columns]
     lead = "reviews_count" if "reviews_count" in shown else shown[0]
     ties = [F.col("asin")] if "asin" in df.columns else []
-    return df.orderBy(F.col(lead).desc_nulls_last(), *ties).select(*shown)
+    return df.orderBy(*_descending(df, lead), *ties).select(*shown)
 
 
 def product_preview(df: DataFrame, order: Sequence[str | Column], n: int = 3) -> DataFrame:

@@ -203,8 +203,9 @@ def stored_coverage(df: DataFrame) -> DataFrame:
 
 
 def method_counters(df: DataFrame) -> DataFrame:
-    """Reviews by the way their sentiment was found."""
-    return df.groupBy("analysis_method").agg(F.count("*").alias("count")).orderBy("analysis_method")
+    """Reviews by the way their sentiment was found, and how many of them after an error of their scorer."""
+    failed = [F.count("analysis_error").alias("errors")] if "analysis_error" in df.columns else []
+    return df.groupBy("analysis_method").agg(F.count("*").alias("count"), *failed).orderBy("analysis_method")
 
 
 def recent_counts(df: DataFrame) -> DataFrame:

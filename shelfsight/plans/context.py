@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 
@@ -32,22 +32,21 @@ def data_context(
     reviews: DataFrame | None,
     product_order: Sequence[str | Column],
     review_order: Sequence[str | Column],
-) -> dict[str, DataFrame]:
-    """Statistics and samples of both tables, as far as their columns allow."""
-    bundle: dict[str, DataFrame] = {}
+) -> dict[str, Callable[[], DataFrame]]:
+    """Statistics and samples of both tables, as far as their columns allow, each made when it is called for."""
+    bundle: dict[str, Callable[[], DataFrame]] = {}
     if products is not None:
         named = [c for c in PRODUCT_CONTEXT if c in products.columns]
         numbers = [c for c in products.columns if is_numeric(products, c)]
-        bundle["product_statistics"] = describe_all(products, named or numbers or None)
-        sample = top_rows(products, 20, product_order)
-        bundle["product_sample"] = sample.select(*named) if named else sample
+        bundle["product_statistics"] = lambda: describe_all(products, named or numbers or None)
+        bundle["product_sample"] = lambda: top_rows(products, 20, product_order).select(*(named or products.columns))
     if reviews is not None:
         if "sentiment" in reviews.columns:
-            bundle["sentiment_distribution"] = P.sentiment_distribution(reviews)
+            bundle["sentiment_distribution"] = lambda: P.sentiment_distribution(reviews)
         if "issues" in reviews.columns:
-            bundle["top_issues"] = P.top_issues(reviews, 15)
+            bundle["top_issues"] = lambda: P.top_issues(reviews, 15)
         if "themes" in reviews.columns:
-            bundle["top_themes"] = P.top_themes(reviews, 15)
+            bundle["top_themes"] = lambda: P.top_themes(reviews, 15)
         if "ai_summary" in reviews.columns:
-            bundle["review_sample"] = P.review_sample(reviews, review_order)
+            bundle["review_sample"] = lambda: P.review_sample(reviews, review_order)
     return bundle

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from shelfsight.operators import quality as Q
 from shelfsight.operators.batches import enrich_batches
@@ -19,7 +20,7 @@ from shelfsight.sinks.encode import stamp
 from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sinks.price_log import append_log
 from shelfsight.sources.discovery import discover_by_keyword, url_source
-from shelfsight.staging import stage
+from shelfsight.staging import stage, staged_until_done
 
 
 @dataclass(frozen=True)
@@ -76,8 +77,13 @@ def collect_reviews(reviews: DataFrame, urls: DataFrame, params: Params) -> Data
 
 
 def _arrival(df: DataFrame, params: Params) -> list[str]:
-    """The columns of the review order that exist."""
-    return [c for c in params.review_order if c in df.columns]
+    """The columns of the review order that exist; without any, the key and then all columns that can be sorted."""
+    wanted = [c for c in params.review_order if c in df.columns]
+    if wanted:
+        return wanted
+    plain = [f.name for f in df.schema if isinstance(f.dataType, T.AtomicType)]
+    key = resolve(df, REVIEW_KEY)
+    return [c for c in (key, *[n for n in plain if n != key]) if c is not None]
 
 
 def run_pipeline(
@@ -88,7 +94,20 @@ def run_pipeline(
     scorer: Callable[[list[dict]], str] | None = None,
     responses: DataFrame | None = None,
 ) -> RunReport:
-    """Run both branches and return a report. A failing product gate stops the run."""
+    """Run both branches and return a report. A failing product gate stops the run.
+
+    A run that is repeated with the same ``run_ts`` stores the same. What it stages is deleted when it ends.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
+        raise ValueError("dates are read in UTC: set spark.sql.session.timeZone to UTC")
+    with staged_until_done(spark):
+        return _run(spark, catalog, reviews, params, scorer, responses)
+
+
+def _run(
+    spark: SparkSession, catalog: DataFrame, reviews: DataFrame, params: Params,
+    scorer: Callable[[list[dict]], str] | None, responses: DataFrame | None,
+) -> RunReport:
     report = RunReport()
     found = discover_by_keyword(catalog, params.keywords, params.limit_per_keyword)
     found = stage(order_columns(found.drop(*PLACE)), "discovered")

@@ -252,15 +252,17 @@ SELECT asin, 'https://example.com/dp/' || asin AS url, {_RID} FROM reviews_raw
 WHERE 'https://example.com/dp/' || asin IN (SELECT url FROM {top})""")
     sql["discover_by_keyword"] = _p("""
 SELECT asin, title, keyword FROM (
-  SELECT asin, title, keyword,
+  SELECT asin, title, keyword, turn, min(turn) OVER (PARTITION BY asin) AS earliest FROM (
+  SELECT asin, title, keyword, turn,
     row_number() OVER (PARTITION BY keyword ORDER BY reviews_count DESC NULLS LAST, asin) AS place
   FROM (
-    SELECT *, 'ring' AS keyword FROM products WHERE contains(lower(title), 'ring')
-    UNION ALL SELECT *, 'Red Widget' FROM products
+    SELECT *, 'ring' AS keyword, 1 AS turn FROM products WHERE contains(lower(title), 'ring')
+    UNION ALL SELECT *, 'Red Widget', 2 FROM products
       WHERE contains(lower(title), 'red') AND contains(lower(title), 'widget')
-    UNION ALL SELECT *, 'wid get' FROM products
+    UNION ALL SELECT *, 'wid get', 3 FROM products
       WHERE contains(lower(title), 'wid') AND contains(lower(title), 'get')))
-WHERE place <= 10""")
+  WHERE place <= 10)
+WHERE turn = earliest""")
 
     # Reviews
     sql["cap_per_group"] = _r(f"""
@@ -443,17 +445,22 @@ FROM (SELECT asin, scraped_at, avg(l_extendedprice) AS price FROM reviews GROUP
 WINDOW w AS (PARTITION BY asin ORDER BY scraped_at)""")
     sql["price_weekly"] = _r(f"""
 SELECT asin, strftime(week, {_DAY}) AS week, observations, avg_price, avg_rating, negative_pct,
-  lag(observations) OVER w AS previous_observations, lag(avg_price) OVER w AS previous_avg_price,
-  lag(avg_rating) OVER w AS previous_avg_rating, lag(negative_pct) OVER w AS previous_negative_pct
+  CASE WHEN adjacent THEN before.observations END AS previous_observations,
+  CASE WHEN adjacent THEN before.avg_price END AS previous_avg_price,
+  CASE WHEN adjacent THEN before.avg_rating END AS previous_avg_rating,
+  CASE WHEN adjacent THEN before.negative_pct END AS previous_negative_pct
+FROM (SELECT *, before.week = week - INTERVAL 7 DAY AS adjacent FROM (SELECT *, lag({{
+    'week': week, 'observations': observations, 'avg_price': avg_price, 'avg_rating': avg_rating,
+    'negative_pct': negative_pct}}) OVER (PARTITION BY asin ORDER BY week) AS before
 FROM (SELECT asin, date_trunc('week', scraped_at) AS week, count(*) AS observations,
   round(avg(l_extendedprice), 4) AS avg_price, round(avg(rating), 4) AS avg_rating,
   round(avg(CASE WHEN sentiment = 'Negative' THEN 1.0 ELSE 0 END) * 100, 4) AS negative_pct
-  FROM reviews GROUP BY asin, date_trunc('week', scraped_at))
-WINDOW w AS (PARTITION BY asin ORDER BY week)""")
+  FROM reviews GROUP BY asin, date_trunc('week', scraped_at))))""")
 
     # Snapshots
     sql["snapshot_json"] = f"""
 SELECT doc_id, source AS asin, md5(text) AS digest FROM documents WHERE {_FEED_GOOD}"""
+    sql["snapshot_mixed"] = "SELECT p_partkey, p_name AS title, p_brand AS brand FROM part WHERE p_partkey % 17 <> 3"
     sql["snapshot_array"] = "SELECT p_partkey, p_name AS title, p_brand AS brand FROM part"
     sql["error_counts"] = f"""
 SELECT count(*) AS records, count(*) FILTER (WHERE {_FEED_GOOD}) AS successful,
@@ -466,9 +473,15 @@ SELECT strftime(TIMESTAMP '1970-01-01' + INTERVAL 1 DAY * (7 * week), {_DAY}) AS
   count(*) AS reviews, count(*) FILTER (WHERE event_type = 'error') AS negative,
   round(count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS negative_rate
 FROM (SELECT *, CAST(floor(epoch(ts) / 604800) AS INTEGER) AS week FROM events) GROUP BY week, user_id"""
+    sql["ingest_by_run"] = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, run FROM (
+  SELECT *, 'run=' || CASE WHEN l_linenumber <= 2 THEN 1 ELSE 2 END AS run,
+    max(CASE WHEN l_linenumber <= 2 THEN 1 ELSE 2 END) OVER (PARTITION BY l_partkey) AS latest
+  FROM lineitem)
+WHERE run = 'run=' || latest"""
     sql["incremental_ingest"] = "SELECT p_partkey, p_name, p_retailprice FROM part"
 
-    # A whole run over the parts with a usable price
+    # A whole run over all parts
     found = """
 found AS (
   SELECT * FROM (
@@ -476,7 +489,7 @@ found AS (
     FROM (
       SELECT *, 'ring' AS keyword FROM products WHERE contains(lower(title), 'ring')
       UNION ALL SELECT *, 'widget' FROM products WHERE contains(lower(title), 'widget'))
-    WHERE initial_price > 0)
+    )
   WHERE place <= 10),
 chosen AS (
   SELECT url FROM (SELECT * FROM found ORDER BY reviews_count DESC NULLS LAST, asin LIMIT 4) WHERE url IS NOT NULL)"""
@@ -484,7 +497,26 @@ chosen AS (
 capped AS (
   SELECT *, row_number() OVER (PARTITION BY asin ORDER BY {_RID}) AS place
   FROM reviews WHERE 'https://example.com/dp/' || asin IN (SELECT url FROM chosen))"""
-    sql["daily_run"] = _with(",\n".join(part.strip() for part in (_PRODUCTS, _REVIEWS, found, capped)), f"""
+    run = ",\n".join(part.strip() for part in (_PRODUCTS, _REVIEWS, found, capped))
+    sql["daily_run_repeated"] = _with(run, """
+SELECT 'products' AS stored, count(*) AS rows FROM found UNION ALL SELECT 'history', count(*) FROM found
+UNION ALL SELECT 'products backup', count(*) FROM found
+UNION ALL SELECT 'reviews', count(*) FROM capped WHERE place <= 25
+UNION ALL SELECT 'reviews backup', count(*) FROM capped WHERE place <= 25""")
+    options = """
+matching AS (
+  SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY reviews_count DESC NULLS LAST, asin) AS place
+  FROM (SELECT *, 'ring' AS keyword, 1 AS turn FROM products WHERE contains(lower(title), 'ring')
+    UNION ALL SELECT *, 'red', 2 FROM products WHERE contains(lower(title), 'red'))),
+earliest AS (SELECT *, min(turn) OVER (PARTITION BY asin) AS first_turn FROM matching WHERE place <= 40),
+found AS (
+  SELECT *, (p_partkey * 7) % 1500 AS bought FROM earliest
+  WHERE turn = first_turn AND contains(lower(availability), 'in stock')),
+chosen AS (SELECT url FROM (SELECT * FROM found ORDER BY bought DESC NULLS LAST, asin LIMIT 4) WHERE url IS NOT NULL)"""
+    sql["run_options"] = _with(",\n".join(part.strip() for part in (_PRODUCTS, _REVIEWS, options, capped)), f"""
+SELECT c.asin, f.keyword AS search_keyword, f.bought AS bought_past_month, c.sentiment, {_RID}
+FROM capped c JOIN found f ON c.asin = f.asin WHERE c.place <= 25""")
+    sql["daily_run"] = _with(run, f"""
 SELECT c.asin, f.title, f.keyword AS search_keyword, c.sentiment,
   CAST(floor((epoch_us(TIMESTAMP '2024-01-10') - epoch_us(c.scraped_at)) / 86400000000.0) AS BIGINT)
     AS review_age_days, {_RID}

@@ -381,12 +381,12 @@ def describe_reviews(spark, sf_dir):
 @query
 def context_products(spark, sf_dir):
     products = _products(spark, sf_dir)
-    return data_context(products, None, ["p_partkey"], [])["product_sample"]
+    return data_context(products, None, ["p_partkey"], [])["product_sample"]()
 
 
 @query
 def context_reviews(spark, sf_dir):
-    return data_context(None, _reviews(spark, sf_dir), [], review_order())["review_sample"]
+    return data_context(None, _reviews(spark, sf_dir), [], review_order())["review_sample"]()
 
 
 # Gates
@@ -628,7 +628,7 @@ _DOCUMENT = T.StructType([
 @query
 def snapshot_json(spark, sf_dir):
     """The feed read by line, as large files are."""
-    records = S.split_errors(S.scan_snapshot(spark, _payloads(spark, sf_dir), document_bytes=0))
+    records = S.split_errors(S.scan_snapshot(spark, _payloads(spark, sf_dir), "lines"))
     return S.to_columns(records, _DOCUMENT).select("doc_id", "asin", F.md5("review_text").alias("digest"))
 
 
@@ -646,9 +646,30 @@ def snapshot_array(spark, sf_dir):
     return S.to_columns(S.scan_snapshot(spark, path), schema).select("p_partkey", "title", "brand")
 
 
+@query
+def snapshot_mixed(spark, sf_dir):
+    """The parts in one folder: objects and arrays over many lines, and lines with bad ones among them."""
+    path = scratch_path(spark, "mixed")
+    fields = F.struct(F.col("p_partkey"), F.col("p_name").alias("title"), F.col("p_brand").alias("brand"))
+    record, pretty = F.to_json(fields), F.to_json(fields, {"pretty": "true"})
+    parts = table(spark, sf_dir, "part").withColumn("form", F.floor(F.col("p_partkey") / 100) % 3)
+    line = F.when(F.col("p_partkey") % 17 == 3, F.concat(F.lit("["), record)).otherwise(record)
+    whole = F.concat(F.lit("[\n"), F.array_join(F.collect_list(F.when(F.col("p_partkey") % 17 != 3, pretty)), ",\n"), F.lit("\n]"))
+    page = F.floor(F.col("p_partkey") / 100).alias("page")
+    arrays = parts.where("form = 0").groupBy(page).agg(whole.alias("value"))
+    lines = parts.where("form = 1").groupBy(page).agg(F.array_join(F.collect_list(line), "\n").alias("value"))
+    rest = parts.where("form = 2 AND p_partkey % 17 <> 3")
+    objects = rest.where("p_partkey % 50 = 0").select(pretty.alias("value"))
+    more = rest.where("p_partkey % 50 <> 0").groupBy(page).agg(F.array_join(F.collect_list(line), "\n").alias("value"))
+    for df in (arrays, lines, objects, more):
+        df.select("value").write.mode("append").option("maxRecordsPerFile", 1).text(path)
+    schema = T.StructType([T.StructField("p_partkey", T.LongType()), *RAW_PRODUCT.fields[:2]])
+    return S.to_columns(S.scan_snapshot(spark, path), schema).select("p_partkey", "title", "brand")
+
+
 @query
 def error_counts(spark, sf_dir):
-    return S.error_counts(S.scan_snapshot(spark, _payloads(spark, sf_dir), document_bytes=0))
+    return S.error_counts(S.scan_snapshot(spark, _payloads(spark, sf_dir), "lines"))
 
 
 # Streams
@@ -682,29 +703,79 @@ def incremental_ingest_query(spark, sf_dir):
     return target.read().select("p_partkey", "p_name", "p_retailprice")
 
 
+@query
+def ingest_by_run(spark, sf_dir):
+    """Line items arrive as two runs of many files; a part keeps all rows of its latest run."""
+    folder = scratch_path(spark, "runs")
+    run = F.concat(F.lit("run="), F.when(F.col("l_linenumber") <= 2, 1).otherwise(2))
+    rows = table(spark, sf_dir, "lineitem").select(*_REVIEW_ID, run.alias("run"))
+    rows.repartition(6).write.parquet(f"{folder}/in")
+    target = KeyedTable(spark, f"{folder}/table", "l_partkey", buckets=16)
+    incremental_ingest(
+        spark, f"{folder}/in", rows.schema, target, f"{folder}/checkpoint", run=F.col("run"), max_files=4,
+        source_format="parquet",
+    ).awaitTermination()
+    return target.read().select(*_REVIEW_ID, "run")
+
 
-# A whole run
 
-@query
-def daily_run(spark, sf_dir):
-    """Discover, enrich, collect, analyse and store; then the stored reviews with their products.
+# A whole run
 
-    A product without a positive price would not pass the gate.
-    """
-    folder = scratch_path(spark, "run")
+def _run(spark: SparkSession, sf_dir: str, folder: str, **other) -> None:
+    """One run over the whole catalog. A product listed for nothing is listed for its final price."""
     catalog = raw_products(spark, sf_dir)
-    catalog = catalog.where(N.number(catalog, "initial_price") > 0)
+    listed = F.when(N.number(catalog, "initial_price") > 0, F.col("initial_price")).otherwise(F.col("final_price"))
+    catalog = catalog.withColumn("initial_price", listed).withColumn(
+        "bought_past_month", (F.col("p_partkey") * 7 % 1500).cast("string")
+    )
     reviews = raw_reviews(spark, sf_dir).drop("issues", "themes", "ai_summary").withColumn(
         "review_text", F.concat_ws(" ", "asin", "l_orderkey")
     )
-    order = tuple(_REVIEW_ID)
-    params = Params(
-        store_dir=f"{folder}/store", output_dir=f"{folder}/csv", keywords=("ring", "widget"),
-        review_order=order, buckets=16, run_ts=RUN_TS,
-    )
+    options = dict(keywords=("ring", "widget"), review_order=tuple(_REVIEW_ID), buckets=16, run_ts=RUN_TS)
+    params = Params(store_dir=f"{folder}/store", output_dir=f"{folder}/csv", **{**options, **other})
     report = run_pipeline(spark, catalog, reviews, params, scorer=B.rating_scorer())
     if report.review_error:
         raise RuntimeError(report.review_error)
+
+
+@query
+def daily_run_repeated(spark, sf_dir):
+    """A run and its repetition: tables, log and backups hold what one run stores."""
+    folder = scratch_path(spark, "run-again")
+    for _ in range(2):
+        _run(spark, sf_dir, folder, history_dir=f"{folder}/history")
+    products, reviews = (KeyedTable(spark, f"{folder}/store/{n}", "asin").read() for n in ("products", "reviews"))
+    backups = {
+        f"{n} backup": spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(
+            f"{folder}/csv/{n}_{RUN_TS:%Y%m%d_%H%M%S}.csv")
+        for n in ("products", "reviews")
+    }
+    tables = {"products": products, "reviews": reviews, "history": spark.read.parquet(f"{folder}/history"), **backups}
+    counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("stored"), "rows") for n, df in tables.items()]
+    out = counts[0]
+    for more in counts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+@query
+def run_options(spark, sf_dir):
+    """A run by overlapping keywords, available products only, chosen by a count stored as text."""
+    folder = scratch_path(spark, "run-options")
+    _run(
+        spark, sf_dir, folder, keywords=("ring", "red"), limit_per_keyword=40, filter_unavailable=True,
+        sort_by="bought_past_month", product_urls=("https://example.com/dp/none",),
+    )
+    products, reviews = (KeyedTable(spark, f"{folder}/store/{n}", "asin").read() for n in ("products", "reviews"))
+    found = products.select("asin", "search_keyword", F.col("bought_past_month").cast("long").alias("bought_past_month"))
+    return reviews.join(found, "asin").select("asin", "search_keyword", "bought_past_month", "sentiment", *_REVIEW_ID)
+
+
+@query
+def daily_run(spark, sf_dir):
+    """Discover, enrich, collect, analyse and store; then the stored reviews with their products."""
+    folder = scratch_path(spark, "run")
+    _run(spark, sf_dir, folder)
     stored = KeyedTable(spark, f"{folder}/store/reviews", "asin").read()
     products = KeyedTable(spark, f"{folder}/store/products", "asin").read()
     return stored.join(products.select("asin", "title", "search_keyword"), "asin").select(

@@ -118,8 +118,10 @@ class KeyedTable:
         order = [c for c in (_BUCKET, self.key) if c == _BUCKET or c in df.columns]
         rows = self._bucketed(df).hint("rebalance", _BUCKET).sortWithinPartitions(*order)
         rows.write.partitionBy(_BUCKET).parquet(path)
-        written = self.spark.read.schema(f"{_BUCKET} int").parquet(path).distinct().collect()
-        return sorted(row[_BUCKET] for row in written)
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        listed = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(place)
+        names = [entry.getPath().getName() for entry in listed]
+        return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{_BUCKET}="))
 
     def _commit(
         self, version: int, entries: list[tuple], schema: T.StructType, commit_id: str | None = None
@@ -161,6 +163,29 @@ class KeyedTable:
             ]
         self._commit(state.version + 1, entries, schema, commit_id)
 
+    def upsert_runs(self, batch: DataFrame, run: str, commit_id: str | None = None) -> None:
+        """Keep, for each key, the rows of its latest run among the table's and the batch's rows.
+
+        ``run`` is a column whose order is that of the runs. Rows of one run may come in any number of batches and
+        in any order of batches. Rows without a key are appended.
+        """
+        state = self._state()
+        if commit_id is not None and commit_id in state.commit_ids:
+            return
+        schema = _merged(state.schema, batch.schema)
+        folder = f"data/run-{uuid.uuid4().hex}"
+        new = {b: f"{folder}/new/{_BUCKET}={b}" for b in self._write(batch, f"{folder}/new")}
+        entries = [(b, path, "nothing") for b, path in new.items() if b == _NO_KEY]
+        keyed = [path for b, path in new.items() if b != _NO_KEY]
+        older = [path for b in new if b != _NO_KEY for path in state.folders.get(b, [])]
+        if keyed:
+            rows = self._load([*older, *keyed], schema)
+            latest = rows.groupBy(self.key).agg(F.max(run).alias("_latest"))
+            current = rows.join(latest, self.key).where(F.col(run).eqNullSafe(F.col("_latest"))).drop("_latest")
+            kept = self._write(current.select(*schema.names), f"{folder}/current")
+            entries += [(b, f"{folder}/current/{_BUCKET}={b}", "bucket") for b in kept]
+        self._commit(state.version + 1, entries, schema, commit_id)
+
     def replace_all(self, df: DataFrame, commit_id: str | None = None) -> None:
         """Replace the whole table."""
         version = self._state().version

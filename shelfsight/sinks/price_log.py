@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 
 
 def append_log(df: DataFrame, path: str) -> None:
-    """Append one run's products, partitioned by the date of the run."""
+    """Store one run's products below its date and time; a run that is repeated replaces what it stored."""
     (
         df.withColumn("run_date", F.to_date("scraped_at"))
-        .write.mode("append").partitionBy("run_date").parquet(path)
+        .withColumn("run_ts", F.date_format("scraped_at", "yyyy-MM-dd'T'HH-mm-ss.SSSSSS"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_date", "run_ts").parquet(path)
     )
 
 
@@ -21,7 +23,7 @@ def latest_observations(log: DataFrame, key: str = "asin", columns: Sequence[str
 
     A maximum is combined before the shuffle, so a product with very many observations is no burden.
     """
-    kept = [c for c in (columns or log.columns) if c not in (key, "scraped_at")]
+    kept = [c for c in (columns or log.columns) if c not in (key, "scraped_at", "run_date", "run_ts")]
     newest = F.max(F.struct("scraped_at", *kept)).alias("_newest")
     return log.where(F.col(key).isNotNull()).groupBy(key).agg(newest).select(key, "_newest.*")
 
@@ -43,9 +45,9 @@ def price_changes(log: DataFrame, key: str = "asin") -> DataFrame:
 
 
 def weekly_trend(log: DataFrame, key: str = "asin") -> DataFrame:
-    """Observations, price, rating and negative share per product and week, with the week before.
+    """Observations, price, rating and negative share per product and week, with the calendar week before.
 
-    Columns the log does not have are left out.
+    A week that follows a gap has nothing before it. Columns the log does not have are left out.
     """
     measures = {
         "best_price": F.avg("best_price").alias("avg_price"),
@@ -61,4 +63,5 @@ def weekly_trend(log: DataFrame, key: str = "asin") -> DataFrame:
     )
     by_week = Window.partitionBy(key).orderBy("week")
     names = [c for c in weekly.columns if c not in (key, "week")]
-    return weekly.withColumns({f"previous_{c}": F.lag(c).over(by_week) for c in names})
+    adjacent = F.lag("week").over(by_week) == F.col("week") - F.expr("INTERVAL 7 DAYS")
+    return weekly.withColumns({f"previous_{c}": F.when(adjacent, F.lag(c).over(by_week)) for c in names})

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfsight.functions.numbers import number
@@ -18,12 +18,14 @@ def discover_by_keyword(
     """At most ``limit_per_keyword`` products for each keyword, the most reviewed first.
 
     A product matches if its title contains every word of the keyword, in any case. The keywords are a
-    short list, so they are compared within each row and there is no join. A product found by two
-    keywords appears twice. ``discovery_input.keyword`` says by which one.
+    short list, so they are compared within each row and there is no join. A product found by several
+    keywords belongs to the first of them: ``discovery_input.keyword``; the others are in
+    ``discovery_input.also``. A product that the catalog itself repeats stays repeated.
     """
+    keywords = list(dict.fromkeys(keywords))
     title = F.lower("title")
     hits = []
-    for keyword in dict.fromkeys(keywords):
+    for keyword in keywords:
         matches = F.lit(True)
         for word in keyword.lower().split():
             matches = matches & title.contains(word)
@@ -31,9 +33,16 @@ def discover_by_keyword(
     found = catalog.withColumn("_keyword", F.explode(F.array_compact(F.array(*hits))))
     order = [number(catalog, "reviews_count").desc_nulls_last(), F.col("asin")]
     best = cap_per_group(found, "_keyword", limit_per_keyword, order, FEW_KEYS)
-    return best.withColumn(
-        "discovery_input", F.struct(F.col("_keyword").alias("keyword"))
-    ).drop("_keyword")
+    # What is left is so many products for each keyword, so this window is small.
+    turn = F.array_position(F.lit(keywords), F.col("_keyword"))
+    turns = F.array_sort(F.collect_set(turn).over(Window.partitionBy(F.coalesce("asin", F.uuid()))))
+    also = F.transform(F.slice("_turns", 2, len(keywords)), lambda t: F.element_at(F.lit(keywords), t.cast("int")))
+    return (
+        best.withColumn("_turns", turns)
+        .where(F.get("_turns", F.lit(0)) == turn)
+        .withColumn("discovery_input", F.struct(F.col("_keyword").alias("keyword"), also.alias("also")))
+        .drop("_keyword", "_turns")
+    )
 
 
 def url_source(

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from shelfsight.functions.text import single_json_value, strip
 
-_DOCUMENT_BYTES = 64 * 1024 * 1024
+LAYOUTS = ("document", "lines")
 
 
 def _values(text: Column) -> Column:
@@ -30,11 +30,9 @@ def _objects(df: DataFrame) -> DataFrame:
     return df.where(F.col("raw").startswith("{")).select("file", "seq", "pos", "raw")
 
 
-def read_documents(spark: SparkSession, path: str, max_bytes: int | None = None) -> DataFrame:
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """Files that are one payload each: a JSON document, or else the records of all good lines."""
     files = spark.read.text(path, wholetext=True)
-    if max_bytes is not None:
-        files = files.where(F.col("_metadata.file_size") <= max_bytes)
     texts = files.select(F.col("_metadata.file_path").alias("file"), strip(F.col("value")).alias("value"))
     records = F.coalesce(_values(F.col("value")), _line_values(F.col("value")))
     return _objects(
@@ -42,41 +40,36 @@ def read_documents(spark: SparkSession, path: str, max_bytes: int | None = None)
     )
 
 
-def read_lines(spark: SparkSession, path: str, above_bytes: int | None = None) -> DataFrame:
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Newline-delimited JSON of any size; a file is split over many tasks.
 
-    A line may also hold a whole array. Bad and blank lines are dropped, but a line that opens an array
-    and does not close it means a document over many lines: reading it by line would lose its records, so
-    the job fails. ``seq`` follows the file order.
+    A line may also hold a whole array. Bad and blank lines are dropped. ``seq`` follows the file order.
     """
-    files = spark.read.text(path)
-    if above_bytes is not None:
-        files = files.where(F.col("_metadata.file_size") > above_bytes)
-    lines = files.select(
+    lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.monotonically_increasing_id().alias("seq"),
         strip(F.col("value")).alias("value"),
     )
-    opened = F.when(F.col("value").startswith("["), F.raise_error(F.concat(
-        F.lit("JSON document over many lines, to be read whole (see document_bytes): "), F.col("file")
-    )))
     return _objects(
         lines.where(F.col("value") != "")
-        .select("file", "seq", F.posexplode(F.coalesce(_values(F.col("value")), opened)).alias("pos", "raw"))
+        .select("file", "seq", F.posexplode(_values(F.col("value"))).alias("pos", "raw"))
     )
 
 
-def scan_snapshot(spark: SparkSession, path: str, document_bytes: int = _DOCUMENT_BYTES) -> DataFrame:
+def scan_snapshot(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
     """Records of a snapshot folder as ``(file, seq, pos, raw)``.
 
     ``raw`` is the JSON text of one object; ``seq`` and ``pos`` give its place in the file.
 
-    A payload may be one JSON document over many lines, which cannot be split, or one record per line.
-    Files up to ``document_bytes`` are read whole and follow the exact rule; larger ones are read by line.
-    The file listing alone decides, so each file is opened by one of the two readers only.
+    The caller says how the files are laid out, so a record is found or not whatever the size of its file.
+    ``"document"`` files may hold anything: one JSON document, over as many lines as it likes, or else a
+    record on each line. Such a file is read by one task, as one text of up to 2 GB. ``"lines"`` files have a
+    record on each line, or an array; they are split over many tasks. For such files both layouts give the
+    same records.
     """
-    documents = read_documents(spark, path, document_bytes)
-    return documents.unionByName(read_lines(spark, path, document_bytes))
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {', '.join(LAYOUTS)}")
+    return read_documents(spark, path) if layout == "document" else read_lines(spark, path)
 
 
 def has_error(df: DataFrame) -> DataFrame:

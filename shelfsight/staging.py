@@ -6,8 +6,11 @@ rows live in the shared folder and not on the machines that computed them.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,11 +19,11 @@ _CONF = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
-    folder = spark.conf.get(_CONF, None)
+    """The folder named by ``spark.checkpoint.dir`` or the context; a temporary one only in local mode."""
+    folder = spark.conf.get(_CONF, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError(f"set {_CONF} to a folder that every executor can reach")
     return _local_folder()
 
@@ -40,4 +43,23 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    for paths in _OPEN:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def staged_until_done(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what is staged inside. Nothing that is still to be read may depend on it."""
+    paths: list[str] = []
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

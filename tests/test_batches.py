@@ -105,6 +105,7 @@ def test_scorer_and_fallback(spark):
     assert rows[10]["analysis_method"] == "response" and rows[10]["sentiment"] == "Neutral"
     assert rows[19]["analysis_method"] == "unmatched" and rows[19]["sentiment"] == "Unknown"
     assert rows[10].asDict().keys() >= {"body", "issues", "themes", "ai_summary"}
+    assert rows[3]["analysis_error"] == "RuntimeError: no quota" and rows[10]["analysis_error"] is None
 
 
 def test_without_text_or_scorer_the_rating_decides(spark):

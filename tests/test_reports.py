@@ -119,5 +119,5 @@ def test_data_context_follows_the_columns(spark):
     reviews = spark.createDataFrame([("Positive", "ok", 5.0)], "sentiment string, ai_summary string, rating double")
     bundle = data_context(products, reviews, ["title"], ["rating"])
     assert set(bundle) == {"product_statistics", "product_sample", "sentiment_distribution", "review_sample"}
-    assert bundle["product_sample"].columns == ["title", "best_price"]
-    assert bundle["review_sample"].columns == ["rating", "sentiment", "ai_summary"]
+    assert bundle["product_sample"]().columns == ["title", "best_price"]
+    assert bundle["review_sample"]().columns == ["rating", "sentiment", "ai_summary"]

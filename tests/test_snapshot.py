@@ -36,14 +36,24 @@ def test_documents_and_lines_mixed(spark, tmp_path):
     assert tuple(S.error_counts(records).first()) == (6, 5, 1)
 
 
-def test_large_files_are_read_by_line(spark, tmp_path):
+def test_both_layouts_give_the_same_records_of_lines(spark, tmp_path):
     lines = [json.dumps({"asin": str(i)}) for i in range(2000)]
-    lines[10], lines[20] = "bad", json.dumps([A, B])
-    path = write(tmp_path / "l", big="\n".join(lines), small=json.dumps([A], indent=1))
-    records = S.scan_snapshot(spark, path, document_bytes=1000)
-    assert len(raws(records)) == 2000 - 2 + 2 + 1
-    only_large = write(tmp_path / "m", big="\n".join(lines))
-    assert raws(S.scan_snapshot(spark, only_large, document_bytes=0)) == raws(S.scan_snapshot(spark, only_large))
+    lines[10], lines[20], lines[30] = "bad", json.dumps([A, B]), "[bad"
+    path = write(tmp_path / "l", big="\n".join(lines))
+    whole, split = (raws(S.scan_snapshot(spark, path, layout)) for layout in S.LAYOUTS)
+    assert whole == split and len(whole) == 2000 - 3 + 2
+    with pytest.raises(ValueError, match="layout"):
+        S.scan_snapshot(spark, path, "guess")
+
+
+@pytest.mark.parametrize("filler", [1, 40_000])
+def test_the_size_of_a_file_does_not_matter(spark, tmp_path, filler):
+    records = [{"asin": f"a{i}", "title": "x" * filler} for i in range(20)]
+    path = write(
+        tmp_path / "s", a=json.dumps(records, indent=1), b=json.dumps(records[0], indent=1),
+        c="\n".join([*map(json.dumps, records), "[bad", ""]), d="[" + ",\n".join(map(json.dumps, records)) + "]",
+    )
+    assert raws(S.scan_snapshot(spark, path)) == [*records, records[0], *records, *records]
 
 
 def test_an_error_value_is_not_an_error_key(spark, tmp_path):
@@ -52,14 +62,6 @@ def test_an_error_value_is_not_an_error_key(spark, tmp_path):
     assert raws(S.split_errors(S.scan_snapshot(spark, path))) == [rows[0], rows[1], rows[3]]
 
 
-def test_a_long_document_is_not_read_by_line(spark, tmp_path):
-    for name, text in (("i", json.dumps([A, B], indent=1)), ("j", "[" + json.dumps(A) + ",\n" + json.dumps(B) + "]")):
-        path = write(tmp_path / name, a=text)
-        assert raws(S.scan_snapshot(spark, path)) == [A, B]
-        with pytest.raises(Exception, match="document_bytes"):
-            S.scan_snapshot(spark, path, document_bytes=5).collect()
-
-
 def test_columns(spark, tmp_path):
     record = {**A, "initial_price": 19.99, "final_price": "16.99", "discovery_input": {"keyword": "k"}, "new_field": 7}
     path = write(tmp_path / "c", a=json.dumps([record, B]))
@@ -77,15 +79,3 @@ def test_columns(spark, tmp_path):
 def test_empty_folder_listing_is_empty(spark, tmp_path):
     path = write(tmp_path / "z", a="")
     assert S.scan_snapshot(spark, path).count() == 0
-
-
-def test_each_file_is_opened_by_one_reader(spark, tmp_path):
-    path = write(tmp_path / "r", big="\n".join([json.dumps(A)] * 500), small=json.dumps([A]), tiny=json.dumps(B))
-    df = S.scan_snapshot(spark, path, document_bytes=1000)
-    assert df.count() == 502
-    leaves = df._jdf.queryExecution().executedPlan()
-    df.collect()
-    opened, scans = [], leaves.collectLeaves().iterator()
-    while scans.hasNext():
-        opened.append(scans.next().metrics().apply("numFiles").value())
-    assert sorted(opened) == [1, 2]

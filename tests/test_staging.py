@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -5,10 +6,10 @@ import pytest
 from shelfsight import staging
 
 
-def session(folder, master):
+def session(folder, master, context=None):
     return SimpleNamespace(
         conf=SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default),
-        sparkContext=SimpleNamespace(master=master),
+        sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: context),
     )
 
 
@@ -22,6 +23,16 @@ def test_a_local_folder_is_made_only_in_local_mode():
     assert first == staging.shared_folder(session(None, "local[2]"))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         staging.shared_folder(session(None, "yarn"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.shared_folder(session(None, "local-cluster[2,1,1024]"))
+    assert staging.shared_folder(session(None, "yarn", "hdfs://c/")) == "hdfs://c"
+
+
+def test_staged_tables_of_a_block_are_deleted(spark):
+    with staging.staged_until_done(spark):
+        path = Path(staging.stage(spark.range(3), "t").inputFiles()[0].removeprefix("file://")).parent
+        assert path.exists()
+    assert not path.exists()
 
 
 def test_staged_rows_come_from_the_shared_folder(spark):

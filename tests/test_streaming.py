@@ -1,6 +1,7 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,8 +21,9 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     source, target = tmp_path / "in", KeyedTable(spark, str(tmp_path / "t"), "asin", 4)
 
     def run():
-        incremental_ingest(spark, str(source), SCHEMA, target, str(tmp_path / "cp")).awaitTermination()
-        return sorted(map(tuple, target.read().collect()), key=str)
+        by_file = F.col("_metadata.file_name")
+        incremental_ingest(spark, str(source), SCHEMA, target, str(tmp_path / "cp"), run=by_file).awaitTermination()
+        return sorted(map(tuple, target.read().drop("ingest_run").collect()), key=str)
 
     drop(source, "1.json", {"asin": "a", "price": 1}, {"asin": None, "price": 9})
     assert run() == [("a", 1.0), (None, 9.0)]
@@ -30,6 +32,21 @@ def test_ingest_takes_each_file_once(spark, tmp_path):
     assert run() == [("a", 2.0), ("b", 3.0), (None, 9.0)]
 
 
+@pytest.mark.parametrize("max_files", [1, 1000])
+def test_files_of_a_run_belong_together(spark, tmp_path, max_files):
+    for run, file, price in ((2, "a", 5), (1, "a", 1), (1, "b", 2), (2, "b", 6), (2, "c", 7)):
+        folder = tmp_path / "in" / f"run={run}"
+        folder.mkdir(parents=True, exist_ok=True)
+        drop(folder, f"{file}.json", {"asin": "x", "price": price}, {"asin": f"only{run}{file}", "price": price})
+    target = KeyedTable(spark, str(tmp_path / "t"), "asin", 4)
+    schema = SCHEMA
+    incremental_ingest(
+        spark, str(tmp_path / "in"), schema, target, str(tmp_path / "cp"), max_files=max_files
+    ).awaitTermination()
+    rows = target.read().collect()
+    assert sorted(r["price"] for r in rows if r["asin"] == "x") == [5, 6, 7] and len(rows) == 8
+
+
 def test_stream_equals_batch_over_several_runs(spark, tmp_path):
     source, start = tmp_path / "in", datetime(2024, 1, 1)
     stream_schema = "asin string, sentiment string, scraped_at timestamp"
