@@ -73,7 +73,7 @@ def parse_list(col: Column) -> Column:
 
     swapped = F.replace(col, F.lit("'"), F.lit('"'))
     return F.when(col.isNull() | (col == "[]"), empty).otherwise(
-        F.coalesce(attempt(col), attempt(swapped), empty)
+        F.coalesce(attempt(col), F.when(col.contains("'"), attempt(swapped)), empty)
     )
 
 

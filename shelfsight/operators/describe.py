@@ -20,13 +20,16 @@ from shelfsight.staging import stage
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _pairs(df: DataFrame, names: Sequence[str], numeric: bool) -> DataFrame:
-    """Non-null ``(column, value)`` pairs of several columns, from one scan."""
-    def value(name: str):
-        return number(df, name) if numeric else F.col(name).cast("string")
+def _counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
+    """Stored ``(column, value, text, n)``: how often each value of the columns occurs, from one scan.
 
-    pairs = F.array(*[F.struct(F.lit(n).alias("column"), value(n).alias("value")) for n in names])
-    return df.select(F.inline(pairs)).where(F.col("value").isNotNull())
+    Numbers are in ``value`` and texts in ``text``. Everything else is derived from these counts.
+    """
+    none, void = F.lit(None).cast("double"), F.lit(None).cast("string")
+    entries = [F.struct(F.lit(n).alias("column"), number(df, n).alias("value"), void.alias("text")) for n in numbers]
+    entries += [F.struct(F.lit(n).alias("column"), none.alias("value"), F.col(n).cast("string").alias("text")) for n in texts]
+    pairs = df.select(F.inline(F.array(*entries))).where("value IS NOT NULL OR text IS NOT NULL")
+    return stage(pairs.groupBy("column", "value", "text").agg(F.count("*").alias("n")), "value-counts")
 
 
 def exact_quantiles(counts: DataFrame, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
@@ -78,51 +81,58 @@ def exact_quantiles(counts: DataFrame, probabilities: Sequence[float] = QUARTILE
     )
 
 
-def describe_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Count, mean, standard deviation, extremes and quartiles of numeric columns."""
-    pairs = _pairs(df, names, numeric=True)
-    moments = pairs.groupBy("column").agg(
-        F.count("value").alias("count"),
-        nan_to_null(F.avg("value")).alias("mean"),
-        nan_to_null(F.stddev_samp("value")).alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+def _numeric(counts: DataFrame) -> DataFrame:
+    weighted = counts.where(F.col("value").isNotNull())
+    sums = weighted.groupBy("column").agg(
+        F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("_mean"),
+        F.min("value").alias("min"), F.max("value").alias("max"),
+    )
+    # One row for each described column.
+    spread = weighted.join(F.broadcast(sums.select("column", "_mean")), "column").groupBy("column").agg(
+        F.sum(F.col("n") * F.pow(F.col("value") - F.col("_mean"), 2)).alias("_squares")
     )
-    counts = pairs.groupBy("column", "value").agg(F.count("*").alias("n"))
-    quartiles = exact_quantiles(counts).groupBy("column").agg(*[
+    quartiles = exact_quantiles(weighted.select("column", "value", "n")).groupBy("column").agg(*[
         F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(f"p{round(p * 100)}")
         for p in QUARTILES
     ])
-    return moments.join(quartiles, "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    deviation = F.sqrt(F.col("_squares") / F.nullif(F.col("count") - 1, F.lit(0)))
+    return sums.join(spread, "column").join(quartiles, "column", "left").select(
+        "column", "count", nan_to_null(F.col("_mean")).alias("mean"), nan_to_null(deviation).alias("std"),
+        "min", "p25", "p50", "p75", "max",
     )
 
 
-def describe_text(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Count, distinct count and the most frequent value (the smallest on ties) of text columns."""
-    counts = _pairs(df, names, numeric=False).groupBy("column", "value").agg(F.count("*").alias("n"))
-    best = counts.groupBy("column").agg(
+def _text(counts: DataFrame) -> DataFrame:
+    texts = counts.where(F.col("text").isNotNull())
+    best = texts.groupBy("column").agg(
         F.sum("n").alias("count"), F.count("*").alias("unique"), F.max("n").alias("freq")
     )
-    # One row per described column.
+    # One row for each described column.
     top = (
-        counts.join(F.broadcast(best.select("column", "freq")), "column")
+        texts.join(F.broadcast(best.select("column", "freq")), "column")
         .where(F.col("n") == F.col("freq"))
-        .groupBy("column").agg(F.min("value").alias("top"))
+        .groupBy("column").agg(F.min("text").alias("top"))
     )
     return best.join(top, "column").select("column", "count", "unique", "top", "freq")
 
 
+def describe_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Count, mean, standard deviation, extremes and quartiles of numeric columns."""
+    return _numeric(_counts(df, names, ()))
+
+
+def describe_text(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Count, distinct count and the most frequent value (the smallest on ties) of text columns."""
+    return _text(_counts(df, (), names))
+
+
 def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """One row per column; text statistics are empty for numbers and the other way round."""
     wanted = [n for n in (names or df.columns) if n in df.columns]
     numbers = [n for n in wanted if is_numeric(df, n)]
     texts = [n for n in wanted if n not in numbers]
-    parts = []
-    if texts:
-        parts.append(describe_text(df, texts))
-    if numbers:
-        parts.append(describe_numeric(df, numbers))
+    counts = _counts(df, numbers, texts)
+    parts = ([_text(counts)] if texts else []) + ([_numeric(counts)] if numbers else [])
     result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     fields = ("column", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
     return result.select(*[f for f in fields if f in result.columns])

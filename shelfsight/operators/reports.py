@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +16,7 @@ from pyspark.sql import types as T
 from shelfsight.functions import numbers as N
 from shelfsight.functions import reviews as R
 from shelfsight.functions import text as X
-from shelfsight.operators.ordering import top_rows
+from shelfsight.operators.ordering import FEW_KEYS, cap_per_group, top_rows
 from shelfsight.operators.reviews import scraped_within, with_summary
 from shelfsight.schema import (
     PRODUCT_CONTEXT, REVIEW_CONTEXT, REVIEW_DISPLAY, VERIFIED, resolve, select_existing,
@@ -247,14 +246,13 @@ def summaries_by_sentiment(
 ) -> DataFrame:
     """For each sentiment but ``Unknown``: how many summaries there are, and the first of them.
 
-    Each of the three sentiments is a top-k of its own, and the sizes are a narrow aggregation. A window
-    would sort all rows, and counting with one would bring all rows of one sentiment into one task.
+    The first rows of all sentiments come from one scan, capped in each map task, and the sizes are a narrow
+    aggregation. Counting with a window would bring all rows of one sentiment into one task.
     """
     shown = (R.NEGATIVE, R.NEUTRAL, R.POSITIVE)
     rows = with_summary(df).where(F.col("sentiment").isin(*shown))
     sizes = rows.groupBy("sentiment").agg(F.count("*").alias("group_size"))
-    parts = [top_rows(rows.where(F.col("sentiment") == s), per_sentiment, order) for s in shown]
-    first = reduce(DataFrame.unionByName, parts)
+    first = cap_per_group(rows, "sentiment", per_sentiment, order, FEW_KEYS)
     rating = F.col("rating") if "rating" in df.columns else F.lit(None).cast("double")
     issues = list_column(df, "issues") if "issues" in df.columns else F.array().cast("array<string>")
     line = X.summary_line(rating, F.col("ai_summary"), issues)

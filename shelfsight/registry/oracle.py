@@ -473,6 +473,15 @@ SELECT strftime(TIMESTAMP '1970-01-01' + INTERVAL 1 DAY * (7 * week), {_DAY}) AS
   count(*) AS reviews, count(*) FILTER (WHERE event_type = 'error') AS negative,
   round(count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS negative_rate
 FROM (SELECT *, CAST(floor(epoch(ts) / 604800) AS INTEGER) AS week FROM events) GROUP BY week, user_id"""
+    sql["negative_rate_sliding"] = f"""
+SELECT strftime(day - INTERVAL 1 DAY * back, {_DAY}) AS window_start, user_id,
+  count(*) AS reviews, count(*) FILTER (WHERE event_type = 'error') AS negative,
+  round(count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS negative_rate
+FROM (SELECT user_id, event_type, date_trunc('day', ts::TIMESTAMP)::TIMESTAMP AS day, unnest(range(7)) AS back FROM events)
+GROUP BY day - INTERVAL 1 DAY * back, user_id"""
+    sql["skip_empty"] = """
+SELECT 'all' AS name, false AS skipped, count(*) AS stored FROM part UNION ALL SELECT 'none', true, 0"""
+    sql["enrich_empty"] = _p("SELECT asin, price_tier, rating_category, main_category FROM products")
     sql["ingest_by_run"] = """
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, run FROM (
   SELECT *, 'run=' || CASE WHEN l_linenumber <= 2 THEN 1 ELSE 2 END AS run,

@@ -415,14 +415,41 @@ def gate_analysed_reviews(spark, sf_dir):
     return _gate(_reviews(spark, sf_dir), Q.analysed_reviews)
 
 
+def _stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    target = KeyedTable(spark, scratch_path(spark, "gated"), "asin", buckets=16)
+    target.upsert(df)
+    return target.read()
+
+
 @query
 def gate_stored_products(spark, sf_dir):
-    return _gate(_products(spark, sf_dir), Q.stored_products)
+    return _gate(_stored(spark, _products(spark, sf_dir)), Q.stored_products)
 
 
 @query
 def gate_stored_reviews(spark, sf_dir):
-    return _gate(_reviews(spark, sf_dir), Q.stored_reviews)
+    return _gate(_stored(spark, _reviews(spark, sf_dir)), Q.stored_reviews)
+
+
+@query
+def skip_empty(spark, sf_dir):
+    """An export of all products and one of a selection without any: the second one writes nothing."""
+    folder, products = scratch_path(spark, "exports"), _products(spark, sf_dir)
+    rows = []
+    for name, df in (("all", products), ("none", products.where("p_partkey < 0"))):
+        report = export(df, name, RUN_TS, KeyedTable(spark, f"{folder}/{name}", "asin", 16).upsert, f"{folder}/csv")
+        count = F.count("*")
+        stored = df if report.skipped else KeyedTable(spark, f"{folder}/{name}", "asin").read()
+        rows.append(stored.agg(count.alias("stored")).select(F.lit(name).alias("name"), F.lit(report.skipped).alias("skipped"), "stored"))
+    return rows[0].unionByName(rows[1])
+
+
+@query
+def enrich_empty(spark, sf_dir):
+    """Enriching no products gives the enriched columns, which then take the enriched products."""
+    raw = raw_products(spark, sf_dir)
+    none = P.enrich_products(raw.where("p_partkey < 0"))
+    return none.unionByName(P.enrich_products(raw)).select("asin", "price_tier", "rating_category", "main_category")
 
 
 # Batches
@@ -689,6 +716,21 @@ def negative_rate_stream(spark, sf_dir):
     return _text_time(_rounded(current, "negative_rate"), "window_start")
 
 
+@query
+def negative_rate_sliding(spark, sf_dir):
+    """For each day, the errors of a user's last seven days of events."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    )
+    folder = scratch_path(spark, "sliding")
+    windows = negative_windows(stream, "user_id", "ts", F.col("event_type") == "error", slide="1 day")
+    write_updates(windows, f"{folder}/updates", f"{folder}/checkpoint").awaitTermination()
+    current = current_windows(spark.read.parquet(f"{folder}/updates"), "user_id")
+    return _text_time(_rounded(current, "negative_rate"), "window_start")
+
+
 @query(name="incremental_ingest")
 def incremental_ingest_query(spark, sf_dir):
     """Products arrive as files and are upserted by a stream; running it again finds nothing new."""

@@ -15,13 +15,18 @@ def negative_windows(
     time: str = "scraped_at",
     negative: Column | None = None,
     window: str = "7 days",
+    slide: str | None = None,
     lateness: str = "1 day",
 ) -> DataFrame:
-    """Rows and negative rows per key and window. Rows later than the watermark are dropped."""
+    """Rows and negative rows per key and window, and with ``slide`` per overlapping window.
+
+    Seven days that slide by one give, each day, the last seven. Rows later than the watermark are dropped, see
+    :func:`late_rows`.
+    """
     flag = negative if negative is not None else F.col("sentiment") == NEGATIVE
     return (
         stream.withWatermark(time, lateness)
-        .groupBy(F.window(time, window), key)
+        .groupBy(F.window(time, window, slide), key)
         .agg(F.count("*").alias("reviews"), F.count_if(flag).alias("negative"))
         .select(F.col("window.start").alias("window_start"), key, "reviews", "negative")
     )
@@ -43,6 +48,13 @@ def write_updates(windows: DataFrame, path: str, checkpoint_dir: str) -> Streami
     )
 
 
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the query's recent micro-batches dropped because they came after the watermark."""
+    return sum(
+        state["numRowsDroppedByWatermark"] for progress in query.recentProgress for state in progress["stateOperators"]
+    )
+
+
 def current_windows(updates: DataFrame, key: str = "asin") -> DataFrame:
     """The latest update of every window, with its negative rate."""
     latest = F.max_by(F.struct("reviews", "negative"), "batch_id").alias("_latest")

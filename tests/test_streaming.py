@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfsight.sinks.keyed_table import KeyedTable
-from shelfsight.streaming.alerts import current_windows, negative_alerts, negative_windows, write_updates
+from shelfsight.streaming.alerts import current_windows, late_rows, negative_alerts, negative_windows, write_updates
 from shelfsight.streaming.ingest import incremental_ingest
 
 SCHEMA = T.StructType([T.StructField("asin", T.StringType()), T.StructField("price", T.DoubleType())])
@@ -72,12 +72,14 @@ def test_stream_equals_batch_over_several_runs(spark, tmp_path):
 
 
 def test_late_rows_are_dropped(spark, tmp_path):
-    source = tmp_path / "in"
+    source, late = tmp_path / "in", []
     schema = "asin string, sentiment string, scraped_at timestamp"
 
     def run():
         stream = spark.readStream.schema(schema).json(str(source))
-        write_updates(negative_windows(stream), str(tmp_path / "u"), str(tmp_path / "cp")).awaitTermination()
+        query = write_updates(negative_windows(stream), str(tmp_path / "u"), str(tmp_path / "cp"))
+        query.awaitTermination()
+        late.append(late_rows(query))
         return current_windows(spark.read.parquet(str(tmp_path / "u"))).agg(F.sum("reviews")).first()[0]
 
     drop(source, "1.json", {"asin": "a", "sentiment": "Negative", "scraped_at": "2024-03-01T00:00:00"})
@@ -86,3 +88,4 @@ def test_late_rows_are_dropped(spark, tmp_path):
     assert run() == 2
     drop(source, "3.json", {"asin": "a", "sentiment": "Negative", "scraped_at": "2023-01-01T00:00:00"})
     assert run() == 2
+    assert late == [0, 0, 1]
