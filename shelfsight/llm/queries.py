@@ -185,6 +185,27 @@ WINDOW o AS (PARTITION BY text_sha256 ORDER BY chars DESC, doc_id)
 """,
 }
 
+SQL["op5_substring_dedup"] = r"""
+WITH words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+    SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS body
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20)
+), ranked AS (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY body ORDER BY doc_id, s) > 1 AS again FROM windows
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS place FROM ranked WHERE again
+), placed AS (
+    SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS place FROM words
+), kept AS (
+    SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS text
+    FROM placed ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed,
+    sha256(coalesce(text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
 SQL["op8_line_dedup"] = r"""
 WITH lines AS (
     SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place
