@@ -479,6 +479,9 @@ SELECT strftime(day - INTERVAL 1 DAY * back, {_DAY}) AS window_start, user_id,
   round(count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS negative_rate
 FROM (SELECT user_id, event_type, date_trunc('day', ts::TIMESTAMP)::TIMESTAMP AS day, unnest(range(7)) AS back FROM events)
 GROUP BY day - INTERVAL 1 DAY * back, user_id"""
+    sql["csv_newest"] = _pr("""
+SELECT asin, round(best_price, 4) AS best_price, negative FROM products LEFT JOIN (
+  SELECT asin, count(*) AS negative FROM reviews WHERE sentiment = 'Negative' GROUP BY asin) USING (asin)""")
     sql["skip_empty"] = """
 SELECT 'all' AS name, false AS skipped, count(*) AS stored FROM part UNION ALL SELECT 'none', true, 0"""
     sql["enrich_empty"] = _p("SELECT asin, price_tier, rating_category, main_category FROM products")

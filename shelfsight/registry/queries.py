@@ -699,6 +699,19 @@ def error_counts(spark, sf_dir):
     return S.error_counts(S.scan_snapshot(spark, _payloads(spark, sf_dir), "lines"))
 
 
+@query
+def csv_newest(spark, sf_dir):
+    """Three backups, the older one of the products with other prices; the newest products are read back."""
+    folder = scratch_path(spark, "backups")
+    products = _products(spark, sf_dir).select("asin", "title", "best_price", "reviews_count")
+    older = products.withColumn("best_price", F.lit(-1.0))
+    for name, df, day in (("products", older, 8), ("products", products, 10), ("reviews", _reviews(spark, sf_dir).select("asin", "sentiment"), 9)):
+        csv_backup(df, folder, name, RUN_TS.replace(day=day))
+    back, reviews = scan_csv_latest(spark, folder, {"products": products.schema})
+    sentiments = reviews.where("sentiment = 'Negative'").groupBy("asin").agg(F.count("*").alias("negative"))
+    return _rounded(back, "best_price").join(sentiments, "asin", "left").select("asin", "best_price", "negative")
+
+
 # Streams
 
 @query

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,22 +62,33 @@ def _listing(spark: SparkSession, folder: str) -> list[str]:
     return sorted((n for n in names if n.endswith(".csv")), reverse=True)
 
 
-def scan_csv_latest(spark: SparkSession, folder: str) -> Pair:
+_BACKUP_NAME = re.compile(r"([^/]*?)(?:_\d{8}_\d{6})?\.csv$")
+
+
+def scan_csv_latest(
+    spark: SparkSession, folder: str, schemas: dict[str, T.StructType] | None = None
+) -> Pair:
     """The newest product backup and the newest review backup; unreadable ones are passed over.
 
-    The kind of a backup is told from its header alone, so only the chosen ones are read.
+    The kind of a backup is told from its header alone, and of the backups of one table name only the newest
+    readable one is opened. ``schemas`` may name the columns' types by kind, which saves a scan to infer them.
     """
     chosen: dict[str, str] = {}
+    seen: set[str] = set()
     for path in _listing(spark, folder):
+        table = _BACKUP_NAME.search(path)[1]
+        if table in seen:
+            continue
         try:
             header = spark.read.option("header", True).csv(path)
         except AnalysisException:
             continue
         if header.columns:
+            seen.add(table)
             chosen.setdefault(classify_schema(header), path)
         if len(chosen) == 2:
             break
-    found = {kind: scan_csv(spark, path) for kind, path in chosen.items()}
+    found = {kind: scan_csv(spark, path, (schemas or {}).get(kind)) for kind, path in chosen.items()}
     return found.get("products"), found.get("reviews")
 
 
