@@ -26,6 +26,8 @@ RADIUS, SEGMENTS, WIDTH = 3, 4, 16
 #: Fingerprints of one chain that are compared directly; a longer list has its chain lengthened instead.
 CHAIN_LIMIT = 32
 _CHUNK = 1 << 18
+#: The same for signatures, which meet in several segments: a smaller list loses nothing and is compared less often.
+SIMILAR_LIMIT = 8
 #: Signatures have this many 64-bit words, cut into segments of this many bits.
 LANES, SHORT = 24, 24
 #: Words of a shingle and similarity of near copies.
@@ -202,7 +204,8 @@ def near_groups(rows: DataFrame, key: str = "doc_id", link: Callable[[DataFrame]
     groups = stage(runs.groupBy("fp").agg(F.min("first").alias("first")), "fingerprints")
     found = components((link or links)(groups))
     labelled = groups.join(found, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
-    smallest = labelled.groupBy("label").agg(F.min("first").alias("smallest"))
+    # Stored, so that the join below has a shuffle on both sides and a large component can be split.
+    smallest = stage(labelled.groupBy("label").agg(F.min("first").alias("smallest")), "smallest")
     answers = labelled.select("fp", "label").join(smallest, "label").select("fp", "smallest")
     by_run = runs.select("_run", "fp").join(answers, "fp")
     return dealt.join(by_run, ["_run", "fp"]).drop("_run").withColumns(
@@ -257,7 +260,7 @@ def similar_links(signed: DataFrame, similarity: float) -> DataFrame:
     most, low = differing_bits(similarity), (1 << SHORT) - 1
     count = 64 * LANES // SHORT
     # Unlike texts meet in a segment as often as there are texts for each of its values.
-    limit = CHAIN_LIMIT + 4 * signed.count() // (1 << SHORT)
+    limit = SIMILAR_LIMIT + 4 * signed.count() // (1 << SHORT)
     segments = signed.select("fp", F.inline(_segments()))
     chain, found = segments.withColumn("key", _with_start(F.col("key"))), []
     for length in range(1, count):
