@@ -9,7 +9,6 @@ the ``k`` largest stay, ``k`` being the number of documents whose weight is that
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,7 +38,7 @@ _SHAPE = bytes(
     0x41 if 0x41 <= c <= 0x5A else 0x61 if 0x61 <= c <= 0x7A or c >= 0x80 else 0x30 if 0x30 <= c <= 0x39 else c
     for c in range(256)
 )
-_RUN = re.compile(rb"([Aa0])\1+")
+_IN_RUNS = np.isin(np.arange(256), list(b"Aa0"))
 _THRICE = np.uint64(3)
 _SHIFT = np.uint64(64 - (BUCKETS.bit_length() - 1))
 
@@ -56,6 +55,13 @@ class _Hashes(dict):
         return value
 
 
+def _shapes(text: bytes) -> set[bytes]:
+    signs = np.frombuffer(text.translate(_SHAPE), dtype=np.uint8)
+    again = np.zeros(len(signs), dtype=bool)
+    again[1:] = (signs[1:] == signs[:-1]) & _IN_RUNS[signs[1:]]
+    return set(signs[~again].tobytes().split())
+
+
 def ngram_buckets(text: bytes, hashes: dict) -> np.ndarray:
     """``(2, n)`` buckets of the distinct n-grams of a text, one row for each table.
 
@@ -63,7 +69,7 @@ def ngram_buckets(text: bytes, hashes: dict) -> np.ndarray:
     digits being one sign each), and one for a word that comes three times in a row.
     """
     words = text.lower().split()
-    shapes = set(_RUN.sub(rb"\1", text.translate(_SHAPE)).split())
+    shapes = _shapes(text)
     found = np.array([xxhash.xxh64_intdigest(s, 1) for s in shapes], dtype=np.uint64)
     for start in range(0, len(words), _CHUNK):
         part = words[start:start + _CHUNK + 2]
@@ -71,7 +77,8 @@ def ngram_buckets(text: bytes, hashes: dict) -> np.ndarray:
         pairs = (ids[:-1] * _MIX ^ (ids[1:] >> np.uint64(7))) * _MIX
         if ((ids[:-2] == ids[1:-1]) & (ids[1:-1] == ids[2:])).any():
             found = np.append(found, _THRICE)
-        found = np.unique(np.concatenate([found, ids[:_CHUNK], pairs]))
+        found = np.sort(np.concatenate([found, ids[:_CHUNK], pairs]))
+        found = found[np.append(True, found[1:] != found[:-1])]
     first = (found >> _SHIFT).astype(np.int64)
     second = ((found ^ (found >> np.uint64(29))) * _MIX >> _SHIFT).astype(np.int64)
     return np.stack([first, second + BUCKETS])
