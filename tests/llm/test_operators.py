@@ -251,6 +251,44 @@ def test_near_copies(spark):
     assert set(copies.values()) <= kept and len(kept & set(copies)) <= 2
 
 
+def _near_kept(docs):
+    """Ids that stay by brute force over the exact Jaccard similarity of distinct five-word shingles."""
+    sets = {}
+    for i, text in docs:
+        words = text.lower().split()
+        sets[i] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))}
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[k + 1:]:
+            shared = len(sets[a] & sets[b])
+            if 5 * shared >= 4 * (len(sets[a]) + len(sets[b]) - shared):
+                x, y = sorted((root(a), root(b)))
+                label[y] = x
+    return [i for i in ids if label[i] == i]
+
+
+def _near_ids(spark, docs):
+    return sorted(x["doc_id"] for x in simhash.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect())
+
+
+def test_near_dedup_counts_a_repeated_line_once(spark):
+    r = random.Random(1)
+    line = " ".join(f"line{i}" for i in range(9))
+    docs = [(i, " ".join([f"own{i}x{k}" for k in range(100)] + [line] * (20 + i))) for i in range(12)]
+    for i in range(12, 16):
+        shared = [f"pair{i // 2}x{k}" for k in range(300)]
+        docs.append((i, " ".join(shared + [f"tail{i} of its own line here"] * r.randrange(20, 40))))
+    expected = _near_kept(docs)
+    assert len(expected) == 14 and _near_ids(spark, docs) == expected
+
+
 # Quality
 
 def test_quality_keeps_good_and_drops_bad(spark):
