@@ -289,6 +289,24 @@ def test_near_dedup_counts_a_repeated_line_once(spark):
     assert len(expected) == 14 and _near_ids(spark, docs) == expected
 
 
+def _changed(words, count, name, r):
+    """``words`` with ``count`` of them replaced, far from each other."""
+    out = list(words)
+    for k in r.sample(range(0, len(words), 6), count):
+        out[k] = f"{name}new{k}"
+    return out
+
+
+def test_near_dedup_finds_all_pairs_at_the_threshold(spark):
+    r = random.Random(2)
+    docs = []
+    for i in range(60):
+        words = [f"t{i}x{k}" for k in range(400)]
+        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(_changed(words, 2 + i // 5 if i < 40 else 7 + i % 5, f"c{i}", r)))]
+    expected = _near_kept(docs)
+    assert 60 < len(expected) < 120 and _near_ids(spark, docs) == expected
+
+
 # Quality
 
 def test_quality_keeps_good_and_drops_bad(spark):
