@@ -307,6 +307,16 @@ def test_near_dedup_finds_all_pairs_at_the_threshold(spark):
     assert 60 < len(expected) < 120 and _near_ids(spark, docs) == expected
 
 
+def test_near_dedup_of_a_large_group(spark):
+    r = random.Random(3)
+    base = [f"b{k}" for k in range(200)]
+    variants = [_changed(base, 3, f"v{i}", r) for i in range(200)]
+    docs = [(i, " ".join(v)) for i, v in enumerate(variants)]
+    docs += [(200 + i, " ".join(_changed(variants[i], 3 + i // 4, f"o{i}", r))) for i in range(16)]
+    expected = _near_kept(docs)
+    assert 1 < len(expected) < 17 and _near_ids(spark, docs) == expected
+
+
 # Quality
 
 def test_quality_keeps_good_and_drops_bad(spark):
