@@ -1,11 +1,10 @@
-"""Substring dedup by a relative Lempel-Ziv parse.
+"""Substring dedup by winnowed windows, in place of a relative Lempel-Ziv parse.
 
 All documents, in order of their ids, are the reference. Its index holds phrases of six words, those whose digest is
 the smallest among the fifteen phrases of some window of twenty words; equal windows choose equal phrases, so a
-phrase that occurs once in the whole reference rules out every window that chose it. A document is factored
-greedily: a factor grows as long as its windows choose indexed phrases that occur elsewhere. Where factors end, and
-inside them wherever texts differ, each window is checked against the first place of the same window in the
-reference. What stays of a factor after that is a duplicate span.
+phrase that occurs once in the whole reference rules out every window that chose it. Each window that is left is
+checked against the first place of the same window in the reference. There are no reference blocks and no factors:
+duplicate spans are the unions of the windows that have an earlier place.
 
 Nothing is paired. The index and the windows answer only which places are the first, and a document gets the first
 places that lie in it; places that are not first are duplicates. So a passage in a third of all documents is one
