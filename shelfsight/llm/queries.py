@@ -13,6 +13,7 @@ from shelfsight.llm.decontaminate import decontaminate
 from shelfsight.llm.exact_dedup import exact_groups
 from shelfsight.llm.language_id import fit, held_out, identify
 from shelfsight.llm.line_dedup import line_dedup
+from shelfsight.llm.merkle import manifest, verified
 from shelfsight.llm.mixing import mix
 from shelfsight.llm.quality import quality_scores
 from shelfsight.llm.secrets import scan_secrets
@@ -95,11 +96,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", digest, "spans", "n_pair")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proof of every document, and whether its row, altered for some, still leads to the root."""
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    proofs = verified(manifest(documents(spark, sf_dir), changed=more, changed_where=altered))
+    return proofs.withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_exact_dedup, op4_language_id, op5_substring_dedup,
-        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan,
+        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan, op11_merkle_manifest,
     )
 }
 
