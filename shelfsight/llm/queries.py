@@ -20,6 +20,8 @@ from shelfsight.llm.secrets import scan_secrets
 from shelfsight.llm.simhash import simhash_groups
 from shelfsight.llm.substring_dedup import substring_dedup
 from shelfsight.llm.token_counts import token_counts
+from shelfsight.llm.warc import page_records, read_warc, write_warc
+from shelfsight.staging import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -104,11 +106,18 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.withColumnRenamed("key", "doc_id")
 
 
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, read back from the archives that were written."""
+    path = scratch_path(spark, "warc")
+    write_warc(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"), path)
+    return page_records(read_warc(spark, path))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_exact_dedup, op4_language_id, op5_substring_dedup,
-        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan, op11_merkle_manifest,
+        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan, op11_merkle_manifest, op13_warc,
     )
 }
 
