@@ -15,6 +15,7 @@ from shelfsight.llm.language_id import fit, held_out, identify
 from shelfsight.llm.line_dedup import line_dedup
 from shelfsight.llm.merkle import manifest, verified
 from shelfsight.llm.mixing import mix
+from shelfsight.llm.prefix_trie import ordered_turns, prefix_trie, rebuilt
 from shelfsight.llm.quality import quality_scores
 from shelfsight.llm.secrets import scan_secrets
 from shelfsight.llm.simhash import simhash_groups
@@ -106,6 +107,13 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.withColumnRenamed("key", "doc_id")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each led by turns of one whose id 5 divides."""
+    turns = ordered_turns(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    conv = F.col("conv_id")
+    return prefix_trie(*rebuilt(turns, conv - conv % 5, F.crc32(conv.cast("string")) % 9, 8))
+
+
 def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, read back from the archives that were written."""
     path = scratch_path(spark, "warc")
@@ -117,7 +125,8 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_mix_sources, op2_decontaminate, op3_exact_dedup, op4_language_id, op5_substring_dedup,
-        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan, op11_merkle_manifest, op13_warc,
+        op6_simhash_dedup, op7_quality, op8_line_dedup, op9_token_counts, op10_secret_scan, op11_merkle_manifest, op12_prefix_trie,
+        op13_warc,
     )
 }
 
