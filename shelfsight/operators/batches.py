@@ -6,7 +6,7 @@ row-wise expression and no group can grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from shelfsight.functions import numbers as N
 from shelfsight.functions import reviews as R
 from shelfsight.functions import text as X
+from shelfsight.operators.answers import AnswerStore, Scorer, ask, content_digest
 from shelfsight.operators.ordering import number_rows
 from shelfsight.operators.reviews import analyse_by_rating, with_default_analysis
 from shelfsight.schema import REVIEW_TEXT, resolve
+from shelfsight.staging import stage
 
 ANALYSIS = ("sentiment", "issues", "themes", "ai_summary", "analysis_method")
 
@@ -115,43 +117,40 @@ def match_responses(batched: DataFrame, responses: DataFrame) -> DataFrame:
     )
 
 
-def score_batches(batched: DataFrame, scorer: Callable[[list[dict]], str]) -> DataFrame:
-    """Call ``scorer`` once per batch with ``[{"text", "rating"}, ...]`` and keep its response text.
-
-    A scorer that raises gives a null response, which leads to the rating rule for that batch, and the error's
-    text in ``error``.
-    """
+def batch_items(batched: DataFrame) -> DataFrame:
+    """One row per batch with its reviews in order, as ``items`` of ``pos``, ``text`` and ``rating``."""
     text = resolve(batched, REVIEW_TEXT)
     rating = N.number(batched, "rating") if "rating" in batched.columns else F.lit(None).cast("double")
     item = F.struct(
         F.col("pos"), F.coalesce(F.col(text), F.lit("")).alias("text"), rating.alias("rating")
     )
-    batches = batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    return batched.groupBy("batch_id").agg(F.array_sort(F.collect_list(item)).alias("items"))
+
+
+def score_batches(batched: DataFrame, scorer: Scorer) -> DataFrame:
+    """Call ``scorer`` once per batch with ``[{"text", "rating"}, ...]`` and keep its response text.
 
-    def run(frames: Iterator) -> Iterator:
-        import pandas as pd
+    A scorer that raises gives a null response, which leads to the rating rule for that batch, and the error's
+    text in ``error``. A task that is repeated calls the scorer again; ``stored_responses`` does not.
+    """
+    return ask(batch_items(batched), scorer, "batch_id")
 
-        def answer(items) -> tuple[str | None, str | None]:
-            try:
-                return scorer([
-                    {"text": i["text"], "rating": None if pd.isna(i["rating"]) else i["rating"]}
-                    for i in items
-                ]), None
-            except Exception as failure:
-                return None, f"{type(failure).__name__}: {failure}"
 
-        for frame in frames:
-            answers = [answer(i) for i in frame["items"]]
-            yield pd.DataFrame({
-                "batch_id": frame["batch_id"],
-                "response": pd.Series([a for a, _ in answers], dtype=object),
-                "error": pd.Series([e for _, e in answers], dtype=object),
-            })
+def stored_responses(batched: DataFrame, scorer: Scorer, store: AnswerStore, model: str = "") -> DataFrame:
+    """``batch_id``, ``response`` and ``error`` of each batch, from answers that are kept.
 
-    return batches.mapInPandas(run, "batch_id bigint, response string, error string")
+    The scorer is called only for contents that ``model`` has not answered before, and within the store's quota. A batch
+    that was not asked about for want of quota has no response and says so in ``error``.
+    """
+    batches = stage(batch_items(batched).withColumn("digest", content_digest(model)), "batch-items")
+    failed = store.ask(batches.select("digest", "items"), scorer)
+    known = store.answers().select("digest", "response")
+    answered = batches.select("batch_id", "digest").join(known, "digest", "left").join(failed, "digest", "left")
+    reason = F.when(F.col("response").isNull(), F.coalesce("error", F.lit("not asked: the quota is used up")))
+    return answered.select("batch_id", "response", reason.alias("error"))
 
 
-def rating_scorer() -> Callable[[list[dict]], str]:
+def rating_scorer() -> Scorer:
     """A scorer that needs no service: it answers every review from its rating."""
     def score(reviews: list[dict]) -> str:
         import json
@@ -171,13 +170,23 @@ def rating_scorer() -> Callable[[list[dict]], str]:
 def enrich_batches(
     df: DataFrame,
     order: Sequence[str | Column],
-    scorer: Callable[[list[dict]], str] | None = None,
+    scorer: Scorer | None = None,
     responses: DataFrame | None = None,
     size: int = 10,
+    store: AnswerStore | None = None,
+    model: str = "",
 ) -> DataFrame:
-    """Analyse reviews by a scorer or by ready responses; without either, or without text, by rating."""
+    """Analyse reviews by a scorer or by ready responses; without either, or without text, by rating.
+
+    With a ``store``, answers of earlier runs are used again and new ones are kept.
+    """
     if (scorer is None and responses is None) or resolve(df, REVIEW_TEXT) is None:
         return analyse_by_rating(df)
     batched = assign_batches(with_default_analysis(df).drop("analysis_method"), order, size)
-    answers = responses if responses is not None else score_batches(batched, scorer)
+    if responses is not None:
+        answers = responses
+    elif store is not None:
+        answers = stored_responses(batched, scorer, store, model)
+    else:
+        answers = score_batches(batched, scorer)
     return match_responses(batched, answers)

@@ -401,6 +401,17 @@ FROM (SELECT batch_id, pos, chr(10) || '[Review ' || CAST(pos + 1 AS VARCHAR) ||
     sql["enrich_batches"] = _with(_BATCHES, """
 SELECT doc_id, CAST(rating AS DOUBLE) AS rating, CASE WHEN rating IS NULL THEN 'Unknown' WHEN rating >= 4 THEN 'Positive'
   WHEN rating >= 3 THEN 'Neutral' ELSE 'Negative' END AS sentiment, 'response' AS analysis_method FROM batched""")
+    contents = """,
+contents AS (SELECT batch_id, string_agg(md5(text) || coalesce(CAST(rating AS VARCHAR), '-'), ',' ORDER BY pos) AS content
+  FROM batched GROUP BY batch_id)"""
+    sql["enrich_batches_repeated"] = _with(_BATCHES + contents, """
+SELECT doc_id, CASE WHEN rating IS NULL THEN 'Unknown' WHEN rating >= 4 THEN 'Positive'
+  WHEN rating >= 3 THEN 'Neutral' ELSE 'Negative' END AS sentiment, 'response' AS analysis_method,
+  (SELECT count(DISTINCT content) FROM contents) AS calls FROM batched""")
+    sql["enrich_batches_quota"] = _with(_BATCHES, """
+SELECT CASE WHEN asked THEN 'response' ELSE 'rating' END AS analysis_method, count(*) AS batches, true AS any_review
+FROM (SELECT DISTINCT batch_id, batch_id IN (SELECT DISTINCT batch_id FROM batched ORDER BY batch_id LIMIT 6) AS asked FROM batched)
+GROUP BY asked""")
 
     # Storage
     sql["upsert_products"] = _p("""

@@ -19,6 +19,7 @@ from shelfsight.operators import products as P
 from shelfsight.operators import quality as Q
 from shelfsight.operators import reports as R
 from shelfsight.operators import reviews as V
+from shelfsight.operators.answers import AnswerStore, Quota
 from shelfsight.operators.describe import describe_all, describe_numeric
 from shelfsight.operators.ordering import number_rows
 from shelfsight.plans.context import data_context, filtered
@@ -501,6 +502,34 @@ def enrich_batches(spark, sf_dir):
     return df.select("doc_id", "rating", "sentiment", "analysis_method")
 
 
+def _no_answer(items):
+    raise RuntimeError("asked again")
+
+
+@query
+def enrich_batches_repeated(spark, sf_dir):
+    """A run whose answers are kept, and its repetition, which may call nobody; ``calls`` counts both runs' calls."""
+    reviews = text_reviews(spark, sf_dir)
+    store = AnswerStore(spark, scratch_path(spark, "answers"), per_task=64)
+    B.enrich_batches(reviews, ["doc_id"], B.rating_scorer(), store=store)
+    again = B.enrich_batches(reviews, ["doc_id"], _no_answer, store=store)
+    calls = store.requests().agg(F.sum("calls")).scalar()
+    return again.select("doc_id", "sentiment", "analysis_method", calls.alias("calls"))
+
+
+@query
+def enrich_batches_quota(spark, sf_dir):
+    """Two days on which three batches may be asked about: the others keep the rating rule."""
+    reviews = text_reviews(spark, sf_dir)
+    path = scratch_path(spark, "answers")
+    for day in (1, 2):
+        now = datetime(2024, 1, day, tzinfo=timezone.utc)
+        store = AnswerStore(spark, path, Quota(per_day=3), per_task=64, clock=lambda now=now: now)
+        df = B.enrich_batches(reviews, ["doc_id"], B.rating_scorer(), store=store)
+    counted = df.groupBy("analysis_method").agg(F.countDistinct("batch_id").alias("batches"), F.count("*").alias("reviews"))
+    return counted.select("analysis_method", "batches", (F.col("reviews") > 0).alias("any_review"))
+
+
 # Storage
 
 @query
