@@ -249,6 +249,104 @@ SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+#: CRC-32 of a decimal number in DuckDB, which has no function for it. The constant is the reflected polynomial.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split({0}::VARCHAR, ''), lambda d: ord(d)::BIGINT)),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)),
+        lambda c, bit: xor(c >> 1, 3988292384 * (c & 1)))))"""
+_LEAF = " || ".join(
+    f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{0}", "text")
+)
+SQL["op11_merkle_manifest"] = f"""
+WITH RECURSIVE leaves AS (
+    SELECT doc_id, lang, sha256({_LEAF.format("n_chars")}) AS leaf, CASE WHEN {_CRC.format("doc_id")} % 7 = 0
+        THEN sha256({_LEAF.format("(n_chars::HUGEINT + 1)")}) ELSE sha256({_LEAF.format("n_chars")}) END AS claim,
+        row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, sha256({_LEAF.format("n_chars")})) - 1 AS place
+    FROM documents
+), trees AS (
+    SELECT lang, 0 AS level, place, leaf AS digest, count(*) OVER (PARTITION BY lang) AS n FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), any_value((n + 1) // 2)
+    FROM trees WHERE n > 1 GROUP BY lang, level, place // 2
+), subroots AS (
+    SELECT lang, digest AS subroot, level AS height, row_number() OVER (ORDER BY encode(lang) NULLS FIRST) - 1 AS place
+    FROM trees WHERE n = 1
+), forest AS (
+    SELECT 0 AS level, place, subroot AS digest, count(*) OVER () AS n FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(digest, '' ORDER BY place)), any_value((n + 1) // 2)
+    FROM forest WHERE n > 1 GROUP BY level, place // 2
+), steps AS (
+    SELECT l.doc_id, l.lang, l.place, t.level AS rung, t.digest, t.place < (l.place >> t.level) AS before
+    FROM leaves l JOIN trees t ON l.lang IS NOT DISTINCT FROM t.lang AND t.n > 1 AND t.place = xor(l.place >> t.level, 1)
+    UNION ALL
+    SELECT l.doc_id, l.lang, l.place, s.height + f.level, f.digest, f.place < (s.place >> f.level)
+    FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang JOIN forest f ON f.n > 1 AND f.place = xor(s.place >> f.level, 1)
+), rows AS (
+    SELECT l.*, s.subroot, s.height + (SELECT max(level) FROM forest) AS rungs, (SELECT digest FROM forest WHERE n = 1) AS root
+    FROM leaves l JOIN subroots s ON l.lang IS NOT DISTINCT FROM s.lang
+), climbed AS (
+    SELECT lang, place, 0::BIGINT AS rung, claim AS digest, rungs FROM rows
+    UNION ALL
+    SELECT c.lang, c.place, c.rung + 1, sha256(CASE WHEN s.digest IS NULL THEN c.digest
+        WHEN s.before THEN s.digest || c.digest ELSE c.digest || s.digest END), c.rungs
+    FROM climbed c LEFT JOIN steps s ON s.lang IS NOT DISTINCT FROM c.lang AND s.place = c.place AND s.rung = c.rung
+    WHERE c.rung < c.rungs
+), proofs AS (
+    SELECT lang, place, sha256(string_agg(digest, '' ORDER BY rung)) AS proof FROM steps GROUP BY lang, place
+)
+SELECT r.doc_id, r.leaf, r.subroot, r.root, coalesce(p.proof, sha256('')) AS proof_sha256, c.digest AS folded_root,
+    c.digest = r.root AS verified
+FROM rows r JOIN climbed c ON c.lang IS NOT DISTINCT FROM r.lang AND c.place = r.place AND c.rung = r.rungs
+LEFT JOIN proofs p ON p.lang IS NOT DISTINCT FROM r.lang AND p.place = r.place
+"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos,
+        coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+    SELECT conv_id, count(*) AS own, {_CRC.format("conv_id")} % 9 AS h, conv_id - conv_id % 5 AS lead_of FROM turns GROUP BY conv_id
+), led AS (
+    SELECT c.conv_id, c.h, least(c.h, coalesce(l.own, 0)) AS taken, c.own, c.lead_of FROM convs c LEFT JOIN convs l ON l.conv_id = c.lead_of
+), built AS (
+    SELECT l.conv_id, t.pos, t.role, t.text FROM led l JOIN turns t ON t.conv_id = l.lead_of AND t.pos <= l.h
+    UNION ALL
+    SELECT l.conv_id, t.pos - l.h + l.taken, t.role, t.text FROM led l JOIN turns t ON t.conv_id = l.conv_id AND t.pos > l.h
+), paths AS (
+    SELECT conv_id, pos AS depth, octet_length(encode(text)) AS bytes, string_agg(sha256(octet_length(encode(role)) || ':' || role || text), '') OVER (
+        PARTITION BY conv_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS path FROM built
+    UNION ALL SELECT conv_id, 0, 0, '' FROM led
+), members AS (
+    SELECT *, lead(path) OVER (PARTITION BY conv_id ORDER BY depth) IS NULL AS last,
+        lag(path) OVER (PARTITION BY conv_id ORDER BY depth) AS parent FROM paths
+), nodes AS (
+    SELECT path, depth, any_value(parent) AS parent, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+        bool_and(last) AS childless, coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '') AS ends
+    FROM members GROUP BY path, depth
+), sums AS (
+    SELECT a.path, count(*) FILTER (WHERE d.childless) AS n_leaves, sum((d.n_convs - 1) * d.bytes)::BIGINT AS saved_tokens
+    FROM nodes d JOIN members m ON m.conv_id = d.conv_id AND m.depth <= d.depth JOIN nodes a ON a.path = m.path
+    GROUP BY a.path
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs,
+    (SELECT count(*) FROM nodes k WHERE k.parent = n.path) AS n_children, s.n_leaves, s.saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN sums s ON s.path = n.path LEFT JOIN nodes p ON p.path = n.parent
+"""
+
+SQL["op13_warc"] = """
+WITH sized AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+        coalesce(html, '') AS html
+    FROM pages
+), held AS (
+    SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY html) END AS holder FROM sized
+)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN again THEN holder END AS refers_to, true AS intact
+FROM (SELECT *, holder IS NOT NULL AND (page_id IS NULL OR page_id < holder) AS again FROM held)
+"""
+
 
 def all_queries() -> dict[str, Query]:
     return dict(QUERIES)
