@@ -24,23 +24,35 @@ from shelfsight.staging import stage
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 #: Levels that one shuffle builds; a row then holds up to 2 to this power nodes.
 STRATUM = 8
-_STEP = "struct<level:int,left:boolean,digest:string>"
+_STEP = "struct<level:int,left:boolean,digest:binary>"
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """``leaves``: ``group``, ``lo``, ``key``, ``leaf``, ``claim``, ``path``, ``subroot`` of every row; ``root`` is null if there is none."""
+    """``leaves``: ``group``, ``lo``, ``key``, ``leaf``, ``claim``, ``path``, ``subroot`` of every row; ``root`` is null if there is none.
+
+    Digests are binary in ``leaves``, and take part in others as lowercase hex; ``root`` is hex.
+    """
 
     leaves: DataFrame
     root: str | None
 
 
+def hex_of(digest: Column) -> Column:
+    """The lowercase hex of a digest."""
+    return F.lower(F.hex(digest))
+
+
+def _hash(text: Column) -> Column:
+    return F.unhex(F.sha2(text, 256))
+
+
 def digest_of(values: Sequence[Column]) -> Column:
     """SHA-256 over the values' texts, each as its length in bytes, a colon and the text, or ``-`` for null."""
     texts = [v.cast("string") for v in values]
-    return F.sha2(F.concat(*[
+    return _hash(F.concat(*[
         F.coalesce(F.concat(F.octet_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts
-    ]), 256)
+    ]))
 
 
 def _height(n: Column) -> Column:
@@ -68,7 +80,7 @@ def _parents(kids: Column) -> Column:
         )
         return F.struct(
             F.element_at(pair, 1)["lo"].alias("lo"), F.element_at(pair, -1)["hi"].alias("hi"),
-            F.sha2(F.array_join(F.transform(pair, lambda k: k["digest"]), ""), 256).alias("digest"),
+            _hash(F.array_join(F.transform(pair, lambda k: hex_of(k["digest"])), "")).alias("digest"),
             pair.alias("kids"),
         )
     return F.transform(F.sequence(F.lit(0), F.shiftright(F.size(kids) - 1, 1)), parent)
@@ -159,7 +171,7 @@ def manifest(
     first. An empty table gives no rows and no root. A text may be as long as Spark holds.
     """
     values = [F.col(f) for f in fields]
-    claim = F.lit(None).cast("string")
+    claim = F.lit(None).cast("binary")
     if changed:
         other = digest_of([changed.get(f, F.col(f)) for f in fields])
         claim = F.when(changed_where if changed_where is not None else F.lit(True), other)
@@ -181,24 +193,21 @@ def manifest(
     joined = join_counted(rows, stage(proofs, "merkle-proofs"), "tree", F.col("lo"), "inner")
     return Manifest(joined.select(
         "group", "lo", "key", F.col("digest").alias("leaf"), "claim", F.concat("path", "upper").alias("path"), "subroot"
-    ), top["top"] if top else None)
+    ), bytes(top["top"]).hex() if top else None)
 
 
 def proof_digest(path: Column) -> Column:
     """SHA-256 over the siblings of a path, from the leaf up."""
     named = F.filter(path, lambda s: s["digest"].isNotNull())
-    return F.sha2(F.array_join(F.transform(named, lambda s: s["digest"]), ""), 256)
+    return F.sha2(F.array_join(F.transform(named, lambda s: hex_of(s["digest"])), ""), 256)
 
 
 def folded(leaf: Column, path: Column) -> Column:
-    """The root that a leaf and the siblings of its path lead to."""
+    """The root, in hex, that a leaf and the siblings of its path lead to."""
     def up(below: Column, step: Column) -> Column:
-        alone, left = step["digest"].isNull(), step["left"]
-        return F.sha2(
-            F.when(alone, below).when(left, F.concat(step["digest"], below)).otherwise(F.concat(below, step["digest"])),
-            256,
-        )
-    return F.aggregate(path, leaf, up)
+        sibling = F.coalesce(hex_of(step["digest"]), F.lit(""))
+        return F.sha2(F.when(step["left"], F.concat(sibling, below)).otherwise(F.concat(below, sibling)), 256)
+    return F.aggregate(path, hex_of(leaf), up)
 
 
 def verified(tree: Manifest) -> DataFrame:
@@ -209,6 +218,6 @@ def verified(tree: Manifest) -> DataFrame:
     root = F.lit(tree.root).cast("string")
     reached = folded(F.coalesce("claim", "leaf"), F.col("path"))
     return tree.leaves.select(
-        "key", "leaf", "subroot", root.alias("root"), proof_digest(F.col("path")).alias("proof_sha256"),
+        "key", hex_of(F.col("leaf")).alias("leaf"), hex_of(F.col("subroot")).alias("subroot"), root.alias("root"), proof_digest(F.col("path")).alias("proof_sha256"),
         reached.alias("folded_root"),
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
