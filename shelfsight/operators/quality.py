@@ -1,29 +1,38 @@
-"""Declarative data-quality gates, each evaluated in one aggregation."""
+"""Declarative data-quality gates, each evaluated in one aggregation or while the rows are being written."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from shelfsight.functions.numbers import number
 from shelfsight.functions.reviews import SENTIMENTS, UNKNOWN
 from shelfsight.schema import REVIEW_TEXT_AT_GATE, resolve
+from shelfsight.staging import stage
 
 
 @dataclass(frozen=True)
 class Expectation:
     """An aggregate that must be at least (``min``) or at most (``max``) a threshold.
 
-    ``rule="report"`` only reports the observed value.
+    ``rule="report"`` only reports the observed value. ``distinct`` marks aggregates that need equal values to meet,
+    which rows that merely pass by cannot tell.
     """
 
     name: str
     observed: Column
     rule: str
     threshold: float | None = None
+    distinct: bool = False
+
+    def passes(self, value: float | None) -> bool:
+        """Whether an observed value is good enough; a missing one is not, unless it is only reported."""
+        if self.rule == "report":
+            return True
+        return value is not None and (value >= self.threshold if self.rule == "min" else value <= self.threshold)
 
 
 class GateFailure(Exception):
@@ -51,7 +60,10 @@ def evaluate(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
 
 def enforce(report: DataFrame, gate: str) -> list[dict]:
     """Collect the few rows of a gate report, and raise if an expectation failed."""
-    rows = [r.asDict() for r in report.collect()]
+    return _enforced([r.asDict() for r in report.collect()], gate)
+
+
+def _enforced(rows: list[dict], gate: str) -> list[dict]:
     failed = [r for r in rows if not r["passed"]]
     if failed:
         detail = "; ".join(f"{r['name']}: {r['observed']} (threshold {r['threshold']})" for r in failed)
@@ -59,6 +71,31 @@ def enforce(report: DataFrame, gate: str) -> list[dict]:
     return rows
 
 
+def stage_checked(
+    df: DataFrame, label: str, expectations: Callable[[DataFrame], Sequence[Expectation]], gate: str
+) -> tuple[DataFrame, list[dict]]:
+    """Write ``df`` to the shared folder and check it in the same pass; the stored rows, and the gate's.
+
+    The aggregates are observed in the tasks that write. Only distinct counts are taken afterwards, from the stored
+    column they are about. Raises as ``enforce`` does; the rows are stored by then, but nothing has read them.
+    """
+    wanted = list(expectations(df))
+    passing = [e for e in wanted if not e.distinct]
+    seen = Observation()
+    columns = [e.observed.cast("double").alias(f"m{i}") for i, e in enumerate(passing)]
+    stored = stage(df.observe(seen, *columns) if columns else df, label)
+    values = {e.name: seen.get[f"m{i}"] for i, e in enumerate(passing)}
+    later = [e for e in expectations(stored) if e.distinct]
+    if later:
+        counted = stored.agg(*[e.observed.cast("double").alias(f"m{i}") for i, e in enumerate(later)]).first()
+        values.update({e.name: counted[i] for i, e in enumerate(later)})
+    rows = [
+        {"name": e.name, "passed": e.passes(values[e.name]), "observed": values[e.name], "threshold": e.threshold}
+        for e in wanted
+    ]
+    return stored, _enforced(rows, gate)
+
+
 def not_empty() -> Expectation:
     return Expectation("not_empty", F.count("*"), "min", 1.0)
 
@@ -81,7 +118,7 @@ def raw_products(df: DataFrame) -> list[Expectation]:
     if "final_price" in df.columns:
         gate.append(none_where("negative_prices", number(df, "final_price") < 0))
     if "asin" in df.columns:
-        gate.append(Expectation("duplicate_asins", F.count("asin") - F.countDistinct("asin"), "max", 0.0))
+        gate.append(Expectation("duplicate_asins", F.count("asin") - F.countDistinct("asin"), "max", 0.0, True))
     return gate
 
 
@@ -93,7 +130,7 @@ def raw_reviews(df: DataFrame) -> list[Expectation]:
         gate.append(none_where("ratings_outside_1_5", (rating < 1) | (rating > 5)))
     key = resolve(df, ("asin", "product_asin"))
     if key:
-        gate.append(Expectation("products_covered", F.countDistinct(key), "report"))
+        gate.append(Expectation("products_covered", F.countDistinct(key), "report", distinct=True))
     return gate
 
 

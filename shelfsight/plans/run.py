@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from shelfsight.operators import quality as Q
+from shelfsight.operators import rollups as C
+from shelfsight.operators.answers import AnswerStore, Quota
 from shelfsight.operators.batches import enrich_batches
 from shelfsight.operators.ordering import FEW_KEYS
 from shelfsight.operators.products import enrich_products
@@ -19,8 +21,9 @@ from shelfsight.sinks.backup import ExportReport, export
 from shelfsight.sinks.encode import stamp
 from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sinks.price_log import append_log
+from shelfsight.sinks.rollup import RolledTable
 from shelfsight.sources.discovery import discover_by_keyword, url_source
-from shelfsight.staging import stage, staged_until_done
+from shelfsight.staging import staged_until_done
 
 
 @dataclass(frozen=True)
@@ -42,6 +45,10 @@ class Params:
     product_table: str = "products"
     review_table: str = "reviews"
     buckets: int = 256
+    rollups: bool = False
+    answers_dir: str | None = None
+    model: str = ""
+    quota: Quota = Quota()
     run_ts: datetime = field(default_factory=lambda: datetime.now(timezone.utc))
 
 
@@ -55,20 +62,45 @@ class RunReport:
     review_error: str | None = None
 
 
-def _check(report: RunReport, name: str, df: DataFrame, expectations: Callable) -> None:
-    report.gates[name] = Q.enforce(Q.evaluate(df, expectations(df)), name)
+def _staged(report: RunReport, name: str, df: DataFrame, label: str, gate: Callable) -> DataFrame:
+    """Store a table for the steps that follow, and check it on the way."""
+    stored, report.gates[name] = Q.stage_checked(df, label, gate, name)
+    return stored
 
 
-def _export(report: RunReport, df: DataFrame, name: str, key: str | None, params: Params) -> ExportReport:
-    """Store a table and check what is stored, unless the store failed and only a backup exists."""
-    table = KeyedTable(df.sparkSession, f"{params.store_dir}/{name}", key, params.buckets)
-    done = export(df, name, params.run_ts, table.upsert, params.output_dir)
+def stored_table(spark: SparkSession, name: str, key: str | None, params: Params) -> KeyedTable | RolledTable:
+    """A run's table; with ``rollups`` its cube follows every write."""
+    path = f"{params.store_dir}/{name}"
+    if not params.rollups:
+        return KeyedTable(spark, path, key, params.buckets)
+    return RolledTable(spark, path, key, C.PRODUCT_CUBE if name == params.product_table else C.REVIEW_CUBE, params.buckets)
+
+
+def _export(
+    report: RunReport, df: DataFrame, name: str, key: str | None, params: Params, rows: float
+) -> ExportReport:
+    """Store a table and check what is stored, unless the store failed and only a backup exists.
+
+    What is stored is checked by its cube, if it has one, and not read again.
+    """
+    table = stored_table(df.sparkSession, name, key, params)
+    done = export(df, name, params.run_ts, table.upsert, params.output_dir, empty=rows == 0)
     if not done.skipped and done.primary_error is None:
-        gate = Q.stored_products if name == params.product_table else Q.stored_reviews
-        _check(report, f"stored {name}", table.read(), gate)
+        products = name == params.product_table
+        if params.rollups:
+            rows, gate = table.totals(), C.stored_products if products else C.stored_reviews
+        else:
+            rows, gate = table.read(), Q.stored_products if products else Q.stored_reviews
+        title = f"stored {name}"
+        report.gates[title] = Q.enforce(Q.evaluate(rows, gate(rows)), title)
     return done
 
 
+def _count(report: RunReport, name: str) -> float:
+    """The rows that a gate has counted."""
+    return next(r["observed"] for r in report.gates[name] if r["name"] == "not_empty")
+
+
 def collect_reviews(reviews: DataFrame, urls: DataFrame, params: Params) -> DataFrame:
     """Reviews of the chosen products, at most so many for each."""
     max_urls = max(params.top_n_products, len(params.product_urls))
@@ -110,25 +142,28 @@ def _run(
 ) -> RunReport:
     report = RunReport()
     found = discover_by_keyword(catalog, params.keywords, params.limit_per_keyword)
-    found = stage(order_columns(found.drop(*PLACE)), "discovered")
-    _check(report, "raw products", found, Q.raw_products)
+    found = _staged(report, "raw products", order_columns(found.drop(*PLACE)), "discovered", Q.raw_products)
 
     # Both branches read the enriched products, so they are computed once.
-    enriched = stage(enrich_products(found, params.filter_unavailable), "enriched")
-    _check(report, "enriched products", enriched, Q.enriched_products)
-    report.products = _export(report, enriched, params.product_table, resolve(enriched, PRODUCT_KEY), params)
+    enriched = enrich_products(found, params.filter_unavailable)
+    enriched = _staged(report, "enriched products", enriched, "enriched", Q.enriched_products)
+    report.products = _export(
+        report, enriched, params.product_table, resolve(enriched, PRODUCT_KEY), params, _count(report, "enriched products")
+    )
     if params.history_dir and not report.products.skipped:
         append_log(stamp(enriched, params.run_ts), params.history_dir)
 
     try:
         urls = url_source(spark, enriched, params.product_urls, params.top_n_products, params.sort_by)
-        collected = stage(collect_reviews(reviews, urls, params), "collected")
-        _check(report, "raw reviews", collected, Q.raw_reviews)
+        collected = _staged(report, "raw reviews", collect_reviews(reviews, urls, params), "collected", Q.raw_reviews)
         order = _arrival(collected, params)
-        analysed = enrich_batches(collected, order, scorer, responses, params.ai_batch_size)
-        analysed = stage(with_recency(analysed, params.run_ts).drop(*PLACE, "batch_id"), "analysed")
-        _check(report, "analysed reviews", analysed, Q.analysed_reviews)
-        report.reviews = _export(report, analysed, params.review_table, resolve(analysed, REVIEW_KEY), params)
+        store = AnswerStore(spark, params.answers_dir, params.quota) if params.answers_dir else None
+        analysed = enrich_batches(collected, order, scorer, responses, params.ai_batch_size, store, params.model)
+        analysed = with_recency(analysed, params.run_ts).drop(*PLACE, "batch_id")
+        analysed = _staged(report, "analysed reviews", analysed, "analysed", Q.analysed_reviews)
+        report.reviews = _export(
+            report, analysed, params.review_table, resolve(analysed, REVIEW_KEY), params, _count(report, "analysed reviews")
+        )
     except Exception as failure:
         report.review_error = f"{type(failure).__name__}: {failure}".splitlines()[0]
     return report

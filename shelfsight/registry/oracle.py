@@ -432,6 +432,44 @@ SELECT doc_id, md5(text) AS digest, lang, source, n_chars, '["' || lang || '","'
 FROM documents"""
     sql["best_source"] = _r(
         "SELECT sentiment, count(*) AS count, 'Tables' AS source_label FROM reviews GROUP BY sentiment")
+    def one(report: str, rows: str, **numbers: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT '{report}' AS report, '{n}' AS item, round(CAST({x} AS DOUBLE), 4) AS value FROM {rows}"
+            for n, x in numbers.items())
+
+    sql["rollup_products"] = _p(f"""
+, stored AS (
+  SELECT * REPLACE (CASE WHEN search_keyword = 'widget' THEN best_price / 2 ELSE best_price END AS best_price)
+  FROM products WHERE p_partkey % 97 <> 0)
+{one("kpis", "stored", products="count(*)", avg_price="avg(best_price)", avg_rating="avg(rating)",
+     avg_discount="avg(discount_percent)")}
+UNION ALL {one("prices", "stored", min_price="min(best_price)", max_price="max(best_price)",
+               avg_price="avg(best_price)", avg_rating="avg(rating)")}
+UNION ALL {one("discounted", "stored", discounted="count(*) FILTER (WHERE discount_percent > 0)")}
+UNION ALL SELECT 'keywords', search_keyword || ' count', count(*) FROM stored WHERE search_keyword IS NOT NULL GROUP BY search_keyword
+UNION ALL SELECT 'tiers', price_tier || ' count', count(*) FROM stored WHERE price_tier IS NOT NULL GROUP BY price_tier""")
+
+    def share(flag: str) -> str:
+        return f"100.0 * count(*) FILTER (WHERE {flag}) / count(*)"
+
+    sql["rollup_reviews"] = _r(f"""
+, stored AS (
+  SELECT * REPLACE (CASE WHEN l_partkey % 3 = 1 THEN 'Neutral' ELSE sentiment END AS sentiment),
+    l_partkey % 3 = 2 OR review_age_days <= 30 AS is_recent FROM reviews)
+{one("kpis", "stored", reviews="count(*)", avg_rating="avg(rating)", negative_pct=share("sentiment = 'Negative'"),
+     positive_pct=share("sentiment = 'Positive'"))}
+UNION ALL {one("recent", "stored", recent="count(*) FILTER (WHERE is_recent)",
+               recent_negative="count(*) FILTER (WHERE is_recent AND sentiment = 'Negative')")}
+UNION ALL {one("verified", "stored", verified="count(*) FILTER (WHERE verified_purchase)",
+               verified_pct=share("verified_purchase"))}
+UNION ALL {one("analysed", "stored", reviews="count(*)", analysed="count(*) FILTER (WHERE sentiment <> 'Unknown')",
+               coverage_pct=share("sentiment <> 'Unknown'"))}
+UNION ALL {one("stored", "stored", reviews="count(*)", with_sentiment="count(*) FILTER (WHERE sentiment <> 'Unknown')")}
+UNION ALL SELECT 'sentiments', sentiment || ' count', count(*) FROM stored GROUP BY sentiment
+UNION ALL SELECT 'sentiments', sentiment || ' pct', round(100.0 * count(*) / (SELECT count(*) FROM stored), 4) FROM stored GROUP BY sentiment
+UNION ALL SELECT 'ratings', printf('%.1f', rating) || ' count', count(*) FROM stored WHERE rating IS NOT NULL GROUP BY rating
+UNION ALL SELECT 'ratings', printf('%.1f', rating) || ' avg_rating', round((SELECT avg(rating) FROM stored), 4)
+FROM stored WHERE rating IS NOT NULL GROUP BY rating""")
     sql["scan_table"] = _p("""
 SELECT asin, rating, price_tier,
   CASE WHEN rating > 2.5 THEN '2024-01-11 00:00:00' ELSE '2024-01-10 00:00:00' END AS scraped_at FROM products""")

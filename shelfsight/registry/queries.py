@@ -5,6 +5,7 @@ Aggregated doubles are rounded so that the order of summation does not show.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -19,6 +20,7 @@ from shelfsight.operators import products as P
 from shelfsight.operators import quality as Q
 from shelfsight.operators import reports as R
 from shelfsight.operators import reviews as V
+from shelfsight.operators import rollups as C
 from shelfsight.operators.answers import AnswerStore, Quota
 from shelfsight.operators.describe import describe_all, describe_numeric
 from shelfsight.operators.ordering import number_rows
@@ -32,6 +34,7 @@ from shelfsight.sinks import price_log as L
 from shelfsight.sinks.backup import csv_backup, export
 from shelfsight.sinks.encode import encode_nested, stamp
 from shelfsight.sinks.keyed_table import KeyedTable
+from shelfsight.sinks.rollup import RolledTable
 from shelfsight.sources import snapshot as S
 from shelfsight.sources.discovery import discover_by_keyword, url_source
 from shelfsight.sources.tables import load_best_source, newest_first, scan_csv_latest, scan_table
@@ -822,6 +825,51 @@ def _run(spark: SparkSession, sf_dir: str, folder: str, **other) -> None:
         raise RuntimeError(report.review_error)
 
 
+def _listed(report: str, df: DataFrame, item: str | None = None) -> DataFrame:
+    """A report's numbers as ``(report, item, value)``: one row for each column, or for each value of ``item``."""
+    numbers = [c for c in df.columns if c != item]
+    name = (lambda c: F.concat_ws(" ", F.col(item).cast("string"), F.lit(c))) if item else F.lit
+    pairs = F.array(*[F.struct(name(c).alias("item"), F.round(F.col(c).cast("double"), 4).alias("value")) for c in numbers])
+    return df.select(F.lit(report).alias("report"), F.inline(pairs))
+
+
+def _together(reports: list[DataFrame]) -> DataFrame:
+    return functools.reduce(DataFrame.unionByName, reports)
+
+
+@query
+def rollup_products(spark, sf_dir):
+    """Product reports from partial sums, after an upsert of all products with a price and one of cheaper widgets."""
+    df = _products(spark, sf_dir).where("p_partkey % 97 != 0")
+    table = RolledTable(spark, scratch_path(spark, "rolled"), "asin", C.PRODUCT_CUBE, 16)
+    table.upsert(df)
+    table.upsert(df.where(F.col("search_keyword") == "widget").withColumn("best_price", F.col("best_price") / 2))
+    cube = table.totals()
+    return _together([
+        _listed("kpis", C.product_kpis(cube)), _listed("prices", C.price_stats(cube)),
+        _listed("discounted", C.discounted_count(cube)),
+        _listed("keywords", C.value_counts(cube, "search_keyword"), "search_keyword"),
+        _listed("tiers", C.value_counts(cube, "price_tier"), "price_tier"),
+    ])
+
+
+@query
+def rollup_reviews(spark, sf_dir):
+    """Review reports from partial sums, after three upserts of which the second replaces a third of the products."""
+    rows = V.with_recency(_reviews(spark, sf_dir), AS_OF)
+    table = RolledTable(spark, scratch_path(spark, "rolled"), "asin", C.REVIEW_CUBE, 16)
+    table.upsert(rows.where("l_partkey % 3 != 2"))
+    table.upsert(rows.where("l_partkey % 3 = 1").withColumn("sentiment", F.lit("Neutral")))
+    table.upsert(rows.where("l_partkey % 3 = 2").withColumn("is_recent", F.lit(True)))
+    cube = table.totals()
+    return _together([
+        _listed("kpis", C.review_kpis(cube)), _listed("recent", C.recent_counts(cube)),
+        _listed("verified", C.verified_share(cube)), _listed("analysed", C.analysis_coverage(cube)),
+        _listed("stored", C.stored_coverage(cube)), _listed("sentiments", C.sentiment_distribution(cube), "sentiment"),
+        _listed("ratings", C.rating_distribution(cube), "rating"),
+    ])
+
+
 @query
 def daily_run_repeated(spark, sf_dir):
     """A run and its repetition: tables, log and backups hold what one run stores."""

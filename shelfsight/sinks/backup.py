@@ -37,12 +37,14 @@ def export(
     run_ts: datetime,
     primary: Callable[[DataFrame], object],
     output_dir: str,
+    empty: bool | None = None,
 ) -> ExportReport:
     """Stamp a table, write it by ``primary``, and write a CSV backup in any case.
 
-    Nothing is written for an empty table. A failure of the primary sink is returned, not raised.
+    Nothing is written for an empty table; ``empty`` says so where the caller knows. A failure of the primary sink is
+    returned, not raised.
     """
-    if df.isEmpty():
+    if df.isEmpty() if empty is None else empty:
         return ExportReport(table, skipped=True)
     stamped = stamp(df, run_ts)
     error = None

@@ -99,6 +99,18 @@ class KeyedTable:
     def exists(self) -> bool:
         return self._state().version > 0
 
+    def parts(self) -> tuple[list[str], T.StructType]:
+        """The folders that hold the current rows, below ``path``, and their schema. A folder never changes."""
+        state = self._state()
+        return state.paths(), state.schema
+
+    def read_parts(self, parts: list[str], schema: T.StructType) -> DataFrame:
+        """The rows of some folders, with the folder's name as ``part``."""
+        name = F.regexp_extract("_metadata.file_path", rf"(data/run-[^/]+/[^/]+/{_BUCKET}=-?[0-9]+)/[^/]*$", 1)
+        return self._load(parts, schema).select("*", name.alias("part")) if parts else self._load(
+            parts, T.StructType([*schema.fields, T.StructField("part", T.StringType())])
+        )
+
     def read(self) -> DataFrame:
         """The current rows."""
         state = self._state()

@@ -1,6 +1,10 @@
+import uuid
+
 import pytest
+from pyspark.sql import functions as F
 
 from shelfsight.operators import quality as Q
+from shelfsight.staging import stage
 
 
 def failed(df, expectations):
@@ -52,3 +56,42 @@ def test_a_gate_is_one_aggregation(spark):
     df = spark.createDataFrame([("Unknown", "", "", "")], schema)
     plan = Q.evaluate(df, Q.analysed_reviews(df))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1
+
+
+def _jobs(spark, action):
+    """How many jobs an action runs."""
+    group = uuid.uuid4().hex
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        action()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_observed_gates_equal_evaluated_ones(spark):
+    rows = [("t", "u", 1.5, "A", 4.0, "tier", 5.0, "Positive", "[]"), (None, "u", -2.0, "A", 9.0, None, -1.0, "odd", None)]
+    df = spark.createDataFrame(rows, "title string, url string, final_price double, asin string, rating double, "
+                               "price_tier string, discount_percent double, sentiment string, issues string")
+    df = df.withColumns({"best_price": F.col("final_price"), "review_text": F.col("title")})
+    gates = (Q.raw_products, Q.raw_reviews, Q.enriched_products, Q.analysed_reviews, Q.stored_products, Q.stored_reviews)
+    for frame in (df, df.limit(0), df.where("rating < 5"), df.drop("asin", "rating", "sentiment")):
+        for gate in gates:
+            wanted = [r.asDict() for r in Q.evaluate(frame, gate(frame)).collect()]
+            try:
+                stored, found = Q.stage_checked(frame, "gate", gate, "gate")
+                assert found == wanted and all(r["passed"] for r in found)
+                assert stored.count() == frame.count()
+            except Q.GateFailure as failure:
+                failed = [r for r in wanted if not r["passed"]]
+                assert failed and all(f"{r['name']}: {r['observed']}" in str(failure) for r in failed)
+
+
+def test_a_gate_costs_no_job_of_its_own(spark):
+    df = spark.range(100).select(
+        F.lit("t").alias("sentiment"), F.lit("").alias("issues"), F.lit("").alias("themes"), F.lit("").alias("ai_summary")
+    ).withColumn("sentiment", F.lit("Positive"))
+    alone = _jobs(spark, lambda: stage(df, "alone"))
+    assert _jobs(spark, lambda: Q.stage_checked(df, "gate", Q.analysed_reviews, "gate")) == alone
+    separate = _jobs(spark, lambda: Q.enforce(Q.evaluate(stage(df, "apart"), Q.analysed_reviews(df)), "gate"))
+    assert separate > alone
