@@ -51,15 +51,29 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 _OPEN: list[list[str]] = []
 
 
+@contextmanager
+def staged(paths: list[str]) -> Iterator[None]:
+    """Add to ``paths`` what is staged inside, for a caller that deletes it later."""
+    _OPEN.append(paths)
+    try:
+        yield
+    finally:
+        _OPEN[:] = [p for p in _OPEN if p is not paths]
+
+
+def delete(spark: SparkSession, paths: list[str]) -> None:
+    """Delete staged tables."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @contextmanager
 def staged_until_done(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what is staged inside. Nothing that is still to be read may depend on it."""
     paths: list[str] = []
-    _OPEN.append(paths)
     try:
-        yield
+        with staged(paths):
+            yield
     finally:
-        _OPEN.remove(paths)
-        for path in paths:
-            place = spark._jvm.org.apache.hadoop.fs.Path(path)
-            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, paths)
