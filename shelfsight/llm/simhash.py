@@ -334,7 +334,8 @@ def similar_links(nodes: DataFrame, texts: DataFrame, size: int, similarity: Fra
         met = stage(members.join(open_, "shingle"), "open-shingles")
         if met.isEmpty():
             break
-        place = F.pmod(F.xxhash64("node", "shingle"), F.lit(1 << 30)) * F.col("members")
+        # A node's place is the same in all its buckets, so a group of copies has few representatives over all of them.
+        place = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) * F.col("members")
         chosen = met.where((F.col("label") != F.col("main")) & (place < asked * (1 << 30)))
         chosen = chosen.select("shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("label").alias("part"))
         may = (p + q) * F.least("rest", "left") >= p * (F.col("n") + F.col("m"))
