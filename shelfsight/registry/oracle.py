@@ -511,6 +511,7 @@ FROM (SELECT asin, date_trunc('week', scraped_at) AS week, count(*) AS observati
 SELECT doc_id, source AS asin, md5(text) AS digest FROM documents WHERE {_FEED_GOOD}"""
     sql["snapshot_mixed"] = "SELECT p_partkey, p_name AS title, p_brand AS brand FROM part WHERE p_partkey % 17 <> 3"
     sql["snapshot_array"] = "SELECT p_partkey, p_name AS title, p_brand AS brand FROM part"
+    sql["snapshot_large_array"] = "SELECT doc_id, md5(text) AS digest, lang, source FROM documents"
     sql["error_counts"] = f"""
 SELECT count(*) AS records, count(*) FILTER (WHERE {_FEED_GOOD}) AS successful,
   count(*) FILTER (WHERE doc_id % 13 = 0) AS errors

@@ -705,6 +705,21 @@ def snapshot_array(spark, sf_dir):
     return S.to_columns(S.scan_snapshot(spark, path), schema).select("p_partkey", "title", "brand")
 
 
+@query
+def snapshot_large_array(spark, sf_dir):
+    """The documents as JSON arrays over many lines, cut into records by as many tasks as the files have splits."""
+    path = scratch_path(spark, "large-arrays")
+    record = F.to_json(F.struct("doc_id", "text", F.struct("lang", "source").alias("of")), {"pretty": "true"})
+    # Every array also has elements that are no records.
+    pages = table(spark, sf_dir, "documents").groupBy(F.floor(F.col("doc_id") / 500).alias("page")).agg(
+        F.concat(F.lit('[ 7, "}{", [{"no": 1}],\n'), F.array_join(F.collect_list(record), ",\n"), F.lit("\n]")).alias("value")
+    )
+    pages.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    schema = T.StructType.fromDDL("doc_id bigint, text string, of struct<lang string, source string>")
+    found = S.to_columns(S.scan_snapshot(spark, path, "array"), schema)
+    return found.select("doc_id", F.md5("text").alias("digest"), "of.lang", "of.source")
+
+
 @query
 def snapshot_mixed(spark, sf_dir):
     """The parts in one folder: objects and arrays over many lines, and lines with bad ones among them."""

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfsight.functions.text import single_json_value, strip
+from shelfsight.sources.json_scan import read_array
 
+#: Layouts of files that may hold lines of records.
 LAYOUTS = ("document", "lines")
 
 
@@ -56,6 +58,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_arrays(spark: SparkSession, path: str) -> DataFrame:
+    """Files that are one JSON array each, of any size, read by as many tasks as they have splits.
+
+    ``seq`` is the place of the record in bytes and ``pos`` 0. Records that are no valid JSON are dropped one by one.
+    """
+    raw = F.get(F.from_json(F.concat(F.lit("["), single_json_value(F.col("raw")), F.lit("]")), "array<string>"), 0)
+    return _objects(read_array(spark, path).select("file", "seq", F.lit(0).alias("pos"), raw.alias("raw")))
+
+
 def scan_snapshot(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
     """Records of a snapshot folder as ``(file, seq, pos, raw)``.
 
@@ -65,10 +76,13 @@ def scan_snapshot(spark: SparkSession, path: str, layout: str = "document") -> D
     ``"document"`` files may hold anything: one JSON document, over as many lines as it likes, or else a
     record on each line. Such a file is read by one task, as one text of up to 2 GB. ``"lines"`` files have a
     record on each line, or an array; they are split over many tasks. For such files both layouts give the
-    same records.
+    same records. ``"array"`` files are one array each, or one object after the other, over as many lines as they
+    like; they are split over many tasks too, whatever their size.
     """
+    if layout == "array":
+        return read_arrays(spark, path)
     if layout not in LAYOUTS:
-        raise ValueError(f"layout must be one of {', '.join(LAYOUTS)}")
+        raise ValueError(f"layout must be one of {', '.join(LAYOUTS)} or array")
     return read_documents(spark, path) if layout == "document" else read_lines(spark, path)
 
 
