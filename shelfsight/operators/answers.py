@@ -109,15 +109,13 @@ class AnswerStore:
 
     def answers(self) -> DataFrame:
         """``digest``, ``response`` and ``asked_at`` of every answered batch."""
-        if not self._answers.exists():
-            return self.spark.createDataFrame([], "digest string, response string, asked_at timestamp")
-        return self._answers.read()
+        known = self._answers.read_if_exists()
+        return self.spark.createDataFrame([], "digest string, response string, asked_at timestamp") if known is None else known
 
     def requests(self) -> DataFrame:
         """``run``, ``day`` and the number of ``calls``, failed ones included."""
-        if not self._requests.exists():
-            return self.spark.createDataFrame([], "run string, day date, calls bigint")
-        return self._requests.read()
+        known = self._requests.read_if_exists()
+        return self.spark.createDataFrame([], "run string, day date, calls bigint") if known is None else known
 
     def _journals(self) -> list[str]:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/journal")

@@ -1,15 +1,17 @@
 """A Parquet table with keyed upsert.
 
-Rows live in folders by hash bucket of their key. An upsert writes new folders for the buckets its
-batch touches and then appends one small file to the manifest, which is the commit: readers see the
-old folders before it and the new ones after it. Buckets without batch keys are neither read nor
-rewritten. There must be one writer at a time.
+Rows live in files by hash bucket of their key. An upsert writes new files for the buckets its batch touches and then
+appends one small file to the manifest, which is the commit: readers see the old files before it and the new ones
+after it. Buckets without batch keys are neither read nor rewritten, and within a bucket a small batch rewrites only
+the files that hold one of its keys, which their Bloom filters, dictionaries and key ranges tell. There must be one
+writer at a time.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from itertools import groupby
 
@@ -22,6 +24,10 @@ _BUCKET = "key_bucket"
 _NO_KEY = -1
 _MANIFEST = "version bigint, bucket int, path string, replaces string, schema string, buckets int, commit_id string"
 _ENTRIES = f"array<struct<{_MANIFEST}>>"
+#: Keys that are looked for in the stored files by value; of a larger batch all files of its buckets are rewritten.
+FEW_KEYS = 1000
+#: Files of a bucket from which on an upsert that touches it puts them together again.
+CROWDED = 32
 
 
 def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
@@ -51,14 +57,17 @@ class _State:
         for row in changes:
             if row["replaces"] == "bucket":
                 self.folders.pop(row["bucket"], None)
+        gone = {row["path"] for row in changes if row["replaces"] == "file"}
+        for bucket in {row["bucket"] for row in changes if row["replaces"] == "file"}:
+            self.folders[bucket] = [p for p in self.folders.get(bucket, []) if p not in gone]
         for row in changes:
-            if row["path"] is not None:
+            if row["path"] is not None and row["replaces"] != "file":
                 self.folders.setdefault(row["bucket"], []).append(row["path"])
         latest = changes[-1]
         self.version = latest["version"]
         self.schema = next(T.StructType.fromJson(json.loads(r["schema"])) for r in changes if r["schema"])
         self.buckets = latest["buckets"]
-        self.commit_ids.add(latest["commit_id"])
+        self.commit_ids.update(row["commit_id"] for row in changes)
 
     def paths(self) -> list[str]:
         return [path for paths in self.folders.values() for path in paths]
@@ -99,14 +108,19 @@ class KeyedTable:
     def exists(self) -> bool:
         return self._state().version > 0
 
+    def read_if_exists(self) -> DataFrame | None:
+        """The current rows, or None before the first write; the manifest is read once."""
+        state = self._state()
+        return self._load(state.paths(), state.schema) if state.version else None
+
     def parts(self) -> tuple[list[str], T.StructType]:
-        """The folders that hold the current rows, below ``path``, and their schema. A folder never changes."""
+        """The files that hold the current rows, below ``path``, and their schema. A file never changes."""
         state = self._state()
         return state.paths(), state.schema
 
     def read_parts(self, parts: list[str], schema: T.StructType) -> DataFrame:
-        """The rows of some folders, with the folder's name as ``part``."""
-        name = F.regexp_extract("_metadata.file_path", rf"(data/run-[^/]+/[^/]+/{_BUCKET}=-?[0-9]+)/[^/]*$", 1)
+        """The rows of some files, with the file's name as ``part``."""
+        name = F.regexp_extract("_metadata.file_path", rf"(data/run-[^/]+/[^/]+/{_BUCKET}=-?[0-9]+/[^/]+)$", 1)
         return self._load(parts, schema).select("*", name.alias("part")) if parts else self._load(
             parts, T.StructType([*schema.fields, T.StructField("part", T.StringType())])
         )
@@ -122,27 +136,39 @@ class KeyedTable:
         hashed = F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
         return df.withColumn(_BUCKET, F.when(F.col(self.key).isNotNull(), hashed).otherwise(F.lit(_NO_KEY)))
 
-    def _write(self, df: DataFrame, folder: str) -> list[int]:
-        """Write a folder per bucket and return the buckets that have rows."""
-        path = f"{self.path}/{folder}"
-        # Rebalancing splits a bucket that a hot key fills, and joins small ones. Writing needs the rows in
-        # bucket order anyway; in key order too, readers can skip row groups by key.
+    def _files(self, pattern: str) -> list[str]:
+        """Files below the table's path."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")
+        found = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(place)
+        depth = pattern.count("/") + 1
+        return sorted("/".join(f.getPath().toString().split("/")[-depth:]) for f in found or [])
+
+    def _write(self, df: DataFrame, folder: str, rebalance: bool = True) -> dict[int, list[str]]:
+        """Write the rows by bucket and return the files of each bucket that has rows."""
+        rows, options = self._bucketed(df), {}
+        if rebalance:
+            # Rebalancing splits a bucket that a hot key fills, and joins small ones.
+            rows = rows.hint("rebalance", _BUCKET)
+        if self.key in df.columns:
+            options = {f"parquet.bloom.filter.enabled#{self.key}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+        # Writing needs the rows in bucket order anyway; in key order too, readers can skip row groups by key.
         order = [c for c in (_BUCKET, self.key) if c == _BUCKET or c in df.columns]
-        rows = self._bucketed(df).hint("rebalance", _BUCKET).sortWithinPartitions(*order)
-        rows.write.partitionBy(_BUCKET).parquet(path)
-        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        listed = place.getFileSystem(self.spark._jsc.hadoopConfiguration()).listStatus(place)
-        names = [entry.getPath().getName() for entry in listed]
-        return sorted(int(name.partition("=")[2]) for name in names if name.startswith(f"{_BUCKET}="))
+        rows.sortWithinPartitions(*order).write.options(**options).partitionBy(_BUCKET).parquet(f"{self.path}/{folder}")
+        files: dict[int, list[str]] = {}
+        for path in self._files(f"{folder}/{_BUCKET}=*/*.parquet"):
+            files.setdefault(int(path.split(f"{_BUCKET}=")[1].split("/")[0]), []).append(path)
+        return files
 
     def _commit(
-        self, version: int, entries: list[tuple], schema: T.StructType, commit_id: str | None = None
+        self, version: int, entries: list[tuple], schema: T.StructType, commit_id: str | None = None,
+        earlier_ids: Sequence[str] = (),
     ) -> None:
         shared = {"version": version, "buckets": self.buckets, "commit_id": commit_id}
         rows = [
             {**shared, "bucket": bucket, "path": path, "replaces": replaces}
             for bucket, path, replaces in entries
         ]
+        rows += [{**shared, "bucket": _NO_KEY, "replaces": "nothing", "commit_id": i} for i in earlier_ids]
         # The schema is long and the same for all rows of a commit, so one of them carries it.
         rows[:1] = [{**row, "schema": schema.json()} for row in rows[:1]]
         listed = F.inline(F.from_json(F.lit(json.dumps(rows)), _ENTRIES))
@@ -163,18 +189,36 @@ class KeyedTable:
             return
         schema = _merged(state.schema, batch.schema)
         run = f"data/run-{uuid.uuid4().hex}"
-        new = {b: f"{run}/new/{_BUCKET}={b}" for b in self._write(batch, f"{run}/new")}
-        entries = [(b, path, "nothing" if b == _NO_KEY else "bucket") for b, path in new.items()]
-        older = [path for b in new if b != _NO_KEY for path in state.folders.get(b, [])]
-        if older:
-            keyed = [path for b, path in new.items() if b != _NO_KEY]
-            keys = self._load(keyed, batch.schema).select(self.key).distinct()
-            kept = self._load(older, state.schema).join(keys, self.key, "left_anti")
-            entries += [
-                (b, f"{run}/kept/{_BUCKET}={b}", "bucket") for b in self._write(kept, f"{run}/kept")
-            ]
+        new = self._write(batch, f"{run}/new")
+        entries = [(b, path, "nothing") for b, paths in new.items() for path in paths]
+        touched = {b: state.folders[b] for b in new if b != _NO_KEY and state.folders.get(b)}
+        if touched:
+            keyed = [path for b, paths in new.items() if b != _NO_KEY for path in paths]
+            entries += self._rewritten(touched, self._load(keyed, batch.schema).select(self.key).distinct(), state, run)
         self._commit(state.version + 1, entries, schema, commit_id)
 
+    def _rewritten(self, touched: dict[int, list[str]], keys: DataFrame, state: _State, run: str) -> list[tuple]:
+        """Write what stays of the buckets' files that hold one of the keys; the manifest entries of that."""
+        listed = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
+        few = len(listed) <= FEW_KEYS
+        asked = F.col(self.key).isin(listed)
+        if few:
+            crowded = {b for b, paths in touched.items() if len(paths) > CROWDED}
+            every = [path for paths in touched.values() for path in paths]
+            holding = self.read_parts(every, state.schema).where(asked).select("part").distinct()
+            found = {r["part"] for r in holding.collect()}
+            touched = {b: paths if b in crowded else [p for p in paths if p in found] for b, paths in touched.items()}
+        files = [path for paths in touched.values() for path in paths]
+        if not files:
+            return []
+        stored = self._load(files, state.schema)
+        # Few keys are compared where the rows are read, and the rows stay in the tasks that read them.
+        kept = stored.where(~asked) if few else stored.join(keys, self.key, "left_anti")
+        written = self._write(kept, f"{run}/kept", rebalance=not few or bool(crowded))
+        return [(b, path, "nothing") for b, paths in written.items() for path in paths] + [
+            (b, path, "file") for b, paths in touched.items() for path in paths
+        ]
+
     def upsert_runs(self, batch: DataFrame, run: str, commit_id: str | None = None) -> None:
         """Keep, for each key, the rows of its latest run among the table's and the batch's rows.
 
@@ -186,21 +230,41 @@ class KeyedTable:
             return
         schema = _merged(state.schema, batch.schema)
         folder = f"data/run-{uuid.uuid4().hex}"
-        new = {b: f"{folder}/new/{_BUCKET}={b}" for b in self._write(batch, f"{folder}/new")}
-        entries = [(b, path, "nothing") for b, path in new.items() if b == _NO_KEY]
-        keyed = [path for b, path in new.items() if b != _NO_KEY]
+        new = self._write(batch, f"{folder}/new")
+        entries = [(b, path, "nothing") for b, paths in new.items() if b == _NO_KEY for path in paths]
+        keyed = [path for b, paths in new.items() if b != _NO_KEY for path in paths]
         older = [path for b in new if b != _NO_KEY for path in state.folders.get(b, [])]
         if keyed:
             rows = self._load([*older, *keyed], schema)
             latest = rows.groupBy(self.key).agg(F.max(run).alias("_latest"))
             current = rows.join(latest, self.key).where(F.col(run).eqNullSafe(F.col("_latest"))).drop("_latest")
             kept = self._write(current.select(*schema.names), f"{folder}/current")
-            entries += [(b, f"{folder}/current/{_BUCKET}={b}", "bucket") for b in kept]
+            entries += [(b, path, "bucket") for b, paths in kept.items() for path in paths]
         self._commit(state.version + 1, entries, schema, commit_id)
 
     def replace_all(self, df: DataFrame, commit_id: str | None = None) -> None:
         """Replace the whole table."""
         version = self._state().version
         run = f"data/run-{uuid.uuid4().hex}"
-        entries = [(b, f"{run}/all/{_BUCKET}={b}", "table") for b in self._write(df, f"{run}/all")]
+        entries = [(b, path, "table") for b, paths in self._write(df, f"{run}/all").items() for path in paths]
         self._commit(version + 1, entries or [(_NO_KEY, None, "table")], df.schema, commit_id)
+
+    def vacuum(self) -> int:
+        """Write the manifest anew as one commit and delete what it no longer names; the number of files deleted.
+
+        The table's rows and the known commit ids stay. Readers and writers of earlier states must be done.
+        """
+        state = self._state()
+        if not state.version:
+            return 0
+        known = self._files("manifest/*.json")
+        entries = [(b, path, "table") for b, paths in state.folders.items() for path in paths]
+        entries = entries or [(_NO_KEY, None, "table")]
+        self._commit(state.version + 1, entries, state.schema, None, sorted(filter(None, state.commit_ids)))
+        current = set(state.paths())
+        stale = known + [f for f in self._files("data/*/*/*/*.parquet") if f not in current]
+        files = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = files.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        for path in stale:
+            files.delete(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{path}"), False)
+        return len(stale)

@@ -1,8 +1,8 @@
 """Partial aggregates that follow a keyed table, so that reports read them and not the table.
 
-A folder of a keyed table never changes; an upsert adds folders and drops others. So each folder's rows are aggregated
-once, when it appears, and its partial rows go when it goes: what an upsert replaces is taken back and what it writes
-is added, at the cost of reading the folders it wrote. A report sums the partial rows of the current folders.
+A file of a keyed table never changes; an upsert adds files and drops others. So each file's rows are aggregated once,
+when it appears, and its partial rows go when it goes: what an upsert replaces is taken back and what it writes is
+added, at the cost of reading the files it wrote. A report sums the partial rows of the current files.
 """
 
 from __future__ import annotations
@@ -64,14 +64,14 @@ class RolledTable:
         self.refresh()
 
     def refresh(self) -> None:
-        """Aggregate the folders that have no partial rows, and drop those of folders that are gone.
+        """Aggregate the files that have no partial rows, and drop those of files that are gone.
 
         It depends on the table's state alone: after a run that died between table and cube, the next one catches up.
         """
         parts, schema = self.table.parts()
         known, kept = set(), None
-        if self._partials.exists():
-            old = self._partials.read()
+        old = self._partials.read_if_exists()
+        if old is not None:
             known = {r["part"] for r in old.select("part").distinct().collect()}
             kept = old.join(self._names(parts), "part", "left_semi")
         new = [p for p in parts if p not in known]

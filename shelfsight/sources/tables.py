@@ -17,7 +17,7 @@ Pair = tuple[DataFrame | None, DataFrame | None]
 
 def scan_table(table: KeyedTable) -> DataFrame | None:
     """A stored table, or None if there is none."""
-    return table.read() if table.exists() else None
+    return table.read_if_exists()
 
 
 def newest_first(df: DataFrame) -> DataFrame:

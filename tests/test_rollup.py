@@ -65,16 +65,17 @@ def test_product_reports_after_upserts(spark, tmp_path):
         same(table, PRODUCT_REPORTS)
 
 
-def test_only_partial_rows_are_read_and_only_new_folders_aggregated(spark, tmp_path):
+def test_only_partial_rows_are_read_and_only_new_files_aggregated(spark, tmp_path):
     table = RolledTable(spark, str(tmp_path / "t"), "asin", C.REVIEW_CUBE, 8)
     table.upsert(reviews(spark, 0, 300))
     assert all("/rollup/" in f for f in table.totals().inputFiles())
+    table.table.upsert(reviews(spark, 1, 2))
     asked = []
     read_parts = table.table.read_parts
     table.table.read_parts = lambda parts, schema: asked.append(len(parts)) or read_parts(parts, schema)
-    table.upsert(reviews(spark, 1, 2))
     table.refresh()
-    # One key: the folder with its new rows and the one with what is left of its bucket.
+    table.refresh()
+    # One key: the file with its new rows and the one with what is left of its old one.
     assert asked == [2]
     same(table, REVIEW_REPORTS)
 

@@ -85,6 +85,79 @@ def test_only_touched_buckets_are_rewritten(spark, tmp_path):
     assert t.read().count() == 200
 
 
+def _listed(t):
+    return {p for paths in t._state().folders.values() for p in paths}
+
+
+def test_a_small_batch_rewrites_the_files_that_hold_its_keys(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=2)
+    keys = spark.range(4000).select(F.concat(F.lit("k"), F.lpad(F.col("id").cast("string"), 5, "0")).alias("asin"), F.col("id").cast("int").alias("v"))
+    for part in range(8):
+        t.upsert(keys.where(F.col("v") % 8 == part))
+    before = _listed(t)
+    assert len(before) == 16
+    t.upsert(batch(spark, ("k00008", -1), ("k00016", -2), ("new", -3)))
+    # Both keys are of the first part; they lie in at most two of its files, and the new key in none.
+    gone = before - _listed(t)
+    assert 1 <= len(gone) <= 2 and t.read().count() == 4001
+    assert t.read().where("v < 0").count() == 3 and t.read().where("asin = 'k00008'").first()["v"] == -1
+
+
+def test_stored_rows_are_not_shuffled_for_few_keys(spark, tmp_path, monkeypatch):
+    t = table(spark, tmp_path, buckets=2)
+    t.upsert(batch(spark, *[(f"k{i}", i) for i in range(300)]))
+    plans, write = [], KeyedTable._write
+
+    def watched(self, df, folder, rebalance=True):
+        if folder.endswith("/kept"):
+            rows = self._bucketed(df) if not rebalance else self._bucketed(df).hint("rebalance", "key_bucket")
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, folder, rebalance)
+    monkeypatch.setattr(KeyedTable, "_write", watched)
+    t.upsert(batch(spark, ("k1", -1), ("k2", -2)))
+    assert len(plans) == 1 and "Exchange" not in plans[0] and "Join" not in plans[0]
+    monkeypatch.setattr("shelfsight.sinks.keyed_table.FEW_KEYS", 1)
+    t.upsert(batch(spark, ("k3", -1), ("k4", -2)))
+    assert len(plans) == 2 and "Exchange" in plans[1]
+    assert t.read().count() == 300 and t.read().where("v < 0").count() == 4
+
+
+def test_keys_have_bloom_filters_where_dictionaries_are_given_up(spark, tmp_path):
+    t = table(spark, tmp_path, buckets=1)
+    t.upsert(spark.range(150_000).select(F.sha2(F.col("id").cast("string"), 256).alias("asin"), F.col("id").cast("int").alias("v")))
+    jvm = spark._jvm
+    for file in _listed(t):
+        path = jvm.org.apache.hadoop.fs.Path(f"{t.path}/{file}")
+        opened = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(
+            jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, spark._jsc.hadoopConfiguration()))
+        column = opened.getFooter().getBlocks().get(0).getColumns().get(0)
+        assert column.getPath().toDotString() == "asin" and column.getBloomFilterOffset() > 0
+        opened.close()
+
+
+def test_crowded_buckets_are_put_together(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("shelfsight.sinks.keyed_table.CROWDED", 3)
+    t = table(spark, tmp_path, buckets=1)
+    for i in range(6):
+        t.upsert(batch(spark, (f"k{i}", i)))
+    assert len(_listed(t)) <= 5 and content(t) == [(f"k{i}", i) for i in range(6)]
+
+
+def test_vacuum_keeps_the_table_and_its_commits(spark, tmp_path):
+    t = table(spark, tmp_path)
+    for i in range(4):
+        t.upsert(batch(spark, ("a", i), (f"k{i}", i), (None, i)), commit_id=f"run{i}")
+    before, rows = len(list(tmp_path.rglob("*.parquet"))), content(t)
+    assert t.vacuum() > 0 and content(t) == rows
+    assert len(list((tmp_path / "t" / "manifest").glob("*.json"))) == 1
+    assert len(list(tmp_path.rglob("*.parquet"))) == len(_listed(t)) < before
+    t.upsert(batch(spark, ("a", 9)), commit_id="run2")
+    assert content(t) == rows
+    t.upsert(batch(spark, ("a", 9)), commit_id="run4")
+    assert ("a", 9) in content(t) and len(content(t)) == len(rows)
+    assert KeyedTable(spark, str(tmp_path / "none"), "asin").vacuum() == 0
+
+
 def test_unfinished_write_is_invisible(spark, tmp_path):
     t = table(spark, tmp_path)
     t.upsert(batch(spark, ("a", 1)))
