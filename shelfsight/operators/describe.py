@@ -1,39 +1,37 @@
 """Column statistics: counts, most frequent values, moments and exact quartiles.
 
-Exact statistics of a column need its distinct values in one place if they are computed by a single
-aggregate. Here all columns are turned into ``(column, value)`` pairs and counted first, so a frequent
-value is combined before the shuffle, and the quartiles are read off the range-partitioned counts.
+Numbers take one scan for moments and sketches and a second one for the quartiles, see ``quantiles``. Distinct counts
+and modes of texts need equal texts to meet: all text columns become ``(column, text)`` pairs that are counted, so a
+frequent text is combined before the shuffle.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfsight.functions.numbers import nan_to_null, number
+from shelfsight.functions.numbers import number
 from shelfsight.operators.ordering import split_position
+from shelfsight.operators.quantiles import sketched_quantiles, summaries
 from shelfsight.schema import is_numeric
 from shelfsight.staging import stage
 
 QUARTILES = (0.25, 0.5, 0.75)
+_NUMERIC = "column string, count bigint, mean double, std double, min double, p25 double, p50 double, p75 double, max double"
 
 
-def _counts(df: DataFrame, numbers: Sequence[str], texts: Sequence[str]) -> DataFrame:
-    """Stored ``(column, value, text, n)``: how often each value of the columns occurs, from one scan.
-
-    Numbers are in ``value`` and texts in ``text``. Everything else is derived from these counts.
-    """
-    none, void = F.lit(None).cast("double"), F.lit(None).cast("string")
-    entries = [F.struct(F.lit(n).alias("column"), number(df, n).alias("value"), void.alias("text")) for n in numbers]
-    entries += [F.struct(F.lit(n).alias("column"), none.alias("value"), F.col(n).cast("string").alias("text")) for n in texts]
-    pairs = df.select(F.inline(F.array(*entries))).where("value IS NOT NULL OR text IS NOT NULL")
-    return stage(pairs.groupBy("column", "value", "text").agg(F.count("*").alias("n")), "value-counts")
+def _counts(df: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """Stored ``(column, text, n)``: how often each value of the columns occurs, from one scan."""
+    entries = [F.struct(F.lit(n).alias("column"), F.col(n).cast("string").alias("text")) for n in texts]
+    pairs = df.select(F.inline(F.array(*entries))).where("text IS NOT NULL")
+    return stage(pairs.groupBy("column", "text").agg(F.count("*").alias("n")), "value-counts")
 
 
 def exact_quantiles(counts: DataFrame, probabilities: Sequence[float] = QUARTILES) -> DataFrame:
-    """Linearly interpolated quantiles of ``(column, value, n)`` rows, one row per column and probability.
+    """For values that are counted already: linearly interpolated quantiles of ``(column, value, n)`` rows, one row per column and probability.
 
     The counts are range-partitioned by value. The number of observations in earlier partitions tells
     which partitions hold the wanted ranks, and only those are ranked row by row.
@@ -81,35 +79,29 @@ def exact_quantiles(counts: DataFrame, probabilities: Sequence[float] = QUARTILE
     )
 
 
-def _numeric(counts: DataFrame) -> DataFrame:
-    weighted = counts.where(F.col("value").isNotNull())
-    sums = weighted.groupBy("column").agg(
-        F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("_mean"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
-    # One row for each described column.
-    spread = weighted.join(F.broadcast(sums.select("column", "_mean")), "column").groupBy("column").agg(
-        F.sum(F.col("n") * F.pow(F.col("value") - F.col("_mean"), 2)).alias("_squares")
-    )
-    quartiles = exact_quantiles(weighted.select("column", "value", "n")).groupBy("column").agg(*[
-        F.max(F.when(F.col("probability") == p, F.col("quantile"))).alias(f"p{round(p * 100)}")
-        for p in QUARTILES
-    ])
-    deviation = F.sqrt(F.col("_squares") / F.nullif(F.col("count") - 1, F.lit(0)))
-    return sums.join(spread, "column").join(quartiles, "column", "left").select(
-        "column", "count", nan_to_null(F.col("_mean")).alias("mean"), nan_to_null(deviation).alias("std"),
-        "min", "p25", "p50", "p75", "max",
-    )
+def _numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row for each column with a value; they are as many as the columns, so they come from the driver."""
+    values = df.select(*[number(df, n).alias(n) for n in names])
+    stats, searches = summaries(values, QUARTILES)
+    quartiles = sketched_quantiles(values, searches)
+
+    def known(x: float | None) -> float | None:
+        return None if x is None or math.isnan(x) else x
+
+    rows = [
+        (n, s["count"], known(s["mean"]), known(s["std"]), s["min"], *[quartiles[n, p] for p in QUARTILES], s["max"])
+        for n, s in stats.items()
+    ]
+    return df.sparkSession.createDataFrame(rows, _NUMERIC)
 
 
 def _text(counts: DataFrame) -> DataFrame:
-    texts = counts.where(F.col("text").isNotNull())
-    best = texts.groupBy("column").agg(
+    best = counts.groupBy("column").agg(
         F.sum("n").alias("count"), F.count("*").alias("unique"), F.max("n").alias("freq")
     )
     # One row for each described column.
     top = (
-        texts.join(F.broadcast(best.select("column", "freq")), "column")
+        counts.join(F.broadcast(best.select("column", "freq")), "column")
         .where(F.col("n") == F.col("freq"))
         .groupBy("column").agg(F.min("text").alias("top"))
     )
@@ -118,12 +110,12 @@ def _text(counts: DataFrame) -> DataFrame:
 
 def describe_numeric(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Count, mean, standard deviation, extremes and quartiles of numeric columns."""
-    return _numeric(_counts(df, names, ()))
+    return _numeric(df, names)
 
 
 def describe_text(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Count, distinct count and the most frequent value (the smallest on ties) of text columns."""
-    return _text(_counts(df, (), names))
+    return _text(_counts(df, names))
 
 
 def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
@@ -131,8 +123,7 @@ def describe_all(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame
     wanted = [n for n in (names or df.columns) if n in df.columns]
     numbers = [n for n in wanted if is_numeric(df, n)]
     texts = [n for n in wanted if n not in numbers]
-    counts = _counts(df, numbers, texts)
-    parts = ([_text(counts)] if texts else []) + ([_numeric(counts)] if numbers else [])
+    parts = ([_text(_counts(df, texts))] if texts else []) + ([_numeric(df, numbers)] if numbers else [])
     result = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1], allowMissingColumns=True)
     fields = ("column", "count", "unique", "top", "freq", "mean", "std", "min", "p25", "p50", "p75", "max")
     return result.select(*[f for f in fields if f in result.columns])
