@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from shelfsight.functions import numbers as N
 from shelfsight.functions import reviews as R
 from shelfsight.functions import text as X
+from shelfsight.operators.frequent import frequent
 from shelfsight.operators.ordering import FEW_KEYS, cap_per_group, top_rows
 from shelfsight.operators.reviews import scraped_within, with_summary
 from shelfsight.schema import (
@@ -150,6 +151,11 @@ def top_items(df: DataFrame, name: str, k: int) -> DataFrame:
     )
 
 
+def frequent_items(df: DataFrame, name: str, k: int) -> DataFrame:
+    """The rows of ``top_items``, for columns with very many different items: two scans in place of a shuffle of them all."""
+    return frequent(df.select(F.explode(list_column(df, name)).alias("item")), F.col("item"), k)
+
+
 def top_issues(df: DataFrame, k: int = 10) -> DataFrame:
     return top_items(df, "issues", k)
 

@@ -292,6 +292,12 @@ GROUP BY item ORDER BY count DESC, item LIMIT 10""")
     sql["top_themes"] = _r("""
 SELECT item, count(*) AS count FROM (SELECT unnest(theme_list) AS item FROM reviews)
 GROUP BY item ORDER BY count DESC, item LIMIT 15""")
+    sql["frequent_themes"] = _r("""
+SELECT item, count(*) AS count FROM (SELECT unnest(theme_list) AS item FROM reviews)
+GROUP BY item ORDER BY count DESC, item LIMIT 4""")
+    sql["frequent_words"] = r"""
+SELECT item, count(*) AS count FROM (SELECT unnest(regexp_split_to_array(lower(text), '[ \n]+')) AS item FROM documents)
+GROUP BY item ORDER BY count DESC, item LIMIT 20"""
     first = """(SELECT seq, unnest(issue_list) AS issue, generate_subscripts(issue_list, 1) AS pos FROM reviews)"""
     sql["first_issues"] = _r(f"""
 SELECT CAST(row_number() OVER (ORDER BY seq, pos) AS INTEGER) AS place, issue FROM {first} ORDER BY seq, pos LIMIT 10""")

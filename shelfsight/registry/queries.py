@@ -23,6 +23,7 @@ from shelfsight.operators import reviews as V
 from shelfsight.operators import rollups as C
 from shelfsight.operators.answers import AnswerStore, Quota
 from shelfsight.operators.describe import describe_all, describe_numeric
+from shelfsight.operators.frequent import frequent
 from shelfsight.operators.ordering import number_rows
 from shelfsight.plans.context import data_context, filtered
 from shelfsight.plans.run import Params, run_pipeline
@@ -259,6 +260,18 @@ def top_issues(spark, sf_dir):
     return R.top_issues(_reviews(spark, sf_dir), 10)
 
 
+@query
+def frequent_themes(spark, sf_dir):
+    return R.frequent_items(_reviews(spark, sf_dir), "themes", 4)
+
+
+@query
+def frequent_words(spark, sf_dir):
+    """The most frequent words of all documents, of which there are very many."""
+    words = F.explode(F.split(F.lower("text"), r"[ \n]+"))
+    return frequent(table(spark, sf_dir, "documents").select(words.alias("word")), F.col("word"), 20)
+
+
 @query
 def top_themes(spark, sf_dir):
     return R.top_themes(_reviews(spark, sf_dir), 15)

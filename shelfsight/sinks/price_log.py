@@ -63,5 +63,7 @@ def weekly_trend(log: DataFrame, key: str = "asin") -> DataFrame:
     )
     by_week = Window.partitionBy(key).orderBy("week")
     names = [c for c in weekly.columns if c not in (key, "week")]
-    adjacent = F.lag("week").over(by_week) == F.col("week") - F.expr("INTERVAL 7 DAYS")
-    return weekly.withColumns({f"previous_{c}": F.when(adjacent, F.lag(c).over(by_week)) for c in names})
+    paired = weekly.withColumn("_before", F.lag(F.struct("week", *names)).over(by_week))
+    adjacent = F.col("_before.week") == F.col("week") - F.expr("INTERVAL 7 DAYS")
+    before = F.when(adjacent, F.col("_before"))
+    return paired.withColumns({f"previous_{c}": before[c] for c in names}).drop("_before")

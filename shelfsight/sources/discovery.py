@@ -35,7 +35,9 @@ def discover_by_keyword(
     best = cap_per_group(found, "_keyword", limit_per_keyword, order, FEW_KEYS)
     # What is left is so many products for each keyword, so this window is small.
     turn = F.array_position(F.lit(keywords), F.col("_keyword"))
-    turns = F.array_sort(F.collect_set(turn).over(Window.partitionBy(F.coalesce("asin", F.uuid()))))
+    # A row without an asin is known by its content, which is the same if its task runs again.
+    content = F.when(F.col("asin").isNull(), F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in catalog.columns])), 256))
+    turns = F.array_sort(F.collect_set(turn).over(Window.partitionBy("asin", content)))
     also = F.transform(F.slice("_turns", 2, len(keywords)), lambda t: F.element_at(F.lit(keywords), t.cast("int")))
     return (
         best.withColumn("_turns", turns)
