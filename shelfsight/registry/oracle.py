@@ -488,6 +488,12 @@ SELECT asin, strftime(scraped_at, {_DAY}) AS scraped_at, round(best_price, 4) AS
   round(best_price - lag(best_price) OVER w, 4) AS price_change
 FROM (SELECT asin, TIMESTAMP '2024-01-10' AS scraped_at, best_price FROM products
   UNION ALL SELECT asin, TIMESTAMP '2024-01-12', best_price * 0.5 FROM products WHERE rating > 1)
+WINDOW w AS (PARTITION BY asin ORDER BY scraped_at)""")
+    sql["price_intervals"] = _p(f"""
+SELECT asin, strftime(scraped_at, {_DAY}) AS scraped_at, round(price, 4) AS best_price,
+  round(lag(price) OVER w, 4) AS previous_price, round(price - lag(price) OVER w, 4) AS price_change
+FROM (SELECT asin, TIMESTAMP '2024-01-10' + INTERVAL 1 DAY * run AS scraped_at,
+  best_price * (1 + ((p_partkey + run) // 3) % 2) AS price FROM products, range(5) AS r(run) WHERE p_partkey % 7 <> run)
 WINDOW w AS (PARTITION BY asin ORDER BY scraped_at)""")
     sql["price_latest"] = _r(f"""
 SELECT asin, strftime(scraped_at, {_DAY}) AS scraped_at, l_extendedprice AS best_price, rating

@@ -35,6 +35,7 @@ from shelfsight.sinks import price_log as L
 from shelfsight.sinks.backup import csv_backup, export
 from shelfsight.sinks.encode import encode_nested, stamp
 from shelfsight.sinks.keyed_table import KeyedTable
+from shelfsight.sinks.price_intervals import PriceIntervals
 from shelfsight.sinks.rollup import RolledTable
 from shelfsight.sources import snapshot as S
 from shelfsight.sources.discovery import discover_by_keyword, url_source
@@ -654,6 +655,19 @@ def price_history(spark, sf_dir):
     return _text_time(_rounded(changes, "best_price", "previous_price", "price_change"), "scraped_at")
 
 
+@query
+def price_intervals(spark, sf_dir):
+    """Five runs kept as intervals of unchanged prices; each run sees other products, and every third run new prices."""
+    df = _products(spark, sf_dir).select("asin", "p_partkey", "best_price")
+    history = PriceIntervals(spark, scratch_path(spark, "intervals"))
+    for run in range(5):
+        seen = df.where(F.col("p_partkey") % 7 != run)
+        factor = 1 + F.floor((F.col("p_partkey") + run) / 3) % 2
+        history.append(seen.withColumn("best_price", F.col("best_price") * factor), RUN_TS.replace(day=10 + run))
+    changes = history.changes()
+    return _text_time(_rounded(changes, "best_price", "previous_price", "price_change"), "scraped_at")
+
+
 @query
 def price_latest(spark, sf_dir):
     latest = L.latest_observations(_log(spark, sf_dir), columns=["best_price", "rating"])
