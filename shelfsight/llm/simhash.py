@@ -5,16 +5,11 @@ chain of consecutive segments begins with equal segments and keeps, at each leng
 differing bits: 0, then 1, then 2, then 3. Candidates share a chain of two segments within that budget. A chain
 that very many fingerprints share is lengthened by the next segment, up to the whole ring, where a candidate is
 the fingerprint itself. So no bucket is ever paired off, and no link is lost.
-
-``near_dedup`` does not use fingerprints: it links texts by the exact Jaccard similarity of their distinct shingles,
-with candidates from prefixes of the sets in one order of all shingles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from fractions import Fraction
-from hashlib import blake2b
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -30,14 +25,6 @@ RADIUS, SEGMENTS, WIDTH = 3, 4, 16
 #: Fingerprints of one chain that are compared directly; a longer list has its chain lengthened instead.
 CHAIN_LIMIT = 32
 _CHUNK = 1 << 18
-#: Members of a bucket of texts that are compared with all others in the first round; in each further round as many times more.
-REPRESENTATIVES = 8
-#: Documents whose shingles are counted to put common shingles last; the order decides the work, not the result.
-SAMPLED, COMMON, COMMON_ROWS = 16_000, 4, 1 << 18
-#: Words of 64 bits that hold the parities of a set.
-PARITY = 16
-#: Words of a shingle and similarity of near copies.
-SHINGLE, SIMILARITY = 5, 0.8
 
 
 def shingle_hashes(words: list[bytes], size: int) -> Iterator[np.ndarray]:
@@ -69,80 +56,6 @@ def fingerprint(text: bytes, size: int) -> int:
     return int(np.packbits(2 * counts > total, bitorder="little").view("<i8")[0])
 
 
-def shingle_set(text: bytes, size: int) -> np.ndarray:
-    """The distinct shingle hashes of a text in lower case, sorted."""
-    parts = list(shingle_hashes(text.lower().split(), size))
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, dtype=np.uint64)
-
-
-def _parities(hashes: np.ndarray) -> list[int]:
-    """Whether each of ``64 * PARITY`` buckets holds an odd number of hashes; no two sets differ in more bits than members."""
-    odd = np.bincount((hashes >> np.uint64(20)).astype(np.int64) % (64 * PARITY), minlength=64 * PARITY) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8").tolist()
-
-
-_SKETCH = pa.struct([
-    ("fp", pa.binary()), ("n", pa.int64()), ("parity", pa.list_(pa.int64())), ("prefix", pa.list_(pa.int64())),
-])
-
-
-def _sketches(size: int, similarity: Fraction, common: np.ndarray, counts: np.ndarray):
-    """An Arrow function from texts to the digest, size, parities and prefix of their shingle sets.
-
-    Sets as similar as asked share a shingle of their prefixes, whatever the order: the prefix leaves out fewer
-    shingles than they must share. Common shingles, sorted in ``common``, come last by their ``counts``.
-    """
-
-    @F.arrow_udf("struct<fp: binary, n: bigint, parity: array<bigint>, prefix: array<bigint>>")
-    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            rows = []
-            for text in text_values(texts):
-                hashes = shingle_set(text, size)
-                n = len(hashes)
-                order = np.zeros(n, dtype=np.int64)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-                    order = np.where(common[at] == hashes, counts[at], 0)
-                most = n - -(-similarity.numerator * n // similarity.denominator) + 1 if n else 0
-                prefix = hashes[np.lexsort((hashes, order))[:most]]
-                rows.append({
-                    "fp": blake2b(hashes.tobytes(), digest_size=16).digest(), "n": n,
-                    "parity": _parities(hashes), "prefix": prefix.view(np.int64),
-                })
-            yield pa.array(rows, _SKETCH)
-
-    return compute
-
-
-def _shingle_sets(size: int):
-    """An Arrow function from texts to the bytes of their sorted shingle hashes."""
-
-    @F.arrow_udf("binary")
-    def compute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            yield pa.array([shingle_set(t, size).tobytes() for t in text_values(texts)], pa.binary())
-
-    return compute
-
-
-def _is_similar(similarity: Fraction):
-    """An Arrow function from two columns of sets to whether their Jaccard similarity is as high as asked."""
-    p, q = similarity.numerator, similarity.denominator
-
-    @F.arrow_udf("boolean")
-    def compute(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for one, two in batches:
-            found = []
-            for x, y in zip(one.to_pylist(), two.to_pylist(), strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                found.append((p + q) * shared >= p * (len(x) + len(y)))
-            yield pa.array(found, pa.bool_())
-
-    return compute
-
-
 def fingerprints(size: int):
     """An Arrow function from texts in UTF-8 to fingerprints."""
 
@@ -242,12 +155,9 @@ def components(pairs: DataFrame) -> DataFrame:
             return labels
 
 
-def near_groups(rows: DataFrame, key: str = "doc_id", link: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+def near_groups(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     """Add ``component_id, keep_row`` to stored rows that have ``_row`` and a fingerprint ``fp``.
 
-    ``link`` gives the stored pairs ``a < b`` of the stored groups' fingerprints ``fp`` that belong together; by
-    default those within three bits. The groups have ``first``, the row of smallest id.
-
     ``component_id`` is the smallest id of the rows reachable by links, ``keep_row`` the row that has it (null
     ids last, then the first row). Answers go from each fingerprint to its groups of rows in one input partition,
     and from there to the rows, so a fingerprint that very many rows share is dealt to many tasks.
@@ -256,7 +166,7 @@ def near_groups(rows: DataFrame, key: str = "doc_id", link: Callable[[DataFrame]
     dealt = rows.withColumn("_run", F.shiftright("_row", 33))
     runs = dealt.groupBy("_run", "fp").agg(best.alias("first"))
     groups = stage(runs.groupBy("fp").agg(F.min("first").alias("first")), "fingerprints")
-    found = components((link or links)(groups))
+    found = components(links(groups))
     labelled = groups.join(found, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     # Stored, so that the join below has a shuffle on both sides and a large component can be split.
     smallest = stage(labelled.groupBy("label").agg(F.min("first").alias("smallest")), "smallest")
@@ -278,108 +188,14 @@ def simhash_groups(df: DataFrame, text: str = "text", key: str = "doc_id", shing
     return near_groups(rows, key).select(key, hexadecimal, "component_id")
 
 
-def _common_shingles(rows: DataFrame, text: str, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample of documents, sorted, and how many of the sample have them."""
-    every = max(1, rows.count() // SAMPLED)
-
-    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for value in text_values(batch.column(0)):
-                yield pa.RecordBatch.from_pydict({"shingle": shingle_set(value, size).view(np.int64)})
-
-    sample = rows.where(F.pmod(F.xxhash64("_row"), F.lit(every)) == 0).select(F.col(text).cast("binary"))
-    counted = sample.mapInArrow(shingles, "shingle bigint").groupBy("shingle").agg(F.count("*").alias("n"))
-    found = counted.where(F.col("n") >= COMMON).orderBy(F.desc("n"), "shingle").limit(COMMON_ROWS).toArrow()
-    common = found.column("shingle").to_numpy().view(np.uint64)
-    order = np.argsort(common)
-    return common[order], found.column("n").to_numpy()[order]
-
-
-def _confirmed(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, size: int, similarity: Fraction) -> DataFrame:
-    """Stored pairs ``a, b`` of which the sets are similar: first by their parities, which lose none, then exactly."""
-    p, q = similarity.numerator, similarity.denominator
-
-    def side(name: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("parity").alias(f"parity_{name}"))
-
-    bits = F.zip_with("parity_a", "parity_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
-    differing = F.aggregate(bits, F.lit(0), lambda n, d: n + d)
-    may = differing * (p + q) <= (q - p) * (F.col("n_a") + F.col("n_b"))
-    close = stage(pairs.join(side("a"), "a").join(side("b"), "b").where(may).select("a", "b"), "close-pairs")
-    named = close.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    sets = stage(texts.join(named, "node", "left_semi").select("node", _shingle_sets(size)("body").alias("members")), "shingle-sets")
-    both = close.join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b")
-    return stage(both.where(_is_similar(similarity)("x", "y")).select("a", "b"), "confirmed-links")
-
-
-def similar_links(nodes: DataFrame, texts: DataFrame, size: int, similarity: Fraction) -> DataFrame:
-    """Stored pairs ``a < b`` that connect all of the ``nodes`` that similar pairs connect.
-
-    A bucket is a shingle, its members the nodes that have it in their prefix; every similar pair meets in the bucket
-    of its first common shingle. Pairs that are connected already need no comparison. So some representatives of
-    each bucket are compared with all its members first, then eight times as many, and in its last round all members
-    outside the largest connected part of the bucket are, with every member they are not connected to.
-    """
-    p, q = similarity.numerator, similarity.denominator
-    posted = nodes.select("node", "n", F.posexplode("prefix").alias("at", "shingle"))
-    posted = posted.select("shingle", "node", "n", (F.col("n") - F.col("at")).alias("rest"))
-    shared = posted.groupBy("shingle").agg(F.count("*").alias("members")).where("members > 1")
-    members = stage(posted.join(shared, "shingle"), "shared-shingles").withColumn("label", F.col("node"))
-    found = compared = None
-    asked = REPRESENTATIVES
-    while True:
-        parts = members.groupBy("shingle", "label").agg(F.count("*").alias("n"))
-        main = parts.groupBy("shingle").agg(F.count("*").alias("parts"), F.max(F.struct("n", "label")).alias("main"))
-        open_ = main.where("parts > 1").select("shingle", F.col("main.label").alias("main"))
-        met = stage(members.join(open_, "shingle"), "open-shingles")
-        if met.isEmpty():
-            break
-        # A node's place is the same in all its buckets, so a group of copies has few representatives over all of them.
-        place = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) * F.col("members")
-        chosen = met.where((F.col("label") != F.col("main")) & (place < asked * (1 << 30)))
-        chosen = chosen.select("shingle", F.col("node").alias("other"), F.col("n").alias("m"), F.col("rest").alias("left"), F.col("label").alias("part"))
-        may = (p + q) * F.least("rest", "left") >= p * (F.col("n") + F.col("m"))
-        pairs = met.join(chosen, "shingle").where((F.col("label") != F.col("part")) & may)
-        pairs = pairs.select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
-        if compared is not None:
-            pairs = pairs.join(compared, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "candidate-pairs")
-        compared = pairs if compared is None else compared.unionByName(pairs)
-        more = _confirmed(pairs, nodes, texts, size, similarity)
-        found = more if found is None else found.unionByName(more)
-        left = met.where(F.col("members") > asked).drop("main", "label")
-        if left.isEmpty():
-            break
-        labels = components(found).withColumnRenamed("fp", "node")
-        members = stage(left.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "shared-shingles")
-        asked *= REPRESENTATIVES
-    return found if found is not None else nodes.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0)
-
-
-def near_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of ``df`` that stay: of each group of near copies, the one of smallest id.
+def near_dedup(df: DataFrame, text: str = "text", key: str = "doc_id", shingle: int = 3) -> DataFrame:
+    """The rows of ``df`` that stay: of each component of ``simhash_groups``, the row of smallest id.
 
-    Near copies have a Jaccard similarity of ``similarity`` or more over their distinct shingles of ``shingle`` words,
-    each hashed to 64 bits; groups are what links reach. Texts of fewer words than a shingle are one shingle. Null
-    and empty texts are copies of each other. Null ids come last, of rows that share an id the first stored one
-    stays. An empty table gives no rows.
+    Null ids come last; of rows that share an id the first stored one stays. Null and empty texts form one component
+    with all others of fingerprint 0. An empty table gives no rows. All columns pass through, but for names that
+    begin with an underscore.
     """
-    least = Fraction(similarity).limit_denominator(1000)
     rows = stage_rows(df, "near-rows")
-    sketch = _sketches(shingle, least, *_common_shingles(rows, text, shingle))
-    sketched = rows.select("_row", key, sketch(F.col(text).cast("binary")).alias("_sketch"))
-    sketched = stage(sketched.select("_row", key, "_sketch.*"), "near-sketches")
-
-    def link(groups: DataFrame) -> DataFrame:
-        first = groups.select("fp", F.col("first.row").alias("node"))
-        # The rows left out are few where texts are exact, so that the prefixes need not be written or dealt again.
-        ids = sketched.select(F.col("_row").alias("node"))
-        others = stage(ids.join(first.select("node"), "node", "left_anti"), "further-copies")
-        nodes = sketched.withColumnRenamed("_row", "node").join(others, "node", "left_anti").select("node", "n", "parity", "prefix")
-        texts = rows.select(F.col("_row").alias("node"), F.col(text).cast("binary").alias("body"))
-        pairs = similar_links(nodes, texts, shingle, least)
-        named = pairs.join(first.toDF("x", "a"), "a").join(first.toDF("y", "b"), "b")
-        return stage(named.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")), "near-links")
-
-    kept = near_groups(sketched.select("_row", key, "fp"), key, link).where(F.col("keep_row") == F.col("_row")).select("_row")
+    prints = stage(rows.select("_row", key, fingerprints(shingle)(F.col(text).cast("binary")).alias("fp")), "near-prints")
+    kept = near_groups(prints, key).where(F.col("keep_row") == F.col("_row")).select("_row")
     return rows.join(kept, "_row", "left_semi").select(*df.columns)

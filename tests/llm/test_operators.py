@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from shelfsight.llm import language_id, queries, quality, simhash, substring_dedup, token_counts
@@ -236,85 +237,56 @@ def test_simhash_hostile(spark):
     assert kept == [1, 3, 6, 8, 9, 10] and simhash.near_dedup(empty(spark)).count() == 0
 
 
-def test_near_copies(spark):
-    r = random.Random(5)
-    words = [f"w{i}" for i in range(3000)]
-    docs, copies = [], {}
-    for i in range(60):
-        text = [r.choice(words) for _ in range(400)]
-        docs.append((2 * i, " ".join(text)))
-        for _ in range(2):
-            text[r.randrange(400)] = "changed"
-        docs.append((2 * i + 1, " ".join(text)))
-        copies[2 * i + 1] = 2 * i
-    kept = {x["doc_id"] for x in simhash.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
-    assert set(copies.values()) <= kept and len(kept & set(copies)) <= 2
-
-
-def _near_kept(docs):
-    """Ids that stay by brute force over the exact Jaccard similarity of distinct five-word shingles."""
-    sets = {}
-    for i, text in docs:
-        words = text.lower().split()
-        sets[i] = {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))}
-    label = {i: i for i in sets}
+def _plain_fingerprint(text):
+    words = (text or "").lower().split()
+    shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    hashes = [xxhash.xxh64_intdigest(x.encode(), 42) for x in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def _plain_components(docs):
+    """The smallest id reachable from each document, over all pairs of fingerprints within three bits."""
+    prints = {i: _plain_fingerprint(text) for i, text in docs}
+    label = {i: i for i in prints}
 
     def root(i):
         while label[i] != i:
             i = label[i]
         return i
 
-    ids = sorted(sets)
+    ids = sorted(prints)
     for k, a in enumerate(ids):
         for b in ids[k + 1:]:
-            shared = len(sets[a] & sets[b])
-            if 5 * shared >= 4 * (len(sets[a]) + len(sets[b]) - shared):
+            if (prints[a] ^ prints[b]).bit_count() <= 3:
                 x, y = sorted((root(a), root(b)))
                 label[y] = x
-    return [i for i in ids if label[i] == i]
-
-
-def _near_ids(spark, docs):
-    return sorted(x["doc_id"] for x in simhash.near_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect())
-
-
-def test_near_dedup_counts_a_repeated_line_once(spark):
-    r = random.Random(1)
-    line = " ".join(f"line{i}" for i in range(9))
-    docs = [(i, " ".join([f"own{i}x{k}" for k in range(100)] + [line] * (20 + i))) for i in range(12)]
-    for i in range(12, 16):
-        shared = [f"pair{i // 2}x{k}" for k in range(300)]
-        docs.append((i, " ".join(shared + [f"tail{i} of its own line here"] * r.randrange(20, 40))))
-    expected = _near_kept(docs)
-    assert len(expected) == 14 and _near_ids(spark, docs) == expected
-
-
-def _changed(words, count, name, r):
-    """``words`` with ``count`` of them replaced, far from each other."""
-    out = list(words)
-    for k in r.sample(range(0, len(words), 6), count):
-        out[k] = f"{name}new{k}"
-    return out
+    return {i: root(i) for i in ids}
 
 
-def test_near_dedup_finds_all_pairs_at_the_threshold(spark):
-    r = random.Random(2)
+def _near_documents():
+    """Groups of long texts with one or a few words changed, copies, chains of changes, and texts on their own."""
+    r = random.Random(5)
+    words = [f"w{i}" for i in range(3000)]
     docs = []
-    for i in range(60):
-        words = [f"t{i}x{k}" for k in range(400)]
-        docs += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(_changed(words, 2 + i // 5 if i < 40 else 7 + i % 5, f"c{i}", r)))]
-    expected = _near_kept(docs)
-    assert 60 < len(expected) < 120 and _near_ids(spark, docs) == expected
-
-
-def test_near_dedup_of_a_large_group(spark):
-    r = random.Random(3)
-    base = [f"b{k}" for k in range(200)]
-    variants = [_changed(base, 3, f"v{i}", r) for i in range(200)]
-    docs = [(i, " ".join(v)) for i, v in enumerate(variants)]
-    docs += [(200 + i, " ".join(_changed(variants[i], 3 + i // 4, f"o{i}", r))) for i in range(16)]
-    expected = _near_kept(docs)
-    assert 1 < len(expected) < 17 and _near_ids(spark, docs) == expected
+    for i in range(25):
+        text = [r.choice(words) for _ in range(r.choice((60, 400, 1500)))]
+        for _ in range(r.choice((1, 2, 6, 12))):
+            docs.append((len(docs), " ".join(text)))
+            for _ in range(r.randrange(3)):
+                text[r.randrange(len(text))] = r.choice(words)
+    return docs + [(len(docs) + k, t) for k, t in enumerate((None, "", " \n", "one", "two words"))]
+
+
+def test_components_of_documents_equal_brute_force(spark, monkeypatch):
+    docs = _near_documents()
+    wanted = _plain_components(docs)
+    assert 25 < len(set(wanted.values())) < len(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    for limit in (2, simhash.CHAIN_LIMIT):
+        monkeypatch.setattr(simhash, "CHAIN_LIMIT", limit)
+        assert {x["doc_id"]: x["component_id"] for x in simhash.simhash_groups(df).collect()} == wanted
+        kept = sorted(x["doc_id"] for x in simhash.near_dedup(df).collect())
+        assert kept == sorted(set(wanted.values()))
 
 
 # Quality
