@@ -541,6 +541,19 @@ SELECT strftime(day - INTERVAL 1 DAY * back, {_DAY}) AS window_start, user_id,
   round(count(*) FILTER (WHERE event_type = 'error') / count(*), 4) AS negative_rate
 FROM (SELECT user_id, event_type, date_trunc('day', ts::TIMESTAMP)::TIMESTAMP AS day, unnest(range(7)) AS back FROM events)
 GROUP BY day - INTERVAL 1 DAY * back, user_id"""
+    # A day is judged when the newest event is more than a day behind its end.
+    sql["negative_crossings"] = """
+WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, count(*) FILTER (WHERE event_type = 'error') AS bad
+  FROM events GROUP BY user_id, CAST(ts AS DATE)),
+ended AS (SELECT CAST(max(ts) - INTERVAL 1 DAY AS DATE) - 1 AS last FROM events),
+judged AS (SELECT user_id, CAST(unnest(generate_series(CAST(min(day) AS TIMESTAMP), CAST(any_value(last) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day
+  FROM daily, ended GROUP BY user_id),
+rates AS (SELECT j.user_id, j.day, coalesce(sum(n), 0) AS reviews, coalesce(sum(bad), 0) AS negative
+  FROM judged j LEFT JOIN daily d ON d.user_id = j.user_id AND d.day <= j.day AND d.day > j.day - 7 GROUP BY j.user_id, j.day),
+flags AS (SELECT *, lag(reviews > 0 AND negative > 0.25 * reviews, 1, false) OVER (PARTITION BY user_id ORDER BY day) AS before FROM rates)
+SELECT user_id, CAST(day AS VARCHAR) AS day, round(negative / reviews, 4) AS negative_rate, CAST(reviews AS BIGINT) AS reviews,
+  CAST(negative AS BIGINT) AS negative
+FROM flags WHERE reviews > 0 AND negative > 0.25 * reviews AND NOT before"""
     sql["csv_newest"] = _pr("""
 SELECT asin, round(best_price, 4) AS best_price, negative FROM products LEFT JOIN (
   SELECT asin, count(*) AS negative FROM reviews WHERE sentiment = 'Negative' GROUP BY asin) USING (asin)""")

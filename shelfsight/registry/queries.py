@@ -42,6 +42,7 @@ from shelfsight.sources.discovery import discover_by_keyword, url_source
 from shelfsight.sources.tables import load_best_source, newest_first, scan_csv_latest, scan_table
 from shelfsight.staging import scratch_path
 from shelfsight.streaming.alerts import current_windows, negative_windows, write_updates
+from shelfsight.streaming.crossings import negative_crossings, write_alerts
 from shelfsight.streaming.ingest import incremental_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -818,6 +819,21 @@ def negative_rate_sliding(spark, sf_dir):
     return _text_time(_rounded(current, "negative_rate"), "window_start")
 
 
+@query(name="negative_crossings")
+def negative_crossings_query(spark, sf_dir):
+    """Days on which a user's share of errors in the last seven days of events rises above a quarter."""
+    schema = table(spark, sf_dir, "events").schema
+    stream = (
+        spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+        .withColumn("ts", F.col("ts").cast("timestamp"))
+    )
+    folder = scratch_path(spark, "crossings")
+    alerts = negative_crossings(stream, "user_id", "ts", F.col("event_type") == "error", "event_id", threshold=0.25)
+    write_alerts(alerts, f"{folder}/alerts", f"{folder}/checkpoint").awaitTermination()
+    found = spark.read.schema(alerts.schema).parquet(f"{folder}/alerts").drop("batch_id")
+    return _rounded(found, "negative_rate").withColumn("day", F.col("day").cast("string"))
+
+
 @query(name="incremental_ingest")
 def incremental_ingest_query(spark, sf_dir):
     """Products arrive as files and are upserted by a stream; running it again finds nothing new."""
