@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,13 +36,22 @@ _PLACEHOLDER = re.compile(
     r"^(?:none|null|nil|true|false|undefined|changeme|example|placeholder|redacted|xxx+|\*+|<.*>|\$\{.*\}|\$\w+|%\w+%|your[_-].*)$",
     re.IGNORECASE,
 )
-_TOKEN = re.compile(
-    r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')"""
-    r"""|(?P<op>:=|=>|==|!=|<=|>=|[:=+])"""
-    r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)"""
-    r"""|(?P<end>[\n;,{}()\[\]])"""
-    r"""|(?P<bare>[^\s;,{}()\[\]"'=+]+)"""
-)
+_QUOTED = {'"': r""""(?:[^"\\\n]|\\.)*"?""", "'": r"""'(?:[^'\\\n]|\\.)*'?"""}
+
+
+def _token(quotes: str) -> re.Pattern:
+    """What the lexer looks for next, where only ``quotes`` can open a string."""
+    strings = "|".join(_QUOTED[q] for q in quotes) or "(?!)"
+    return re.compile(
+        f"(?P<string>{strings})"
+        r"""|(?P<op>:=|=>|==|!=|<=|>=|[:=+])"""
+        r"""|(?P<name>[A-Za-z_$][A-Za-z0-9_$.-]*)"""
+        r"""|(?P<end>[\n;,{}()\[\]])"""
+        r"""|(?P<bare>[^\s;,{}()\[\]"'=+]+)"""
+    )
+
+
+_TOKENS = {q: _token(q) for q in ("\"'", '"', "'", "")}
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 _SETS = {"=", ":", ":=", "=>"}
 _THRESHOLD = 4
@@ -70,41 +81,86 @@ def strength(literal: str) -> int:
 
 
 def _lex(text: str) -> Iterator[tuple[str, str, int, int]]:
-    for m in _TOKEN.finditer(text):
-        yield m.lastgroup, m.group(), m.start(), m.end()
+    """Tokens of a text. A quote that nothing closes on its line is passed over, like what is no token.
 
+    After such a quote no other of its kind closes before the end of the line either: those that might are escaped, and
+    read from any of them, what follows is escaped alike. So each line is searched for a closing quote once, and its
+    end, a token, comes before any string of a later line.
+    """
+    at, dead = 0, {'"': 0, "'": 0}
+    while m := _TOKENS["".join(q for q in ("\"", "'") if dead[q] <= at)].search(text, at):
+        piece, at = m.group(), m.end()
+        if m.lastgroup == "string" and not _closed(piece):
+            dead[piece[0]], at = m.end(), m.start() + 1
+        else:
+            yield m.lastgroup, piece, m.start(), m.end()
+
+
+def _closed(string: str) -> bool:
+    """Whether what begins with a quote ends with it, and the last one is not escaped."""
+    inner = string[1:-1]
+    return len(string) > 1 and string[-1] == string[0] and (len(inner) - len(inner.rstrip("\\"))) % 2 == 0
+
+
+class _Value:
+    """Literals and other values that a name was set to; values that were taken over are shared, not copied."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[str, int, int] | _Value] = []
+
+    def literals(self, seen: dict[_Value, int]) -> Iterator[tuple[str, int, int]]:
+        """The literals in it, passing over what was ``seen`` before: so many parts of each value, as some still grow."""
+        waiting: list = [self]
+        while waiting:
+            part = waiting.pop()
+            if isinstance(part, tuple):
+                yield part
+            else:
+                known, seen[part] = seen.get(part, 0), len(part.parts)
+                waiting.extend(reversed(part.parts[known:]))
 
-def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
-    """Name, literal and the literal's place for each assignment, constants followed to where they came from.
 
-    ``name = "a"``, ``"name": "a"``, ``name: a`` and ``name = other`` are assignments; ``"a" + "b"`` gives both
-    parts. Of several names before an assignment sign the last one counts, so types and modifiers are passed over.
-    """
-    constants: dict[str, list[tuple[str, int, int]]] = {}
-    name, target, open_value = "", "", False
+def _assignments(text: str) -> Iterator[tuple[str, tuple[str, int, int] | _Value]]:
+    """Name and value of each assignment, a piece at a time; a value is a literal with its place, or that of another name."""
+    constants: dict[str, _Value] = {}
+    name, target, open_value, fresh = "", "", False, False
     for kind, piece, start, end in _lex(text):
         if kind == "end":
             name, target, open_value = "", "", False
         elif kind == "op":
             if piece in _SETS:
-                target, open_value = (name, True) if name else ("", False)
+                target, open_value, fresh = (name, True, True) if name else ("", False, False)
             elif piece == "+" and target:
                 open_value = True
             else:
                 target, open_value = "", False
         elif open_value:
             inner = (piece[1:-1], start + 1, end - 1) if kind == "string" else (piece, start, end)
-            values = constants.get(piece, [inner]) if kind == "name" else [inner]
-            known = constants.setdefault(target, [])
-            if kind == "string" or kind == "bare" or piece in constants or text[start - 1:start] != ".":
-                known[:] = [*known, *values][-16:]
-                for literal, a, b in values:
-                    yield target, literal, a, b
+            value = constants.get(piece, inner) if kind == "name" else inner
+            if kind != "name" or piece in constants or text[start - 1:start] != ".":
+                # The value of a name is that of its latest assignment, which may have its former value in it.
+                if fresh:
+                    constants[target], fresh = _Value(), False
+                constants[target].parts.append(value)
+                yield target, value
             name, open_value = (piece if kind == "name" else ""), False
         elif kind in ("name", "string"):
             name = piece[1:-1] if kind == "string" else piece
 
 
+def pairs(text: str) -> Iterator[tuple[str, str, int, int]]:
+    """Name, literal and the literal's place for each assignment, constants followed to where they came from.
+
+    ``name = "a"``, ``"name": "a"``, ``name: a`` and ``name = other`` are assignments; ``"a" + "b"`` gives both
+    parts. Of several names before an assignment sign the last one counts, so types and modifiers are passed over. A name
+    has all literals of its latest assignment.
+    """
+    for name, value in _assignments(text):
+        listed = [value] if isinstance(value, tuple) else value.literals({})
+        for literal, start, end in listed:
+            yield name, literal, start, end
+
+
 def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int, int, str]]]:
     """Base spans and all spans as ``(start, end, kind)``, by start and then by kind as listed."""
     if not text:
@@ -119,21 +175,30 @@ def scan(text: str | None) -> tuple[list[tuple[int, int, str]], list[tuple[int,
     base.sort(key=lambda s: (s[0], order[s[2]]))
     found = list(base)
     if ("=" in text or ":" in text) and _NAME_HINT.search(text):
-        seen: set[tuple[int, int]] = set()
-        for name, literal, start, end in pairs(text):
-            if (start, end) in seen:
-                continue
+        spans: set[tuple[int, int]] = set()
+        # A shared value is looked into once for each weight, so the work follows the length of the text.
+        looked: dict[int, dict[_Value, int]] = {}
+        for name, value in _assignments(text):
             weight = sensitivity(name)
-            if weight and weight + strength(literal) >= _THRESHOLD:
-                seen.add((start, end))
-        covered = [(a, b) for a, b, _ in base]
-        found += [(a, b, "pair") for a, b in seen if not _inside(a, b, covered)]
+            if weight:
+                listed = [value] if isinstance(value, tuple) else value.literals(looked.setdefault(weight, {}))
+                spans.update((a, b) for literal, a, b in listed if weight + strength(literal) >= _THRESHOLD)
+        inside = _Cover([(a, b) for a, b, _ in base])
+        found += [(a, b, "pair") for a, b in spans if not inside.holds(a, b)]
         found.sort(key=lambda s: (s[0], order[s[2]], s[1]))
     return base, found
 
 
-def _inside(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
-    return any(a <= start and end <= b for a, b in spans)
+class _Cover:
+    """Finds out whether one of some spans, sorted by their start, holds another."""
+
+    def __init__(self, spans: list[tuple[int, int]]) -> None:
+        self.starts = [a for a, _ in spans]
+        self.ends = list(accumulate((b for _, b in spans), max))
+
+    def holds(self, start: int, end: int) -> bool:
+        before = bisect_right(self.starts, start)
+        return before > 0 and self.ends[before - 1] >= end
 
 
 def _listed(spans: list[tuple[int, int, str]]) -> str:

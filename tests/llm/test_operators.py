@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -388,6 +389,36 @@ def test_pairs_follow_constants():
     assert scan('private_key = "${HOME_KEY}"')[1] == []
 
 
+def test_all_literals_of_the_latest_assignment():
+    many = " + ".join(f'"part{i}Xy9{i}"' for i in range(40))
+    text = f"db = {many}\npassword_db = db\n"
+    found = scan(text)[1]
+    assert len([s for s in found if s[2] == "pair"]) == 40
+    again = [p[:2] for p in pairs('a = "one"\na = "two" + "three"\nb = a\nb = b + "four"\nc = b')]
+    assert again == [
+        ("a", "one"), ("a", "two"), ("a", "three"), ("b", "two"), ("b", "three"), ("b", "two"), ("b", "three"), ("b", "four"),
+        ("c", "two"), ("c", "three"), ("c", "four"),
+    ]
+
+
+def test_a_name_that_doubles_and_long_chains_are_fast():
+    doubled = 'a = "Abc123def456"\n' + "a = a + a\n" * 3000 + "secret = a\n"
+    chained = 'b0 = "Abc123def456"\n' + "".join(f'b{i} = b{i - 1} + "x{i}Yz4567"\n' for i in range(1, 3000)) + "token = b2999\n"
+    start = time.perf_counter()
+    assert [s[2] for s in scan(doubled)[1]] == ["pair"]
+    assert sum(s[2] == "pair" for s in scan(chained)[1]) == 3000
+    assert time.perf_counter() - start < 5
+
+
+@pytest.mark.parametrize("quote", ['\\"', "\\'", '"', "'", "'\\\""])
+def test_a_line_of_quotes_is_fast(quote):
+    start = time.perf_counter()
+    scan("password=" + quote * 300_000 + '\nsecret = "Abc123def456"')
+    assert time.perf_counter() - start < 5
+    text = "it's a token = 'Abc123def456' don't\nsecret = \"Qrs123tuv456\""
+    assert [p[1] for p in pairs(text)][-1] == "Qrs123tuv456"
+
+
 def test_secrets_hostile(spark):
     rows = scan_secrets(hostile(spark)).collect()
     assert len(rows) == 13 and by_id(rows)[3]["base_spans"] == "" and scan_secrets(empty(spark)).count() == 0
