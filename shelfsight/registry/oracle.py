@@ -438,6 +438,14 @@ SELECT doc_id, md5(text) AS digest, lang, source, n_chars, '["' || lang || '","'
 FROM documents"""
     sql["best_source"] = _r(
         "SELECT sentiment, count(*) AS count, 'Tables' AS source_label FROM reviews GROUP BY sentiment")
+    sql["products_over_runs"] = _r("""
+, seen AS (SELECT *, CASE WHEN l_linenumber <= 2 THEN 'early' WHEN l_linenumber <= 4 THEN 'middle' ELSE 'late' END AS run
+  FROM reviews WHERE l_linenumber <= 4 OR rating >= 2)
+SELECT sentiment AS which, count(DISTINCT asin) AS products FROM seen GROUP BY sentiment
+UNION ALL SELECT 'all', count(DISTINCT asin) FROM seen
+UNION ALL SELECT 'early or late', count(DISTINCT asin) FROM seen WHERE run <> 'middle'
+UNION ALL SELECT 'early and late', count(*) FROM (SELECT asin FROM seen WHERE run <> 'middle' GROUP BY asin HAVING count(DISTINCT run) = 2)""")
+
     def one(report: str, rows: str, **numbers: str) -> str:
         return " UNION ALL ".join(
             f"SELECT '{report}' AS report, '{n}' AS item, round(CAST({x} AS DOUBLE), 4) AS value FROM {rows}"

@@ -34,6 +34,7 @@ from shelfsight.schema import PRODUCT_CONTEXT, RAW_PRODUCT, order_columns
 from shelfsight.sinks import price_log as L
 from shelfsight.sinks.backup import csv_backup, export
 from shelfsight.sinks.encode import encode_nested, stamp
+from shelfsight.sinks.key_bitmaps import KeyBitmaps
 from shelfsight.sinks.keyed_table import KeyedTable
 from shelfsight.sinks.price_intervals import PriceIntervals
 from shelfsight.sinks.rollup import RolledTable
@@ -895,6 +896,19 @@ def _together(reports: list[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, reports)
 
 
+@query
+def products_over_runs(spark, sf_dir):
+    """Different products of three runs, together, by sentiment and in common, from bitmaps alone."""
+    df = _reviews(spark, sf_dir)
+    store = KeyBitmaps(spark, scratch_path(spark, "bitmaps"))
+    runs = {"early": "l_linenumber <= 2", "middle": "l_linenumber BETWEEN 3 AND 4", "late": "l_linenumber >= 5 AND rating >= 2"}
+    for run, rows in runs.items():
+        store.add(df.where(rows), run, F.col("sentiment"))
+    counts = {"all": store.count(), "early or late": store.count(["early", "late"]), "early and late": store.both("early", "late")}
+    listed = [c.select(F.lit(name).alias("which"), "products") for name, c in counts.items()]
+    return functools.reduce(DataFrame.unionByName, listed, store.count_by_group().withColumnRenamed("group", "which"))
+
+
 @query
 def rollup_products(spark, sf_dir):
     """Product reports from partial sums, after an upsert of all products with a price and one of cheaper widgets."""
