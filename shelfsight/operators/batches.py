@@ -6,8 +6,9 @@ row-wise expression and no group can grow with the data.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +47,55 @@ def assemble_batches(batched: DataFrame) -> DataFrame:
     )
 
 
+def _consecutive(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Gathers rows ``batch_id, pos, item`` that stand in batch order: whole batches, and what a task has of others."""
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, items = None, []
+
+        def taken(done: list[tuple[int, list[dict]]]) -> pa.RecordBatch:
+            kind = pa.list_(pa.struct([("pos", pa.int32()), ("item", pa.string())]))
+            return pa.RecordBatch.from_arrays(
+                [pa.array([b for b, _ in done], pa.int64()), pa.array([x for _, x in done], kind)], ["batch_id", "items"]
+            )
+
+        for batch in batches:
+            done = []
+            for number, pos, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if number != at or len(items) == size:
+                    if items:
+                        done.append((at, items))
+                    at, items = number, []
+                items.append({"pos": pos, "item": item})
+            yield taken(done)
+        if items:
+            yield taken([(at, items)])
+    return gather
+
+
+def prompt_batches(df: DataFrame, order: Sequence[str | Column], size: int = 10) -> DataFrame:
+    """The rows of ``assemble_batches(assign_batches(df, order, size))``, without moving whole texts.
+
+    Texts are cut to what a prompt shows before the one shuffle that puts the reviews in order. The stored rows then
+    stand batch by batch, so a task cuts them into batches as it reads; only the batches over the border between two
+    tasks, at most one each, are put together afterwards. ``order`` must not depend on the text.
+    """
+    text = resolve(df, REVIEW_TEXT)
+    rating = N.number(df, "rating") if "rating" in df.columns else F.lit(None).cast("double")
+    shown = df.withColumn("_shown", X.truncate_text(F.col(text))).drop(text).withColumn("_rating", rating)
+    batched = assign_batches(shown, order, size)
+    rows = batched.select("batch_id", "pos", X.render_item(F.col("pos") + 1, F.col("_rating"), F.col("_shown")).alias("item"))
+    gathered = rows.mapInArrow(_consecutive(size), "batch_id bigint, items array<struct<pos: int, item: string>>")
+    gathered = stage(gathered, "prompt-batches")
+    whole = gathered.where(F.size("items") == size)
+    parts = gathered.where(F.size("items") < size).groupBy("batch_id").agg(
+        F.array_sort(F.flatten(F.collect_list("items"))).alias("items")
+    )
+    return whole.unionByName(parts).select(
+        "batch_id", F.size("items").alias("n_reviews"),
+        F.array_join(F.transform("items", lambda x: x["item"]), "").alias("reviews_text"),
+    )
+
+
 def _targets(answers: Column, size: Column) -> Column:
     """Answers with the position each one is for.
 

@@ -401,6 +401,7 @@ SELECT batch_id, CAST(count(*) AS INTEGER) AS n_reviews, CAST(length(string_agg(
 FROM (SELECT batch_id, pos, chr(10) || '[Review ' || CAST(pos + 1 AS VARCHAR) || '] (Rating: ' ||
     coalesce(printf('%.1f', CAST(rating AS DOUBLE)), 'N/A') || '/5)' || chr(10) || left(text, 500) || chr(10) AS item
   FROM batched) GROUP BY batch_id""")
+    sql["prompt_batches"] = sql["assemble_batches"]
     sql["match_responses"] = _with(_MATCHES, "SELECT * FROM matched")
     sql["method_counters"] = _with(
         _MATCHES, "SELECT analysis_method, count(*) AS count FROM matched GROUP BY analysis_method")

@@ -497,6 +497,14 @@ def assemble_batches(spark, sf_dir):
     )
 
 
+@query
+def prompt_batches(spark, sf_dir):
+    df = B.prompt_batches(text_reviews(spark, sf_dir), ["doc_id"])
+    return df.select(
+        "batch_id", "n_reviews", F.length("reviews_text").alias("n_chars"), F.md5("reviews_text").alias("digest")
+    )
+
+
 def _matched(spark: SparkSession, sf_dir: str) -> DataFrame:
     batched = _batched(spark, sf_dir)
     return B.match_responses(batched, responses(batched))

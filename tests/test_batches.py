@@ -93,6 +93,17 @@ def test_batches_are_consecutive(spark):
     assert texts[2]["reviews_text"].startswith("\n[Review 1] (Rating: 3.0/5)\ntext 2\n\n[Review 2]")
 
 
+@pytest.mark.parametrize("size", [1, 3, 10, 100])
+def test_prompts_without_moving_whole_texts(spark, size):
+    df = reviews(spark, 137).withColumn("body", F.concat("body", F.repeat(F.lit("é"), 600))).repartition(7)
+    order = [F.desc("id")]
+    whole = B.assemble_batches(B.assign_batches(df, order, size))
+    rows = [sorted(map(tuple, x.collect())) for x in (whole, B.prompt_batches(df, order, size))]
+    assert rows[0] == rows[1] and len(rows[0]) == -(-137 // size)
+    assert B.prompt_batches(df.limit(0), order, size).count() == 0
+    assert B.prompt_batches(df.drop("rating"), order, size).count() == len(rows[0])
+
+
 def test_scorer_and_fallback(spark):
     def failing(items):
         if any(i["text"] == "text 5" for i in items):
