@@ -29,9 +29,9 @@ from shelfsight.staging import stage
 
 WINDOW, PHRASE = 20, 6
 _CHOICE = WINDOW - PHRASE + 1
-#: A place is the rank of the document and, in the lower bits, the number of its word.
-_WORD_BITS = 25
-_RANKS = 1 << 38
+#: A place is the rank of the document and, in the lower bits, the number of its word: no text that Spark holds has more.
+_WORD_BITS = 30
+_RANKS = 1 << 33
 #: Stands for the whole document in the place of a word number.
 _WHOLE = (1 << _WORD_BITS) - 1
 _PIECE = 1 << 16
@@ -42,7 +42,8 @@ def _odd_numbers(seed: int, count: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_BYTES = _odd_numbers(1, 256)
+#: Words whose digests a task remembers, and the longest of them.
+_CACHE, _CACHED_LENGTH = 500_000, 48
 _BASE, _MIX, _MIX2 = (int(x) for x in _odd_numbers(2, 3))
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -80,23 +81,42 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
+class _Digests(dict):
+    """A 64-bit number for each word, remembered up to a bound.
+
+    It is a cryptographic digest: sums of powers alone collide for words that are built for it, whatever the base.
+    """
+
+    def __missing__(self, word: bytes) -> int:
+        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= _CACHED_LENGTH:
+            if len(self) >= _CACHE:
+                self.clear()
+            self[word] = value
+        return value
+
+
+_WORDS = _Digests()
+
+
 class Piece:
     """Digests of a piece of a document: of each phrase, and of the phrase each window chooses."""
 
     def __init__(self, words: list[bytes]):
-        text = np.frombuffer(b" ".join(words), dtype=np.uint8)
-        sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
-        self._ends = np.cumsum(sizes + 1) - 1
-        self._starts = self._ends - sizes
-        self._sums = np.zeros(len(text) + 1, dtype=np.uint64)
-        np.cumsum(_BYTES[text] * _UP.get(len(text)), out=self._sums[1:])
-        self._down = _DOWN.get(len(text) + 1)
-        self.phrases = _mix(self._spans(PHRASE), _MIX)
+        numbers = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+        self._sums, self._others = self._added(numbers), self._added(_mix(numbers, _MIX))
+        self._down = _DOWN.get(len(words) + 1)
+        self.phrases = _mix(self._spans(self._sums, PHRASE), _MIX)
         self.chosen = _sliding(self.phrases, _CHOICE, np.minimum)
 
-    def _spans(self, width: int) -> np.ndarray:
-        first, last = self._starts[: len(self._starts) - width + 1], self._ends[width - 1:]
-        return (self._sums[last] - self._sums[first]) * self._down[first]
+    @staticmethod
+    def _added(numbers: np.ndarray) -> np.ndarray:
+        sums = np.zeros(len(numbers) + 1, dtype=np.uint64)
+        np.cumsum(numbers * _UP.get(len(numbers)), out=sums[1:])
+        return sums
+
+    def _spans(self, sums: np.ndarray, width: int) -> np.ndarray:
+        return (sums[width:] - sums[:-width]) * self._down[: len(sums) - width]
 
     def anchors(self) -> np.ndarray:
         """Places of the phrases that some window chooses."""
@@ -110,11 +130,9 @@ class Piece:
         return _sliding(alone, _CHOICE, np.minimum) != self.chosen
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
-        """96 bits for each window."""
-        spans = self._spans(WINDOW)
-        again = self._spans(PHRASE)
-        other = _mix(again[: len(spans)] + _mix(again[WINDOW - PHRASE:], _MIX2) + np.uint64(3) * self.chosen, _MIX2)
-        return _mix(spans, _MIX2).view(np.int64), (other >> np.uint64(33)).astype(np.int32)
+        """96 bits for each window, from two digests of each word."""
+        one, two = (_mix(self._spans(sums, WINDOW), _MIX2) for sums in (self._sums, self._others))
+        return one.view(np.int64), (two >> np.uint64(33)).astype(np.int32)
 
 
 def pieces(words: list[bytes]) -> Iterator[tuple[int, Piece]]:
@@ -140,8 +158,6 @@ def _index_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             words = text.split()
             if len(words) < WINDOW:
                 continue
-            if len(words) >= _WHOLE:
-                raise ValueError(f"a text has more than {_WHOLE} words")
             whole = blake2b(b" ".join(words), digest_size=12).digest()
             found = [np.array([_WHOLE])]
             digests.append(np.frombuffer(whole[:8], dtype=np.int64))
@@ -233,7 +249,7 @@ def _packed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 def _ranked(df: DataFrame, key: str) -> DataFrame:
     """Add ``_rank``, a number that orders rows by id, null last, and rows of one id by their place.
 
-    An id that is a number of up to 38 bits and never repeats is its own rank.
+    An id that is a number of up to 33 bits and never repeats is its own rank.
     """
     if isinstance(df.schema[key].dataType, (T.LongType, T.IntegerType, T.ShortType, T.ByteType)):
         rows, ids, low, high = df.agg(F.count("*"), F.count(key), F.min(key), F.max(key)).first()
@@ -257,7 +273,7 @@ def substring_dedup(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     id, or earlier in the same row. Null ids come last, and rows that share an id are ordered as they are stored.
     Windows are judged on the input. A null text has no words; texts of fewer than twenty words stay whole. An
     empty table gives no rows. Input columns called like a result column are replaced, names that begin with an
-    underscore are reserved. Texts have up to 2**25 - 2 words; a longer one raises an error.
+    underscore are reserved. No text that Spark can hold has too many words; it must fit a task's memory as a list of words.
     """
     ranked = _ranked(df, key)
     body = F.col(text).cast("binary")
