@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfsight.llm.common import text_values
+from shelfsight.llm.common import stage_rows, text_values
 from shelfsight.operators.ordering import number_rows
 from shelfsight.staging import stage
 
@@ -30,7 +30,8 @@ LABELLED = 20_000
 PRIOR = 10.0
 #: Log ratios nearer to 0 than this are taken for chance.
 NOISE = 0.5
-#: What log weights are multiplied by before the Gumbel numbers, of deviation 1.3, are added.
+#: What log weights are multiplied by, unless the caller says otherwise, before the Gumbel numbers, of deviation 1.3, are
+#: added: so much that a document clearly on one side stays there.
 SHARPNESS = 20.0
 _CACHE, _CACHED_LENGTH, _CHUNK = 500_000, 48, 1 << 18
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -178,59 +179,66 @@ def weigher(df: DataFrame, ratios: np.ndarray, text: str = "text") -> Column:
     return weigh(F.col(text).cast("binary"))
 
 
-def _score(weight: str, key: str, seed: int) -> Column:
+def _score(weight: str, key: str, seed: int, sharpness: float) -> Column:
     """The log weight, sharpened, with the Gumbel number of the row's id."""
     uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(key).cast("string")), 12) + F.lit(0.5)) / F.lit(float(1 << 52))
-    return F.col(weight) * SHARPNESS - F.log(-F.log(uniform))
+    return F.col(weight) * sharpness - F.log(-F.log(uniform))
 
 
 def least_good_weight(weights: DataFrame) -> float:
-    """The weight that parts labelled good rows from others best; ``weights`` has ``log_weight, _good``."""
-    bins = weights.groupBy(F.greatest(F.lit(-400), F.least(F.lit(400), F.floor(F.col("log_weight") * 4))).alias("bin"), "_good").count()
-    sums = {(r[0], r[1]): r[2] for r in bins.collect()}
-    totals = {g: max(1, sum(n for (_, kind), n in sums.items() if kind == g)) for g in (True, False)}
-    best, cut, kept = 0.0, -400, {True: 1.0, False: 1.0}
-    for place in range(-400, 401):
-        gain = kept[True] - kept[False]
-        if gain > best + 1e-12:
-            best, cut = gain, place
-        for g in kept:
-            kept[g] -= sums.get((place, g), 0) / totals[g]
-    return cut / 4 if best else float("-inf")
-
-
-def fit_and_choose(df: DataFrame, labels: DataFrame, good: Column, text: str, key: str, labelled: int, seed: int) -> tuple[np.ndarray, float, DataFrame]:
-    """The log ratios, the score of the last document of the top ``k``, and the stored weights of all rows."""
+    """The weight that parts labelled good rows from others best; ``weights`` has ``log_weight, _good``.
+
+    The labelled rows are few, by a parameter, so their weights come to the driver as they are. The result lies halfway
+    between two of them, and is minus infinity if no weight parts them.
+    """
+    rows = sorted((r["log_weight"], r["_good"]) for r in weights.select("log_weight", "_good").collect())
+    totals = {g: max(1, sum(good == g for _, good in rows)) for g in (True, False)}
+    best, cut, kept = 0.0, float("-inf"), {True: 1.0, False: 1.0}
+    for (weight, good), (following, _) in zip(rows, rows[1:], strict=False):
+        kept[good] -= 1 / totals[good]
+        if following > weight and kept[True] - kept[False] > best + 1e-12:
+            best, cut = kept[True] - kept[False], (weight + following) / 2
+    return cut
+
+
+def fit_and_choose(df: DataFrame, labels: DataFrame, good: Column, text: str, key: str, labelled: int, seed: int,
+                   sharpness: float, carried: tuple[str, ...] = ()) -> tuple[float, DataFrame]:
+    """The score of the last document of the top ``k``, and the stored weights of all rows."""
     marked = _labelled(labels, key, good, labelled)
     with_label = df.join(F.broadcast(marked), F.col(key) == F.col("_id"), "left")
     ratios = log_ratios(_counts(with_label, text, F.coalesce(F.col("_good"), F.lit(False))))
-    weighed = with_label.select(key, "_good", weigher(df, ratios, text).alias("_weight"))
-    stored = stage(weighed.select(key, "_good", "_weight.*"), "log-weights")
+    weighed = with_label.select(*carried, key, "_good", weigher(df, ratios, text).alias("_found"))
+    stored = stage(weighed.select(*carried, key, "_good", "_found.*"), "log-weights")
     cut = least_good_weight(stored.where(F.col("_good").isNotNull()))
     k = stored.where(F.col("log_weight") >= cut).count()
-    scored = stored.withColumn("score", _score("log_weight", key, seed))
+    scored = stored.withColumn("score", _score("log_weight", key, seed, sharpness))
     ranked = number_rows(scored.select(F.col("score").alias("_score")), [F.col("_score").desc()], "_rank")
     last = ranked.where(F.col("_rank") == k - 1).first() if k else None
-    return ratios, last[0] if last else float("inf"), scored
+    return last[0] if last else float("inf"), scored
 
 
 def quality_scores(df: DataFrame, labels: DataFrame, good: Column, text: str = "text", key: str = "doc_id",
-                   labelled: int = LABELLED, seed: int = 5) -> DataFrame:
+                   labelled: int = LABELLED, seed: int = 5, sharpness: float = SHARPNESS) -> DataFrame:
     """``key, n_grams, log_weight, score, kept`` for every row.
 
     ``good`` is the condition on ``labels`` for a target document. ``k`` is the number of rows whose log weight is
     at least the one that best parts labelled good rows from labelled others; the ``k`` rows with the largest
-    scores are kept, and further rows that tie with the last. Without labels of both kinds all rows are kept.
-    Null and empty texts weigh 0, like a usual text. Rows that repeat an id share their Gumbel number, an id with
-    several labels is good only if all are. An empty table gives no rows.
+    scores are kept, and further rows that tie with the last. Log weights are multiplied by ``sharpness`` before the
+    Gumbel numbers are added: 1 draws in proportion to the weights, more keeps the heavier ones. Without labels of both
+    kinds all rows are kept. Null and empty texts weigh 0, like a usual text. Rows that repeat an id share their Gumbel
+    number, an id with several labels is good only if all are. An empty table gives no rows. Other columns are not read.
     """
-    _, last, scored = fit_and_choose(df, labels, good, text, key, labelled, seed)
+    last, scored = fit_and_choose(df.select(key, text), labels, good, text, key, labelled, seed, sharpness)
     return scored.select(key, "n_grams", "log_weight", "score", (F.col("score") >= last).alias("kept"))
 
 
 def resample(df: DataFrame, labels: DataFrame, good: Column, text: str = "text", key: str = "doc_id",
-             labelled: int = LABELLED, seed: int = 5) -> DataFrame:
-    """The rows of ``df`` that are kept, with their columns; see :func:`quality_scores`."""
-    ratios, last, _ = fit_and_choose(df.select(key, text), labels, good, text, key, labelled, seed)
-    weighed = df.withColumn("_weight", weigher(df, ratios, text))
-    return weighed.where(_score("_weight.log_weight", key, seed) >= last).select(*df.columns)
+             labelled: int = LABELLED, seed: int = 5, sharpness: float = SHARPNESS) -> DataFrame:
+    """The rows of ``df`` that are kept, with their columns; see :func:`quality_scores`.
+
+    The column ``_row`` is reserved; others pass through, whatever their names.
+    """
+    rows = stage_rows(df, "quality-rows")
+    narrow = rows.select("_row", F.col(key).alias(key), F.col(text).alias(text))
+    last, scored = fit_and_choose(narrow, labels, good, text, key, labelled, seed, sharpness, ("_row",))
+    return rows.join(scored.where(F.col("score") >= last).select("_row"), "_row", "left_semi").select(*df.columns)
