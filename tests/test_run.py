@@ -118,3 +118,35 @@ def test_run_from_snapshot_files(spark, tmp_path):
     assert {(r["main_category"], r["discount_percent"], r["price_tier"]) for r in found.collect()} == {
         ("Office", 22.5, "Budget (<$25)")}
     assert (tmp_path / "csv" / "reviews_20240110_000000.csv").exists()
+
+
+def test_a_run_with_rollups_and_kept_answers(spark, tmp_path):
+    """The second run asks nobody, and its reports and gates come from partial sums."""
+    from shelfsight.operators import reports as R
+    from shelfsight.operators import rollups as C
+    from shelfsight.operators.batches import rating_scorer
+    from shelfsight.plans.run import stored_table
+
+    def nobody(items):
+        raise RuntimeError("asked again")
+
+    plain = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path / "plain"), rating_scorer())
+    options = params(tmp_path, rollups=True, answers_dir=str(tmp_path / "answers"))
+    for scorer in (rating_scorer(), nobody):
+        report = run_pipeline(spark, catalog(spark), reviews(spark), options, scorer)
+        assert report.review_error is None and report.gates == plain.gates
+    rows = stored(spark, tmp_path, "reviews")
+    assert {r["analysis_method"] for r in rows.select("analysis_method").distinct().collect()} == {"response"}
+    tables = {name: stored_table(spark, name, "asin", options) for name in ("products", "reviews")}
+    assert C.review_kpis(tables["reviews"].totals()).collect() == R.review_kpis(rows).collect()
+    assert C.product_kpis(tables["products"].totals()).collect() == R.product_kpis(stored(spark, tmp_path, "products")).collect()
+
+
+def test_a_run_reads_each_staged_table_once_for_its_gates(spark, tmp_path, monkeypatch):
+    """The gates of staged tables are observed; only those of stored tables are evaluated by a job."""
+    from shelfsight.operators import quality
+
+    evaluated, real = [], quality.evaluate
+    monkeypatch.setattr(quality, "evaluate", lambda df, e: evaluated.append(1) or real(df, e))
+    report = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path))
+    assert len(report.gates) == 6 and len(evaluated) == 2
