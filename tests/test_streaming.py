@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfsight.sinks.keyed_table import KeyedTable
-from shelfsight.streaming.alerts import current_windows, late_rows, negative_alerts, negative_windows, write_updates
+from shelfsight.streaming.alerts import (
+    current_windows, late_rows, merge_updates, negative_alerts, negative_windows, read_updates, write_updates,
+)
 from shelfsight.streaming.ingest import incremental_ingest
 
 SCHEMA = T.StructType([T.StructField("asin", T.StringType()), T.StructField("price", T.DoubleType())])
@@ -89,3 +91,31 @@ def test_late_rows_are_dropped(spark, tmp_path):
     drop(source, "3.json", {"asin": "a", "sentiment": "Negative", "scraped_at": "2023-01-01T00:00:00"})
     assert run() == 2
     assert late == [0, 0, 1]
+
+
+def test_merged_updates_give_the_same_windows(spark, tmp_path):
+    source, path, start = tmp_path / "in", str(tmp_path / "u"), datetime(2024, 1, 1)
+    schema = "asin string, sentiment string, scraped_at timestamp"
+
+    def run(part):
+        drop(source, f"{part}.json", *[
+            {"asin": f"p{i % 3}", "sentiment": "Negative" if i % 4 == 0 else "Positive",
+             "scraped_at": (start + timedelta(days=part * 2, hours=i)).isoformat()} for i in range(40)
+        ])
+        stream = spark.readStream.schema(schema).json(str(source))
+        write_updates(negative_windows(stream), path, str(tmp_path / "cp")).awaitTermination()
+        return sorted(map(tuple, current_windows(read_updates(spark, path)).collect()))
+
+    with pytest.raises(FileNotFoundError):
+        read_updates(spark, path)
+    assert merge_updates(spark, path) == -1
+    for part in range(4):
+        found = run(part)
+        if part != 1:
+            last = merge_updates(spark, path)
+            assert merge_updates(spark, path) == last
+            assert sorted(map(tuple, current_windows(read_updates(spark, path)).collect())) == found
+            assert [p.name for p in (tmp_path / "u").iterdir()] == ["merged"]
+            assert [p.name for p in (tmp_path / "u" / "merged").iterdir()] == [f"upto={last}"]
+    batch = spark.read.schema(schema).json(str(source)).groupBy(F.window("scraped_at", "7 days"), "asin").count()
+    assert sorted((r[0], r[1], r[2]) for r in found) == sorted((r["window"]["start"], r["asin"], r["count"]) for r in batch.collect())
