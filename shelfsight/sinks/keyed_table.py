@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from itertools import groupby
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,18 +189,23 @@ class KeyedTable:
             return
         schema = _merged(state.schema, batch.schema)
         run = f"data/run-{uuid.uuid4().hex}"
-        new = self._write(batch, f"{run}/new")
+        seen = Observation()
+        new = self._write(batch.observe(seen, F.approx_count_distinct(self.key).alias("keys")), f"{run}/new")
         entries = [(b, path, "nothing") for b, paths in new.items() for path in paths]
         touched = {b: state.folders[b] for b in new if b != _NO_KEY and state.folders.get(b)}
         if touched:
             keyed = [path for b, paths in new.items() if b != _NO_KEY for path in paths]
-            entries += self._rewritten(touched, self._load(keyed, batch.schema).select(self.key).distinct(), state, run)
+            keys = self._load(keyed, batch.schema).select(self.key).distinct()
+            # The estimate, which costs no pass, saves listing the keys of a batch that has far too many.
+            entries += self._rewritten(touched, keys, seen.get["keys"] <= 2 * FEW_KEYS, state, run)
         self._commit(state.version + 1, entries, schema, commit_id)
 
-    def _rewritten(self, touched: dict[int, list[str]], keys: DataFrame, state: _State, run: str) -> list[tuple]:
+    def _rewritten(
+        self, touched: dict[int, list[str]], keys: DataFrame, maybe_few: bool, state: _State, run: str
+    ) -> list[tuple]:
         """Write what stays of the buckets' files that hold one of the keys; the manifest entries of that."""
-        listed = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()]
-        few = len(listed) <= FEW_KEYS
+        listed = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()] if maybe_few else []
+        few = maybe_few and len(listed) <= FEW_KEYS
         asked = F.col(self.key).isin(listed)
         if few:
             crowded = {b for b, paths in touched.items() if len(paths) > CROWDED}
