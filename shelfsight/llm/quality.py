@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfsight.llm.common import stage_rows, text_values
+from shelfsight.llm.common import text_values
 from shelfsight.operators.ordering import number_rows
 from shelfsight.staging import stage
 
@@ -234,11 +234,10 @@ def quality_scores(df: DataFrame, labels: DataFrame, good: Column, text: str = "
 
 def resample(df: DataFrame, labels: DataFrame, good: Column, text: str = "text", key: str = "doc_id",
              labelled: int = LABELLED, seed: int = 5, sharpness: float = SHARPNESS) -> DataFrame:
-    """The rows of ``df`` that are kept, with their columns; see :func:`quality_scores`.
+    """The rows of ``df`` that are kept, with their columns, whatever their names; see :func:`quality_scores`.
 
-    The column ``_row`` is reserved; others pass through, whatever their names.
+    The rows are stored once, with their weights, so no text is weighed twice and none is shuffled.
     """
-    rows = stage_rows(df, "quality-rows")
-    narrow = rows.select("_row", F.col(key).alias(key), F.col(text).alias(text))
-    last, scored = fit_and_choose(narrow, labels, good, text, key, labelled, seed, sharpness, ("_row",))
-    return rows.join(scored.where(F.col("score") >= last).select("_row"), "_row", "left_semi").select(*df.columns)
+    whole = df.select(F.col(key).alias(key), F.col(text).alias(text), F.struct("*").alias("_whole"))
+    last, scored = fit_and_choose(whole, labels, good, text, key, labelled, seed, sharpness, ("_whole",))
+    return scored.where(F.col("score") >= last).select("_whole.*")
