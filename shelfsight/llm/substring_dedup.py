@@ -42,8 +42,10 @@ def _odd_numbers(seed: int, count: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-#: Words whose digests a task remembers, and the longest of them.
-_CACHE, _CACHED_LENGTH = 500_000, 48
+#: Words of more bytes have a cryptographic digest: sums of powers collide for long words that are built for it, as
+#: Thue-Morse words are, whatever the base.
+_SHORT = 32
+_BYTES = _odd_numbers(1, 256)
 _BASE, _MIX, _MIX2 = (int(x) for x in _odd_numbers(2, 3))
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
@@ -81,29 +83,25 @@ def _sliding(values: np.ndarray, width: int, pick) -> np.ndarray:
     return values
 
 
-class _Digests(dict):
-    """A 64-bit number for each word, remembered up to a bound.
-
-    It is a cryptographic digest: sums of powers alone collide for words that are built for it, whatever the base.
-    """
-
-    def __missing__(self, word: bytes) -> int:
-        value = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= _CACHED_LENGTH:
-            if len(self) >= _CACHE:
-                self.clear()
-            self[word] = value
-        return value
-
-
-_WORDS = _Digests()
+def _word_numbers(words: list[bytes]) -> np.ndarray:
+    """64 bits for each word."""
+    text = np.frombuffer(b" ".join(words), dtype=np.uint8)
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(sizes + 1) - 1
+    starts = ends - sizes
+    sums = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum(_BYTES[text] * _UP.get(len(text)), out=sums[1:])
+    numbers = _mix((sums[ends] - sums[starts]) * _DOWN.get(len(text) + 1)[starts], _MIX)
+    for i in np.flatnonzero(sizes > _SHORT):
+        numbers[i] = int.from_bytes(blake2b(words[i], digest_size=8).digest(), "little")
+    return numbers
 
 
 class Piece:
     """Digests of a piece of a document: of each phrase, and of the phrase each window chooses."""
 
     def __init__(self, words: list[bytes]):
-        numbers = np.fromiter(map(_WORDS.__getitem__, words), dtype=np.uint64, count=len(words))
+        numbers = _word_numbers(words)
         self._sums, self._others = self._added(numbers), self._added(_mix(numbers, _MIX))
         self._down = _DOWN.get(len(words) + 1)
         self.phrases = _mix(self._spans(self._sums, PHRASE), _MIX)
