@@ -37,19 +37,35 @@ def line_places(rows: DataFrame, text: str, site: str) -> DataFrame:
     )
 
 
-def boilerplate(lines: DataFrame, sites: int = SITES) -> DataFrame:
+def asked_lines(lines: DataFrame) -> DataFrame:
+    """Stored ``_run, line, again`` with the rows and extremes of the site: each line once for each input partition.
+
+    Whatever is asked about a line is asked by these rows, so a line in a third of all rows is not dealt to one task.
+    """
+    dealt = lines.withColumn("_run", F.shiftright("_row", 33))
+    return stage(dealt.groupBy("_run", "line", "again").agg(
+        F.count("site").alias("n"), F.min("site").alias("low"), F.max("site").alias("high")
+    ), "asked-lines")
+
+
+def boilerplate(lines: DataFrame, asked: DataFrame, sites: int = SITES) -> DataFrame:
     """Stored ``line, again`` of the lines on at least ``sites`` distinct sites.
 
     Lines of fewer occurrences than that, or all on one site, need no sketch.
     """
     name = ["line", "again"]
-    often = lines.groupBy(*name).agg(F.count("site").alias("n"), F.min("site").alias("low"), F.max("site").alias("high"))
+    often = asked.groupBy(*name).agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
     often = stage(often.where((F.col("n") >= sites) & ((F.col("low") != F.col("high")) | (sites <= 1))).select(*name), "frequent-lines")
-    candidates = lines.where(F.col("site").isNotNull()).join(often, name, "left_semi")
-    sketched = candidates.groupBy(*name).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(_LOG_REGISTERS))).alias("spread"))
+    known = lines.where(F.col("site").isNotNull()).withColumn("_run", F.shiftright("_row", 33))
+
+    def those(named: DataFrame) -> DataFrame:
+        """The rows of some lines, found by input partition, so that the aggregation has a shuffle of its own."""
+        return known.join(asked.select("_run", *name).join(named, name, "left_semi"), ["_run", *name], "left_semi")
+
+    sketched = those(often).groupBy(*name).agg(F.hll_sketch_estimate(F.hll_sketch_agg("site", F.lit(_LOG_REGISTERS))).alias("spread"))
     sketched = stage(sketched, "line-spread")
     near = F.abs(F.col("spread") - sites) <= F.ceil(F.lit(sites * _BAND))
-    exact = candidates.join(sketched.where(near).select(*name), name, "left_semi").groupBy(*name, "site").agg(F.lit(1).alias("one"))
+    exact = those(sketched.where(near).select(*name)).groupBy(*name, "site").agg(F.lit(1).alias("one"))
     counted = exact.groupBy(*name).agg(F.count("one").alias("spread"))
     sure = sketched.where(~near).select(*name, "spread").unionByName(counted)
     return stage(sure.where(F.col("spread") >= sites).select(*name), "boilerplate")
@@ -65,11 +81,10 @@ def line_dedup(df: DataFrame, text: str = "text", site: str = "source", sites: i
     """
     rows = stage_rows(df, "line-rows")
     lines = line_places(rows, text, site)
-    found = boilerplate(lines, sites).withColumn("_gone", F.lit(True))
-    # Each input partition asks once for each of its lines, so a line in a third of all rows is not dealt to one task.
+    asked = asked_lines(lines)
+    found = boilerplate(lines, asked, sites)
+    answered = asked.select("_run", "line", "again").join(found, ["line", "again"])
     dealt = lines.withColumn("_run", F.shiftright("_row", 33))
-    asked = dealt.groupBy("_run", "line", "again").agg(F.count("*").alias("_n")).drop("_n")
-    answered = asked.join(found, ["line", "again"]).drop("_gone")
     gone = dealt.join(answered, ["_run", "line", "again"]).groupBy("_row").agg(F.collect_list("place").alias("_places"))
     joined = rows.join(gone, "_row", "left")
     all_lines = text_lines(text)
