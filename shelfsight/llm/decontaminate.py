@@ -142,7 +142,8 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, text: str = "text", bench
     ``spans`` are the merged word spans covered by windows of the benchmark. A row is contaminated if they hold
     at least a twentieth of its words. A null or empty text has no words and no hits. Repeated items count
     once by name, and an item without a name is called ''. An empty benchmark hits nothing, an empty table
-    gives no rows. Input columns called like a result column are replaced.
+    gives no rows. Input columns called like a result column are replaced, names that
+    begin with an underscore are reserved.
 
     A benchmark of up to ``block_words`` words is searched in one pass over the documents. A larger one is
     searched block by block, each of bounded size, and the hits of a document are put together.

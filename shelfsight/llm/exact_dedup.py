@@ -36,7 +36,7 @@ def exact_groups(rows: DataFrame, text: str = "text", key: str = "doc_id") -> Da
 
     Texts are equal if they are identical without white space; null is an empty text. The row with most code
     points stays, then the one with the smallest id (null last), then the first stored one; exactly one row of
-    a group stays, also among rows that repeat an id.
+    a group stays, also among rows that repeat an id. An empty table gives no rows.
     """
     bare = squeezed(text)
     narrow = stage_rows(

@@ -168,7 +168,8 @@ def identify(df: DataFrame, model: LanguageModel, text: str = "text") -> DataFra
     ``lang_pred`` is ``und`` with score 0 for a text that is null or has no letter, and for a model that has seen
     no language. ``score`` is the cosine to the nearest centroid. ``rejected`` texts lie outside of the limit of
     their centroid. Whole texts of any length count. An empty table gives no rows; input columns called like a
-    result column are replaced.
+    result column are replaced, names that
+    begin with an underscore are reserved.
     """
     sent = df.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])

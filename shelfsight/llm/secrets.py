@@ -210,7 +210,8 @@ def scan_secrets(df: DataFrame, text: str = "text") -> DataFrame:
 
     ``pair`` spans are literals in sensitive assignments that no base span holds already. Null and empty texts
     have none. Whole texts of any length are read. An empty table gives no rows; input columns called like a
-    result column are replaced.
+    result column are replaced, names that
+    begin with an underscore are reserved.
     """
     counts = [f"n_{k}" for k in KINDS]
     kind = pa.struct([*((c, pa.int64()) for c in counts), ("base", pa.string()), ("all", pa.string())])

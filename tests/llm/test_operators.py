@@ -7,6 +7,7 @@ import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -45,6 +46,15 @@ def test_mix_hostile(spark):
     assert rows == mix(hostile(spark)).collect()
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_rows_of_one_id_are_not_taken_all_or_nothing(spark, key):
+    rows = [(key, f"text {i} " + "word " * (i % 7), "abc"[i % 3]) for i in range(90)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = mix(df).groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken"), F.max("size").alias("most")).collect()
+    assert len(found) == 3 and all(abs(r["taken"] - r["target"]) <= r["most"] for r in found)
+    assert sorted(map(tuple, mix(df).collect())) == sorted(map(tuple, mix(df.repartition(5)).collect()))
+
+
 def test_mix_fills_up_to_the_cap(spark):
     docs = [(i, "w " * 10, "a" if i < 5 else "b" if i < 50 else "c") for i in range(1000)]
     rows = mix(spark.createDataFrame(docs, "doc_id long, text string, source string")).collect()
@@ -109,6 +119,21 @@ def test_exact_groups_hostile(spark):
 
 # Language identification
 
+def test_exact_groups_over_a_tree_of_several_levels(spark):
+    """Two hundred runs, merged 64 at a time: three levels."""
+    r = random.Random(9)
+    rows = [(i, r.choice([f"text {r.randrange(60)}", f"text  {r.randrange(60)} ", "hot text", " hot\ttext"])) for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(200)
+    groups = defaultdict(list)
+    for i, text in rows:
+        groups["".join(text.split())].append((-len(text), i))
+    found = by_id(exact_groups(df).collect())
+    for members in groups.values():
+        keep = min(members)[1]
+        assert all((found[i]["keep_id"], found[i]["group_size"], found[i]["kept"]) == (keep, len(members), i == keep) for _, i in members)
+    assert sorted(r["doc_id"] for r in exact_dedup(df).collect()) == sorted(min(m)[1] for m in groups.values())
+
+
 def test_language_hostile(spark):
     model = language_id.fit(hostile(spark).where(~language_id.held_out("doc_id")))
     rows = language_id.identify(hostile(spark), model).collect()
@@ -170,7 +195,7 @@ def test_substrings_equal_brute_force(monkeypatch, piece):
     whole = substring_dedup._WHOLE
     for found in seen.values():
         if len(found) == 1 or min(found) & whole == whole:
-            alone[min(found) >> 25].append(min(found) & whole)
+            alone[min(found) >> substring_dedup._WORD_BITS].append(min(found) & whole)
     packed = [zstandard.compress(d.encode()) for d in docs]
     batch = pa.RecordBatch.from_pydict({"r": list(range(40)), "t": packed, "a": [alone[i] for i in range(40)]})
     windows = defaultdict(list)
@@ -178,7 +203,7 @@ def test_substrings_equal_brute_force(monkeypatch, piece):
         for d, m, p in zip(*(c.to_pylist() for c in out.columns), strict=True):
             windows[d, m].append(p)
     for found in windows.values():
-        first[min(found) >> 25].append(min(found) & whole)
+        first[min(found) >> substring_dedup._WORD_BITS].append(min(found) & whole)
     for i, (doc, wanted) in enumerate(zip(docs, removed(docs), strict=True)):
         words = doc.encode().split()
         for start, end in reversed(substring_dedup.factors(words, alone[i], first[i])):
@@ -186,6 +211,17 @@ def test_substrings_equal_brute_force(monkeypatch, piece):
         assert [w.decode() for w in words] == wanted
 
 
+def test_words_made_to_collide_are_different(spark):
+    """Thue-Morse words, which every polynomial modulo a power of two takes for equal."""
+    bits = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = bits.translate(str.maketrans("ab", "ba"))
+    around = [f"w{i}" for i in range(20)]
+    texts = [(1, " ".join([*around[:10], bits, *around[10:]])), (2, " ".join([*around[:10], other, *around[10:]])),
+             (3, " ".join([*around[:10], bits, *around[10:]]))]
+    found = by_id(substring_dedup.substring_dedup(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+    assert [found[i]["n_removed"] for i in (1, 2, 3)] == [0, 0, 21]
+
+
 def test_substrings_hostile(spark):
     rows = substring_dedup.substring_dedup(hostile(spark)).collect()
     assert len(rows) == 13 and substring_dedup.substring_dedup(empty(spark)).count() == 0
@@ -303,6 +339,56 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert {r["doc_id"] for r in quality.resample(df, labels, F.col("good")).collect()} == {i for i, r in found.items() if r["kept"]}
 
 
+def _cut(spark, good, bad):
+    rows = [(float(w), True) for w in good] + [(float(w), False) for w in bad]
+    return quality.least_good_weight(spark.createDataFrame(rows, "log_weight double, _good boolean"))
+
+
+def test_the_cut_follows_weights_of_any_size(spark):
+    assert _cut(spark, range(500, 520), range(150, 170)) == 334.5
+    assert _cut(spark, range(50, 70), range(15, 35)) == 42
+    assert _cut(spark, [1, 2, 3], [4, 5]) == float("-inf") and _cut(spark, [1, 2], []) == float("-inf")
+    assert _cut(spark, [3, 5, 5, 9], [1, 4, 5, 2]) == 2.5
+
+
+def test_weights_draw_and_choice_equal_a_plain_version(spark):
+    """Models, weights, cut and draw of a small table, one document at a time."""
+    r = random.Random(6)
+    docs = [(i, " ".join(r.choice("abcdefgh" if i % 4 else "uvwxyz") * r.randrange(1, 4) for _ in range(40))) for i in range(200)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 4 != 0) for i in range(0, 200, 3)], "doc_id long, good boolean")
+    cache = quality._Hashes()
+    grams = {i: quality.ngram_buckets(t.encode(), cache) for i, t in docs}
+    counts = np.zeros((2, 2 * quality.BUCKETS))
+    for i, buckets in grams.items():
+        counts[0][buckets.ravel()] += 1
+        if i % 3 == 0 and i % 4:
+            counts[1][buckets.ravel()] += 1
+    ratios = quality.log_ratios(counts)
+    weights = {i: quality.log_weight(ratios, b) for i, b in grams.items()}
+    cut = _cut(spark, [weights[i] for i in weights if i % 3 == 0 and i % 4], [weights[i] for i in weights if i % 12 == 0])
+    for sharpness in (1.0, quality.SHARPNESS):
+        found = by_id(quality.quality_scores(df, labels, F.col("good"), sharpness=sharpness).collect())
+        assert all(found[i]["log_weight"] == pytest.approx(weights[i]) for i in weights)
+        noise = {i: found[i]["score"] - sharpness * weights[i] for i in weights}
+        k = sum(w >= cut for w in weights.values())
+        kept = sorted(weights, key=lambda i: -(sharpness * weights[i] + noise[i]))[:k]
+        assert {i for i in found if found[i]["kept"]} == set(kept)
+        assert -4 < min(noise.values()) and 0.2 < sum(noise.values()) / len(noise) < 1.0
+
+
+def test_the_draw_follows_the_weights_over_seeds(spark):
+    """With sharpness 1 a document is drawn first in proportion to the exponential of its weight."""
+    drawn = Counter()
+    weights = {0: 0.0, 1: 1.0, 2: 2.0}
+    df = spark.createDataFrame(list(weights.items()), "doc_id long, log_weight double")
+    scores = df.select("doc_id", *[quality._score("log_weight", "doc_id", seed, 1.0).alias(f"s{seed}") for seed in range(400)]).collect()
+    for seed in range(400):
+        drawn[max(scores, key=lambda row: row[f"s{seed}"])["doc_id"]] += 1
+    total = sum(np.exp(w) for w in weights.values())
+    assert all(abs(drawn[i] / 400 - np.exp(w) / total) < 0.08 for i, w in weights.items())
+
+
 def test_quality_hostile(spark):
     labels = spark.createDataFrame([(1, 1, 0), (8, 0, None), (None, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int")
     rows = quality.quality_scores(hostile(spark), labels, queries.good_label()).collect()
