@@ -1,10 +1,17 @@
 """Alerts of the stream against the same rule over all rows at once."""
 
 import json
+import os
 import random
+import subprocess
+import sys
 from datetime import date, datetime, timedelta
+from pathlib import Path
 
-from shelfsight.streaming.crossings import negative_crossings, write_alerts
+import pyspark
+from pyspark import cloudpickle
+
+from shelfsight.streaming.crossings import _rate_crossings, negative_crossings, write_alerts
 
 SCHEMA = "id bigint, asin string, sentiment string, scraped_at timestamp"
 START = datetime(2024, 3, 1)
@@ -91,3 +98,24 @@ def test_one_alert_while_the_rate_stays_and_one_when_old_days_drop_out(spark, tm
     # "a" crosses without a new review, when its ten good ones are older than a week; "b" stays above and alerts once.
     assert [(r[0], r[1]) for r in found] == [("a", date(2024, 3, 8)), ("b", date(2024, 3, 1))]
     assert run(spark, tmp_path) == found
+
+
+def test_a_session_with_sparks_own_state_store(spark, tmp_path):
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before, plain = spark.conf.get(name), "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    rows = [{"id": i, "asin": "a", "sentiment": "Negative", "scraped_at": (START + timedelta(days=i)).isoformat()} for i in range(5)]
+    drop(tmp_path, "1.json", rows)
+    spark.conf.set(name, plain)
+    try:
+        found = run(spark, tmp_path)
+        assert [(r[0], r[1]) for r in found] == [("a", date(2024, 3, 1))]
+        assert spark.conf.get(name) == plain
+    finally:
+        spark.conf.set(name, before)
+
+
+def test_workers_need_not_have_this_package(tmp_path):
+    sent = cloudpickle.dumps(_rate_crossings("asin", 7, 0.2))
+    load = "import pickle, sys; pickle.load(sys.stdin.buffer).close()"
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"PYTHONPATH": str(Path(pyspark.__file__).parents[1])}
+    subprocess.run([sys.executable, "-c", load], input=sent, cwd=tmp_path, env=env, check=True, timeout=60)
