@@ -36,7 +36,11 @@ class Expectation:
 
 
 class GateFailure(Exception):
-    """A gate found data that must not go further."""
+    """A gate found data that must not go further. ``empty`` tells that there were no rows at all."""
+
+    def __init__(self, message: str, empty: bool = False):
+        super().__init__(message)
+        self.empty = empty
 
 
 def evaluate(df: DataFrame, expectations: Sequence[Expectation]) -> DataFrame:
@@ -67,7 +71,7 @@ def _enforced(rows: list[dict], gate: str) -> list[dict]:
     failed = [r for r in rows if not r["passed"]]
     if failed:
         detail = "; ".join(f"{r['name']}: {r['observed']} (threshold {r['threshold']})" for r in failed)
-        raise GateFailure(f"{gate}: {detail}")
+        raise GateFailure(f"{gate}: {detail}", any(r["name"] == "not_empty" for r in failed))
     return rows
 
 

@@ -54,12 +54,13 @@ class Params:
 
 @dataclass
 class RunReport:
-    """What a run did. A failed review branch leaves the products stored."""
+    """What a run did. A failed review branch leaves the products stored; ``no_reviews`` if it failed for want of any."""
 
     products: ExportReport | None = None
     reviews: ExportReport | None = None
     gates: dict[str, list[dict]] = field(default_factory=dict)
     review_error: str | None = None
+    no_reviews: bool = False
 
 
 def _staged(report: RunReport, name: str, df: DataFrame, label: str, gate: Callable) -> DataFrame:
@@ -166,4 +167,5 @@ def _run(
         )
     except Exception as failure:
         report.review_error = f"{type(failure).__name__}: {failure}".splitlines()[0]
+        report.no_reviews = isinstance(failure, Q.GateFailure) and failure.empty
     return report

@@ -9,6 +9,7 @@ import functools
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -875,23 +876,42 @@ def ingest_by_run(spark, sf_dir):
 
 # A whole run
 
-def _run(spark: SparkSession, sf_dir: str, folder: str, **other) -> None:
-    """One run over the whole catalog. A product listed for nothing is listed for its final price."""
+def _catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole catalog. A product listed for nothing is listed for its final price."""
     catalog = raw_products(spark, sf_dir)
     listed = F.when(N.number(catalog, "initial_price") > 0, F.col("initial_price")).otherwise(F.col("final_price"))
-    catalog = catalog.withColumn("initial_price", listed).withColumn(
+    return catalog.withColumn("initial_price", listed).withColumn(
         "bought_past_month", (F.col("p_partkey") * 7 % 1500).cast("string")
     )
+
+
+def _run(spark: SparkSession, sf_dir: str, folder: str, **other) -> None:
+    """One run over the whole catalog. If no product or no review is left, its gate stops the run, which is no error here."""
     reviews = raw_reviews(spark, sf_dir).drop("issues", "themes", "ai_summary").withColumn(
         "review_text", F.concat_ws(" ", "asin", "l_orderkey")
     )
     options = dict(keywords=("ring", "widget"), review_order=tuple(_REVIEW_ID), buckets=16, run_ts=RUN_TS)
     params = Params(store_dir=f"{folder}/store", output_dir=f"{folder}/csv", **{**options, **other})
-    report = run_pipeline(spark, catalog, reviews, params, scorer=B.rating_scorer())
-    if report.review_error:
+    try:
+        report = run_pipeline(spark, _catalog(spark, sf_dir), reviews, params, scorer=B.rating_scorer())
+    except Q.GateFailure as stopped:
+        if not stopped.empty:
+            raise
+        return
+    if report.review_error and not report.no_reviews:
         raise RuntimeError(report.review_error)
 
 
+def _stored(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame]:
+    """The products and reviews that runs stored; without rows if the runs came to none."""
+    products, reviews = (KeyedTable(spark, f"{folder}/store/{n}", "asin").read_if_exists() for n in ("products", "reviews"))
+    if products is None:
+        products = P.enrich_products(_catalog(spark, sf_dir)).limit(0)
+    if reviews is None:
+        reviews = V.with_recency(_reviews(spark, sf_dir), RUN_TS).limit(0)
+    return products, reviews
+
+
 def _listed(report: str, df: DataFrame, item: str | None = None) -> DataFrame:
     """A report's numbers as ``(report, item, value)``: one row for each column, or for each value of ``item``."""
     numbers = [c for c in df.columns if c != item]
@@ -950,19 +970,29 @@ def rollup_reviews(spark, sf_dir):
     ])
 
 
+def _read_if_any(spark: SparkSession, read: Callable[[str], DataFrame], path: str) -> DataFrame:
+    """The rows of a path, none if a run that came to no rows did not write it."""
+    try:
+        return read(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "asin string")
+
+
 @query
 def daily_run_repeated(spark, sf_dir):
     """A run and its repetition: tables, log and backups hold what one run stores."""
     folder = scratch_path(spark, "run-again")
     for _ in range(2):
         _run(spark, sf_dir, folder, history_dir=f"{folder}/history")
-    products, reviews = (KeyedTable(spark, f"{folder}/store/{n}", "asin").read() for n in ("products", "reviews"))
-    backups = {
-        f"{n} backup": spark.read.option("header", True).option("escape", '"').option("multiLine", True).csv(
-            f"{folder}/csv/{n}_{RUN_TS:%Y%m%d_%H%M%S}.csv")
-        for n in ("products", "reviews")
+    products, reviews = _stored(spark, sf_dir, folder)
+    written = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
+    paths = {"history": (spark.read.parquet, f"{folder}/history")} | {
+        f"{n} backup": (written.csv, f"{folder}/csv/{n}_{RUN_TS:%Y%m%d_%H%M%S}.csv") for n in ("products", "reviews")
     }
-    tables = {"products": products, "reviews": reviews, "history": spark.read.parquet(f"{folder}/history"), **backups}
+    others = {n: _read_if_any(spark, *where) for n, where in paths.items()}
+    tables = {"products": products, "reviews": reviews, **others}
     counts = [df.agg(F.count("*").alias("rows")).select(F.lit(n).alias("stored"), "rows") for n, df in tables.items()]
     out = counts[0]
     for more in counts[1:]:
@@ -978,7 +1008,7 @@ def run_options(spark, sf_dir):
         spark, sf_dir, folder, keywords=("ring", "red"), limit_per_keyword=40, filter_unavailable=True,
         sort_by="bought_past_month", product_urls=("https://example.com/dp/none",),
     )
-    products, reviews = (KeyedTable(spark, f"{folder}/store/{n}", "asin").read() for n in ("products", "reviews"))
+    products, reviews = _stored(spark, sf_dir, folder)
     found = products.select("asin", "search_keyword", F.col("bought_past_month").cast("long").alias("bought_past_month"))
     return reviews.join(found, "asin").select("asin", "search_keyword", "bought_past_month", "sentiment", *_REVIEW_ID)
 
@@ -988,8 +1018,7 @@ def daily_run(spark, sf_dir):
     """Discover, enrich, collect, analyse and store; then the stored reviews with their products."""
     folder = scratch_path(spark, "run")
     _run(spark, sf_dir, folder)
-    stored = KeyedTable(spark, f"{folder}/store/reviews", "asin").read()
-    products = KeyedTable(spark, f"{folder}/store/products", "asin").read()
+    products, stored = _stored(spark, sf_dir, folder)
     return stored.join(products.select("asin", "title", "search_keyword"), "asin").select(
         "asin", "title", "search_keyword", "sentiment", "review_age_days", *_REVIEW_ID
     )

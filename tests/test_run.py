@@ -150,3 +150,24 @@ def test_a_run_reads_each_staged_table_once_for_its_gates(spark, tmp_path, monke
     monkeypatch.setattr(quality, "evaluate", lambda df, e: evaluated.append(1) or real(df, e))
     report = run_pipeline(spark, catalog(spark), reviews(spark), params(tmp_path))
     assert len(report.gates) == 6 and len(evaluated) == 2
+
+
+@pytest.mark.parametrize(("partkeys", "name"), [((2, 6, 10), "red ring"), ((1, 5, 9), "red ring"), ((1, 5), "big bolt")])
+def test_run_queries_without_products_or_reviews(spark, tmp_path, partkeys, name):
+    """None is available, none has a review, none is found: the queries have no rows, as their SQL."""
+    from shelfsight.registry.queries import all_queries
+
+    spark.createDataFrame([(k, name, "b", 1000.0, 7, "t") for k in partkeys],
+        "p_partkey bigint, p_name string, p_brand string, p_retailprice double, p_size int, p_type string",
+    ).write.parquet(str(tmp_path / "part.parquet"))
+    spark.createDataFrame([(1, 1, 900, 1, 5.0, 7.0, "N", "O", datetime(1998, 1, 1))],
+        "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_extendedprice double,"
+        " l_quantity double, l_returnflag string, l_linestatus string, l_shipdate timestamp",
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    run_options = all_queries()["run_options"](spark, str(tmp_path))
+    assert run_options.collect() == [] and dict(run_options.dtypes)["bought_past_month"] == "bigint"
+    assert all_queries()["daily_run"](spark, str(tmp_path)).collect() == []
+    counts = {r["stored"]: r["rows"] for r in all_queries()["daily_run_repeated"](spark, str(tmp_path)).collect()}
+    products = len(partkeys) if name == "red ring" else 0
+    assert counts == {
+        "products": products, "history": products, "products backup": products, "reviews": 0, "reviews backup": 0}
