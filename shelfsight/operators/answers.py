@@ -149,14 +149,12 @@ class AnswerStore:
         spent = self.requests().where(F.col("day") == F.lit(self.clock().date())).agg(F.sum("calls")).first()[0] or 0
         return max(0, min(wanted, self.quota.per_day - spent))
 
-    def _pending(self, batches: DataFrame, wave: int) -> tuple[str, int]:
-        """The distinct batches without an answer, stored in one folder for each wave, and their number."""
-        pending = batches.join(self.answers().select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
-        numbered = number_rows(pending.select("digest", "items"), ["digest"], "ask")
-        path = scratch_path(self.spark, "asking")
-        numbered.withColumn("wave", F.expr(f"ask div {wave}")).write.partitionBy("wave").parquet(path)
-        total = numbered.count()
-        return path, total
+    def _pending(self, batches: DataFrame) -> tuple[DataFrame, int]:
+        """The distinct digests without an answer, numbered, each with one of its batches; and how many there are."""
+        pending = batches.join(self.answers().select("digest"), "digest", "left_anti")
+        pending = pending.groupBy("digest").agg(F.min("batch_id").alias("batch_id"))
+        numbered = stage(number_rows(pending, ["digest"], "ask"), "pending")
+        return numbered, numbered.count()
 
     def ask(self, batches: DataFrame, scorer: Scorer) -> DataFrame:
         """Ask about the batches (``digest``, ``items``; a stored table) that have no answer yet, as far as the quota goes.
@@ -164,19 +162,35 @@ class AnswerStore:
         Returns ``(digest, error)`` of the calls that failed in this run. They are not kept as answers: the next run asks
         again. Those beyond the day's quota are not asked about.
         """
+        def items_of(wanted: DataFrame) -> DataFrame:
+            chosen = wanted.select("digest", "ask", "wave")
+            return batches.join(chosen, "digest").dropDuplicates(["digest"])
+
+        return self.ask_digests(batches.select("digest", F.lit(0).cast("bigint").alias("batch_id")), items_of, scorer)
+
+    def ask_digests(
+        self, batches: DataFrame, items_of: Callable[[DataFrame], DataFrame], scorer: Scorer
+    ) -> DataFrame:
+        """As ``ask`` for batches known by ``digest`` and ``batch_id``; ``items_of`` adds their ``items`` to those to ask."""
         self.settle()
         wave = self.lanes * self.per_task
         if self.limit is not None:
             wave = min(wave, self.limit.rate)
-        path, total = self._pending(batches, wave)
+        pending, total = self._pending(batches)
         allowed = self._allowed(total)
+        path = scratch_path(self.spark, "asking")
+        if allowed:
+            chosen = pending.where(F.col("ask") < allowed).withColumn("wave", F.expr(f"ask div {wave}"))
+            rows = items_of(chosen).select("digest", "items", "ask", "wave")
+            # A wave is bounded, so that one task may write it, and it is one file.
+            rows.repartition("wave").write.partitionBy("wave").parquet(path)
         run = uuid.uuid4().hex
         for start in range(0, allowed, wave):
             size = min(wave, allowed - start)
             if self.limit is not None:
                 self.limit.take(size)
             # A wave is at most lanes * per_task rows: one task reads them and deals them out evenly.
-            rows = self.spark.read.parquet(f"{path}/wave={start // wave}").where(F.col("ask") < start + size).coalesce(1)
+            rows = self.spark.read.parquet(f"{path}/wave={start // wave}").coalesce(1)
             answered = ask(rows.repartition(-(-size // self.per_task)), scorer, "digest")
             answered.withColumn("asked_at", F.lit(self.clock())).write.mode("append").options(**_BY_TASK).parquet(
                 f"{self.path}/journal/{run}"

@@ -192,8 +192,15 @@ def stored_responses(batched: DataFrame, scorer: Scorer, store: AnswerStore, mod
     The scorer is called only for contents that ``model`` has not answered before, and within the store's quota. A batch
     that was not asked about for want of quota has no response and says so in ``error``.
     """
-    batches = stage(batch_items(batched).withColumn("digest", content_digest(model)), "batch-items")
-    failed = store.ask(batches.select("digest", "items"), scorer)
+    batches = stage(
+        batch_items(batched).select("batch_id", content_digest(model).alias("digest")), "batch-digests"
+    )
+
+    def items_of(wanted: DataFrame) -> DataFrame:
+        """Whole texts are gathered again, and only for the batches that are asked about."""
+        return batch_items(batched.join(wanted.select("batch_id"), "batch_id", "left_semi")).join(wanted, "batch_id")
+
+    failed = store.ask_digests(batches, items_of, scorer)
     known = store.answers().select("digest", "response")
     answered = batches.select("batch_id", "digest").join(known, "digest", "left").join(failed, "digest", "left")
     reason = F.when(F.col("response").isNull(), F.coalesce("error", F.lit("not asked: the quota is used up")))

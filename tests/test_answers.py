@@ -117,3 +117,17 @@ def test_no_batches(spark, tmp_path):
     store = AnswerStore(spark, str(tmp_path / "store"))
     assert B.enrich_batches(reviews(spark, 0), ["id"], counting(tmp_path), store=store).count() == 0
     assert store.answers().count() == 0 and store.requests().count() == 0
+
+
+def test_texts_are_stored_only_for_batches_that_are_asked_about(spark, tmp_path, monkeypatch):
+    from shelfsight.operators import answers
+    from shelfsight.operators.batches import enrich_batches, rating_scorer
+
+    paths, real = [], answers.scratch_path
+    monkeypatch.setattr(answers, "scratch_path", lambda s, label: paths.append(real(s, label)) or paths[-1])
+    df = spark.createDataFrame([(i, f"text {i}", 5.0) for i in range(60)], "id bigint, review_text string, rating double")
+    store = answers.AnswerStore(spark, str(tmp_path / "answers"), answers.Quota(per_day=2))
+    out = enrich_batches(df, ["id"], rating_scorer(), store=store)
+    assert sorted(r[1] for r in out.groupBy("analysis_method").count().collect()) == [20, 40]
+    asked = spark.read.parquet(paths[0])
+    assert asked.count() == 2 and asked.agg({"ask": "max"}).first()[0] == 1
