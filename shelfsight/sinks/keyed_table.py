@@ -207,12 +207,13 @@ class KeyedTable:
         listed = [r[0] for r in keys.limit(FEW_KEYS + 1).collect()] if maybe_few else []
         few = maybe_few and len(listed) <= FEW_KEYS
         asked = F.col(self.key).isin(listed)
-        if few:
-            crowded = {b for b, paths in touched.items() if len(paths) > CROWDED}
-            every = [path for paths in touched.values() for path in paths]
-            holding = self.read_parts(every, state.schema).where(asked).select("part").distinct()
-            found = {r["part"] for r in holding.collect()}
-            touched = {b: paths if b in crowded else [p for p in paths if p in found] for b, paths in touched.items()}
+        crowded = {b for b, paths in touched.items() if len(paths) > CROWDED}
+        every = [path for paths in touched.values() for path in paths]
+        stored = self.read_parts(every, state.schema)
+        # Of many keys, the table's key column alone is compared first; files without any of them stay.
+        named = stored.where(asked) if few else stored.select(self.key, "part").distinct().join(keys, self.key, "left_semi")
+        found = {r["part"] for r in named.select("part").distinct().collect()}
+        touched = {b: paths if b in crowded else [p for p in paths if p in found] for b, paths in touched.items()}
         files = [path for paths in touched.values() for path in paths]
         if not files:
             return []
