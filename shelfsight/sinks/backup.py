@@ -21,13 +21,19 @@ class ExportReport:
     backup_path: str | None = None
 
 
+#: A file whose fields may hold line breaks is read by one task, so files are kept small.
+ROWS_PER_FILE = 20_000
+
+
 def csv_backup(df: DataFrame, output_dir: str, table: str, run_ts: datetime) -> str:
     """Write ``<table>_<YYYYmmdd_HHMMSS>.csv`` with a header; it is a folder of part files.
 
     A run that is repeated replaces its own backup.
     """
     path = f"{output_dir.rstrip('/')}/{table}_{run_ts:%Y%m%d_%H%M%S}.csv"
-    encode_nested(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    encode_nested(df).write.mode("overwrite").options(
+        header=True, escape='"', maxRecordsPerFile=ROWS_PER_FILE
+    ).csv(path)
     return path
 
 

@@ -1,4 +1,5 @@
 from datetime import datetime, timezone
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -246,3 +247,34 @@ def test_jdbc_upsert_statements():
         'DELETE FROM t WHERE "asin" IN (SELECT "asin" FROM t_staging WHERE "asin" IS NOT NULL)',
         'INSERT INTO t ("asin", "v") SELECT "asin", "v" FROM t_staging',
     ]
+
+
+def test_a_backup_from_one_task_has_several_files(spark, tmp_path, monkeypatch):
+    """A file whose fields may hold line breaks is read by one task, so no file may grow with the table."""
+    from shelfsight.sinks import backup
+    from shelfsight.sources.tables import scan_csv
+
+    monkeypatch.setattr(backup, "ROWS_PER_FILE", 4)
+    rows = [(i, f"line {i}\nnext") for i in range(10)]
+    df = spark.createDataFrame(rows, "k bigint, t string").coalesce(1)
+    path = backup.csv_backup(df, str(tmp_path), "t", datetime(2024, 1, 10))
+    assert len(list(Path(path).glob("part-*"))) == 3
+    assert sorted(map(tuple, scan_csv(spark, path, df.schema).collect())) == rows
+
+
+def test_a_large_batch_leaves_files_without_its_keys(spark, tmp_path, monkeypatch):
+    from shelfsight.sinks import keyed_table
+
+    monkeypatch.setattr(keyed_table, "FEW_KEYS", 2)
+    table = keyed_table.KeyedTable(spark, str(tmp_path / "t"), "k", 2)
+
+    def batch(first, last, v):
+        return spark.createDataFrame([(f"k{i}", v) for i in range(first, last)], "k string, v int")
+
+    table.upsert(batch(0, 50, 1))
+    before = table.parts()[0]
+    table.upsert(batch(50, 100, 2))
+    assert set(before) < set(table.parts()[0])
+    table.upsert(batch(40, 60, 3))
+    found = sorted((int(r["k"][1:]), r["v"]) for r in table.read().collect())
+    assert found == [(i, 3 if 40 <= i < 60 else 1 if i < 40 else 2) for i in range(100)]
