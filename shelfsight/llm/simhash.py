@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfsight.llm.common import stage_rows, text_values
+from shelfsight.llm.common import spread, stage_rows, text_values
 from shelfsight.staging import stage
 
 RADIUS, SEGMENTS, WIDTH = 3, 4, 16
@@ -119,9 +119,11 @@ def links(groups: DataFrame) -> DataFrame:
         if length < SEGMENTS:
             sizes = keyed.groupBy("start", "key").agg(F.count("*").alias("n"))
             crowded = stage(sizes.where(F.col("n") > CHAIN_LIMIT).select("start", "key"), "crowded-chains")
-            crowded = None if crowded.isEmpty() else crowded
+            n = crowded.count()
+            crowded = spread(crowded, n) if n else None
         met = keyed.join(crowded, ["start", "key"], "left_anti") if crowded else keyed
-        pairs = asked.join(met.select("start", "key", F.col("fp").alias("other")), ["start", "key"])
+        # Spark sizes an exploded table as it was before, so without the hint it may broadcast one many times that size.
+        pairs = asked.hint("merge").join(met.select("start", "key", F.col("fp").alias("other")), ["start", "key"])
         near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= RADIUS
         found.append(pairs.where((F.col("fp") < F.col("other")) & near).select(F.col("fp").alias("a"), F.col("other").alias("b")))
         if not crowded:
@@ -141,14 +143,15 @@ def components(pairs: DataFrame) -> DataFrame:
     the smallest shrinks by more than half. Labels are written each round.
     """
     edges = stage(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    n = edges.count()
     labels = stage(edges.groupBy(F.col("a").alias("fp")).agg(F.least(F.min("b"), F.col("fp")).alias("label")), "labels")
     while True:
-        near = edges.join(labels.select(F.col("fp").alias("b"), "label"), "b").groupBy(F.col("a").alias("fp")).agg(
+        near = spread(edges, n).join(labels.select(F.col("fp").alias("b"), "label"), "b").groupBy(F.col("a").alias("fp")).agg(
             F.min("label").alias("near")
         )
-        lower = labels.join(near, "fp").select("fp", F.col("label").alias("was"), F.least("label", "near").alias("label"))
+        lower = spread(labels, n).join(near, "fp").select("fp", F.col("label").alias("was"), F.least("label", "near").alias("label"))
         roots = labels.select(F.col("fp").alias("label"), F.col("label").alias("root"))
-        jumped = lower.join(roots, "label").select("fp", "was", F.least("label", "root").alias("label"))
+        jumped = spread(lower, n).join(roots, "label").select("fp", "was", F.least("label", "root").alias("label"))
         stored = stage(jumped, "labels")
         labels = stored.drop("was")
         if stored.where(F.col("label") != F.col("was")).isEmpty():
@@ -163,16 +166,17 @@ def near_groups(rows: DataFrame, key: str = "doc_id") -> DataFrame:
     and from there to the rows, so a fingerprint that very many rows share is dealt to many tasks.
     """
     best = F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("id"), F.col("_row").alias("row")))
+    n = rows.count()
     dealt = rows.withColumn("_run", F.shiftright("_row", 33))
     runs = dealt.groupBy("_run", "fp").agg(best.alias("first"))
     groups = stage(runs.groupBy("fp").agg(F.min("first").alias("first")), "fingerprints")
     found = components(links(groups))
-    labelled = groups.join(found, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    labelled = spread(groups, n).join(found, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     # Stored, so that the join below has a shuffle on both sides and a large component can be split.
     smallest = stage(labelled.groupBy("label").agg(F.min("first").alias("smallest")), "smallest")
-    answers = labelled.select("fp", "label").join(smallest, "label").select("fp", "smallest")
-    by_run = runs.select("_run", "fp").join(answers, "fp")
-    return dealt.join(by_run, ["_run", "fp"]).drop("_run").withColumns(
+    answers = spread(labelled.select("fp", "label"), n).join(smallest, "label").select("fp", "smallest")
+    by_run = spread(runs.select("_run", "fp"), n).join(answers, "fp")
+    return spread(dealt, n).join(by_run, ["_run", "fp"]).drop("_run").withColumns(
         {"component_id": F.col("smallest.id"), "keep_row": F.col("smallest.row")}
     ).drop("smallest")
 

@@ -5,6 +5,7 @@ import random
 import re
 import time
 from collections import Counter, defaultdict
+from functools import partial
 from pathlib import Path
 
 import numpy as np
@@ -13,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from shelfsight.llm import language_id, queries, quality, simhash, substring_dedup, token_counts
-from shelfsight.llm.common import join_counted
+from shelfsight.llm.common import join_counted, spread
 from shelfsight.llm.decontaminate import decontaminate
 from shelfsight.llm.exact_dedup import exact_dedup, exact_groups
 from shelfsight.llm.line_dedup import line_dedup
@@ -74,6 +75,10 @@ def test_join_counted_salts_beyond_the_limit(spark):
     assert [(r["id"], r["v"]) for r in one.collect()] == [(r["id"], r["v"]) for r in two.collect()]
 
 
+def planned(df):
+    return df._jdf.queryExecution().sparkPlan().toString()
+
+
 # Decontamination
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
@@ -326,6 +331,40 @@ def test_components_of_documents_equal_brute_force(spark, monkeypatch):
         assert kept == sorted(set(wanted.values()))
 
 
+def _staged_plans(monkeypatch):
+    plans = []
+
+    def recorded(df, label):
+        plans.append((label, planned(df)))
+        return stage(df, label)
+    monkeypatch.setattr(simhash, "stage", recorded)
+    return plans
+
+
+@pytest.mark.parametrize("limit", [2, 1000])
+def test_lengthened_chains_are_not_broadcast(spark, monkeypatch, limit):
+    """Every chain is there 17 or 137 times, of which Spark's size of the table knows nothing."""
+    monkeypatch.setattr(simhash, "CHAIN_LIMIT", limit)
+    prints = stage(spark.range(300).select(F.shiftleft("id", 20).alias("fp")), "t")
+    plans = _staged_plans(monkeypatch)
+    assert simhash.links(prints).count() > 0
+    found = dict(plans)["links"]
+    joins = re.findall(r"(\w+Join) \[start#\w+, key#\w+\], \[start#\w+, key#\w+\], Inner", found)
+    assert joins and set(joins) == {"SortMergeJoin"}
+
+
+def test_many_rows_are_not_broadcast(spark, monkeypatch):
+    docs = _near_documents()
+    wanted = _plain_components(docs)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    monkeypatch.setattr(simhash, "spread", partial(spread, max_rows=0))
+    monkeypatch.setattr(simhash, "CHAIN_LIMIT", 2)
+    plans = _staged_plans(monkeypatch)
+    found = simhash.simhash_groups(df)
+    assert {x["doc_id"]: x["component_id"] for x in found.collect()} == wanted
+    assert not [label for label, plan in [*plans, ("groups", planned(found))] if "Broadcast" in plan]
+
+
 # Quality
 
 def test_quality_keeps_good_and_drops_bad(spark):
