@@ -79,6 +79,14 @@ def planned(df):
     return df._jdf.queryExecution().sparkPlan().toString()
 
 
+def test_join_counted_does_not_broadcast_rows_that_it_repeats(spark):
+    small = stage(spark.createDataFrame([(f"={i}", i) for i in range(20)], "k string, v int"), "t")
+    big = spark.createDataFrame([(i, f"={i % 20}") for i in range(300)], "id int, k string")
+    assert "BroadcastHashJoin" in planned(join_counted(big, small, "k", F.col("id")))
+    for how in ("left", "inner"):
+        assert "BroadcastHashJoin" not in planned(join_counted(big, small, "k", F.col("id"), how, max_rows=5))
+
+
 # Decontamination
 
 ITEM = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
