@@ -902,7 +902,7 @@ def _run(spark: SparkSession, sf_dir: str, folder: str, **other) -> None:
         raise RuntimeError(report.review_error)
 
 
-def _stored(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame]:
+def _run_tables(spark: SparkSession, sf_dir: str, folder: str) -> tuple[DataFrame, DataFrame]:
     """The products and reviews that runs stored; without rows if the runs came to none."""
     products, reviews = (KeyedTable(spark, f"{folder}/store/{n}", "asin").read_if_exists() for n in ("products", "reviews"))
     if products is None:
@@ -986,7 +986,7 @@ def daily_run_repeated(spark, sf_dir):
     folder = scratch_path(spark, "run-again")
     for _ in range(2):
         _run(spark, sf_dir, folder, history_dir=f"{folder}/history")
-    products, reviews = _stored(spark, sf_dir, folder)
+    products, reviews = _run_tables(spark, sf_dir, folder)
     written = spark.read.option("header", True).option("escape", '"').option("multiLine", True)
     paths = {"history": (spark.read.parquet, f"{folder}/history")} | {
         f"{n} backup": (written.csv, f"{folder}/csv/{n}_{RUN_TS:%Y%m%d_%H%M%S}.csv") for n in ("products", "reviews")
@@ -1008,7 +1008,7 @@ def run_options(spark, sf_dir):
         spark, sf_dir, folder, keywords=("ring", "red"), limit_per_keyword=40, filter_unavailable=True,
         sort_by="bought_past_month", product_urls=("https://example.com/dp/none",),
     )
-    products, reviews = _stored(spark, sf_dir, folder)
+    products, reviews = _run_tables(spark, sf_dir, folder)
     found = products.select("asin", "search_keyword", F.col("bought_past_month").cast("long").alias("bought_past_month"))
     return reviews.join(found, "asin").select("asin", "search_keyword", "bought_past_month", "sentiment", *_REVIEW_ID)
 
@@ -1018,7 +1018,7 @@ def daily_run(spark, sf_dir):
     """Discover, enrich, collect, analyse and store; then the stored reviews with their products."""
     folder = scratch_path(spark, "run")
     _run(spark, sf_dir, folder)
-    products, stored = _stored(spark, sf_dir, folder)
+    products, stored = _run_tables(spark, sf_dir, folder)
     return stored.join(products.select("asin", "title", "search_keyword"), "asin").select(
         "asin", "title", "search_keyword", "sentiment", "review_age_days", *_REVIEW_ID
     )
