@@ -485,6 +485,20 @@ def test_tokens_hostile(spark, model):
     assert len(rows) == 13 and by_id(rows)[6]["over_limit"] and token_counts.token_counts(empty(spark), model).count() == 0
 
 
+@pytest.mark.parametrize("held", [20, 500_000])
+def test_frequent_pre_tokens_are_counted_over_all_rows(spark, monkeypatch, held):
+    """More rows than a sample had, words that differ by one occurrence, and tasks that hand over early."""
+    monkeypatch.setattr(token_counts, "_CACHE_SIZE", held)
+    words = [f"w{k}" for k in range(1, 151) for _ in range(k)]
+    random.Random(4).shuffle(words)
+    texts = [" ".join(words[i:i + 2]) for i in range(0, len(words), 2)] + ["v150 v150\nv150"] * 50 + [None, "", "two  spaces", "x" * 49]
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    wanted = Counter(p for t in texts for p in token_counts.pre_tokens(t or "") or () if len(p) < 49)
+    ordered = sorted(wanted, key=lambda p: (-wanted[p], p))
+    assert token_counts.frequent_pre_tokens(df, "text", size=40) == ordered[:40]
+    assert token_counts.frequent_pre_tokens(df, "text") == ordered
+
+
 @needs_data
 def test_tokens_on_documents(spark, model):
     found, library = by_id(queries.op9_token_counts(spark, str(DATA)).collect()), token_counts.load(model)
